@@ -196,7 +196,11 @@ def summary(results: DataFrame) -> DataFrame:
 
 
 class QualityError(ValueError):
-    """Rules or schema tests failed; the pipeline must not go on."""
+    """Rules failed; the pipeline must not go on."""
+
+
+class SchemaTestError(QualityError):
+    """Declared tests failed on the transformed data."""
 
 
 def gate(log_rows: DataFrame, as_of: AsOf = None, lookback: str = "10 minutes") -> DataFrame:
@@ -289,4 +293,4 @@ def require_schema_tests(results: DataFrame) -> None:
     failed = results.where(F.col("failures") > 0).orderBy("dataset", "column_name", "test").collect()
     if failed:
         names = ", ".join(f"{r.dataset}.{r.column_name} {r.test} ({r.failures})" for r in failed)
-        raise QualityError(f"schema tests failed: {names}")
+        raise SchemaTestError(f"schema tests failed: {names}")

@@ -32,42 +32,81 @@ COUNTRY_DEFAULT_CURRENCY = "USD"
 WEATHER_VALID_SECONDS = 300
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING = T.StringType()
+INT = T.IntegerType()
+LONG = T.LongType()
+DOUBLE = T.DoubleType()
+DATE = T.DateType()
+TIME = T.TimestampNTZType()
+MONEY = T.DecimalType(18, 2)
+READING = T.DecimalType(9, 2)
 
 
-ORDERS = _struct(
-    "order_id string, customer_id string, order_status string,"
-    " order_purchase_ts timestamp_ntz, order_approved_ts timestamp_ntz,"
-    " order_delivered_ts timestamp_ntz, order_estimated_delivery_date date,"
-    " created_at timestamp_ntz"
+def columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+ORDERS = columns(
+    order_id=STRING,
+    customer_id=STRING,
+    order_status=STRING,
+    order_purchase_ts=TIME,
+    order_approved_ts=TIME,
+    order_delivered_ts=TIME,
+    order_estimated_delivery_date=DATE,
+    created_at=TIME,
 )
-CUSTOMERS = _struct(
-    "customer_id string, customer_city string, customer_state string,"
-    " customer_zip string, created_at timestamp_ntz"
+CUSTOMERS = columns(
+    customer_id=STRING,
+    customer_city=STRING,
+    customer_state=STRING,
+    customer_zip=STRING,
+    created_at=TIME,
 )
-PRODUCTS = _struct(
-    "product_id string, category_name string, product_weight_g decimal(18,2),"
-    " product_price decimal(18,2), created_at timestamp_ntz"
+PRODUCTS = columns(
+    product_id=STRING,
+    category_name=STRING,
+    product_weight_g=MONEY,
+    product_price=MONEY,
+    created_at=TIME,
 )
-ORDER_ITEMS = _struct(
-    "order_id string, product_id string, seller_id string, quantity int,"
-    " price decimal(18,2), freight_value decimal(18,2), created_at timestamp_ntz"
+ORDER_ITEMS = columns(
+    order_id=STRING,
+    product_id=STRING,
+    seller_id=STRING,
+    quantity=INT,
+    price=MONEY,
+    freight_value=MONEY,
+    created_at=TIME,
 )
-DQ_RESULTS = _struct(
-    "run_id string, table_name string, check_name string, status string, detail string,"
-    " row_count bigint, fail_count bigint, run_at timestamp_ntz"
+DQ_RESULTS = columns(
+    run_id=STRING,
+    table_name=STRING,
+    check_name=STRING,
+    status=STRING,
+    detail=STRING,
+    row_count=LONG,
+    fail_count=LONG,
+    run_at=TIME,
 )
-QUARANTINE = _struct("key string, value string, reason string")
+QUARANTINE = columns(key=STRING, value=STRING, reason=STRING)
 
 # Columns the enriched events add to the raw tables.
-ORDER_WEATHER_COLUMNS = _struct(
-    "weather_condition string, weather_desc string, temperature_c decimal(9,2),"
-    " humidity int, wind_speed decimal(9,2)"
+ORDER_WEATHER_COLUMNS = columns(
+    weather_condition=STRING,
+    weather_desc=STRING,
+    temperature_c=READING,
+    humidity=INT,
+    wind_speed=READING,
 )
-CUSTOMER_COUNTRY_COLUMNS = _struct(
-    "country_code string, country_name string, currency string, population bigint,"
-    " region string, lat double, lon double"
+CUSTOMER_COUNTRY_COLUMNS = columns(
+    country_code=STRING,
+    country_name=STRING,
+    currency=STRING,
+    population=LONG,
+    region=STRING,
+    lat=DOUBLE,
+    lon=DOUBLE,
 )
 
 RAW_TABLES = {
@@ -81,15 +120,35 @@ RAW_TABLES = {
 
 # One schema reads both event flavours; fields a flavour lacks come back NULL.
 CORRUPT = "_corrupt_record"
-EVENT = _struct(
-    "event_type string, order_id string, customer_id string, order_status string,"
-    " product struct<product_id: string, category_name: string, price: decimal(18,2)>,"
-    " quantity int, freight_value decimal(18,2),"
-    " customer struct<city: string, state: string, zip: string, country_code: string,"
-    " country_name: string, currency: string, population: bigint, region: string,"
-    " lat: double, lon: double>,"
-    " weather struct<weather_condition: string, weather_desc: string,"
-    " temperature_c: decimal(9,2), feels_like_c: decimal(9,2), humidity: int,"
-    " wind_speed: decimal(9,2)>,"
-    f" purchased_at string, ts string, {CORRUPT} string"
+EVENT = columns(
+    event_type=STRING,
+    order_id=STRING,
+    customer_id=STRING,
+    order_status=STRING,
+    product=columns(product_id=STRING, category_name=STRING, price=MONEY),
+    quantity=INT,
+    freight_value=MONEY,
+    customer=columns(
+        city=STRING,
+        state=STRING,
+        zip=STRING,
+        country_code=STRING,
+        country_name=STRING,
+        currency=STRING,
+        population=LONG,
+        region=STRING,
+        lat=DOUBLE,
+        lon=DOUBLE,
+    ),
+    weather=columns(
+        weather_condition=STRING,
+        weather_desc=STRING,
+        temperature_c=READING,
+        feels_like_c=READING,
+        humidity=INT,
+        wind_speed=READING,
+    ),
+    purchased_at=STRING,
+    ts=STRING,
+    **{CORRUPT: STRING},
 )

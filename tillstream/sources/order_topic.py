@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.schemas import CORRUPT, EVENT
+from tillstream.schemas import CORRUPT, EVENT, STRING, columns
 
-MESSAGE = T.StructType.fromDDL("key string, value string")
+MESSAGE = columns(key=STRING, value=STRING)
 
 
 def topic_stream(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.money import freight
+from tillstream.schemas import DOUBLE, INT, LONG, STRING, TIME, columns
 
 # Clocks that stand for "now" in reports over the given tables.
 RETAIL_NOW = "2001-08-02 00:00:00"
@@ -49,14 +50,17 @@ COUNTRIES = [
 
 WEATHER_WORDS = ["Clear", "Clouds", "Rain", "Snow", "Mist"]
 
-EVENT_ROWS = T.StructType.fromDDL(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENT_ROWS = columns(
+    event_id=LONG, ts=TIME, user_id=LONG, event_type=STRING, value=DOUBLE, props=STRING
+)
+CITY_ROWS = columns(city_id=INT, city=STRING, country_code=STRING, lat=DOUBLE, lon=DOUBLE)
+COUNTRY_ROWS = columns(
+    country_code=STRING, country_name=STRING, currency=STRING, population=LONG, region=STRING
 )
 
 
-def _values(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+def _values(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A constant table planned as a local relation."""
-    schema = T.StructType.fromDDL(ddl)
     literals = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
     table = spark.sql(f"SELECT * FROM VALUES {literals} AS t({', '.join(schema.names)})")
     return table.select(*[F.col(f.name).cast(f.dataType) for f in schema])
@@ -176,16 +180,10 @@ class Shop:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def cities(self) -> DataFrame:
-        return _values(
-            self.spark, CITIES, "city_id int, city string, country_code string, lat double, lon double"
-        )
+        return _values(self.spark, CITIES, CITY_ROWS)
 
     def countries(self) -> DataFrame:
-        return _values(
-            self.spark,
-            COUNTRIES,
-            "country_code string, country_name string, currency string, population bigint, region string",
-        )
+        return _values(self.spark, COUNTRIES, COUNTRY_ROWS)
 
     def orders(self) -> DataFrame:
         key = F.col("o_orderkey")

@@ -10,14 +10,15 @@ from pyspark.sql import types as T
 from tillstream.functions.clock import hour_start
 from tillstream.functions.money import line_revenue
 from tillstream.operators.keyed import insert_if_absent
+from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake
 from tillstream.streaming.ingest import EachBatch
 from tillstream.streaming.jobs import batch_name
 
-SEEN = T.StructType.fromDDL("order_id string")
-TOTALS = T.StructType.fromDDL("hour timestamp_ntz, total_orders bigint, gross_revenue decimal(38,2)")
-VISITS = T.StructType.fromDDL("visit string, hour timestamp_ntz")
+SEEN = columns(order_id=STRING)
+TOTALS = columns(hour=TIME, total_orders=LONG, gross_revenue=T.DecimalType(38, 2))
+VISITS = columns(visit=STRING, hour=TIME)
 
 
 def hourly_windows(events: DataFrame, delay: str | None = "1 hour") -> DataFrame:
