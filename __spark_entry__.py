@@ -305,7 +305,8 @@ def _stream_reject(shop: Shop) -> DataFrame:
 
 def _pipeline(shop: Shop) -> DataFrame:
     """The shop's tables as history, then a daily run that adds the orders of events."""
-    lake, _ = _lake(shop.spark, "pipeline")
+    # Months, as the history goes back years and arrives as one batch.
+    lake = Lake(shop.spark, f"{work_area(shop.spark, 'pipeline')}/tables", order_period="month")
     pipeline.ingest_batch(lake, shop.raw(), "history")
     events = shop.wire_events().withColumn(
         "purchased_at", F.col("purchased_at").cast("timestamp_ntz")

@@ -45,10 +45,13 @@ def hour_start(ts: Column) -> Column:
 def since(df: DataFrame, column: str, as_of: AsOf, lookback: str) -> DataFrame:
     """Rows whose timestamp is at most `lookback` (e.g. '48 hours') before as_of.
 
-    On a table laid out by order_date the same bound prunes partitions.
+    On orders laid out by day or month the same bound prunes partitions.
     """
     bound = as_of_column(as_of) - F.expr(f"INTERVAL {lookback}")
     kept = df.where(F.col(column) >= bound)
-    if "order_date" in df.columns and column == "order_purchase_ts":
-        kept = kept.where(F.col("order_date") >= F.to_date(bound))
+    if column == "order_purchase_ts":
+        if "order_date" in df.columns:
+            kept = kept.where(F.col("order_date") >= F.to_date(bound))
+        if "order_month" in df.columns:
+            kept = kept.where(F.col("order_month") >= F.trunc(F.to_date(bound), "month"))
     return kept

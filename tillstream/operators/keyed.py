@@ -18,9 +18,9 @@ def first_per_key(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     side, so a key that holds a large share of the rows does not land in one task.
     Equal arrivals fall back to the smallest whole row, which keeps the choice fixed.
     """
-    row = F.struct(*df.columns)
-    rank = F.struct(*arrival, row)
-    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(row, rank).alias("_row"))
+    others = [c for c in df.columns if c != key]
+    ranked = F.struct(*arrival, F.struct(*others).alias("_row"))
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(ranked)["_row"].alias("_row"))
     return first.select(*[key if c == key else F.col("_row")[c].alias(c) for c in df.columns])
 
 

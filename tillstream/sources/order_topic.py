@@ -65,37 +65,42 @@ def publish(messages: DataFrame, servers: str, topic: str = "orders-raw") -> Non
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Messages with their parsed event, the event's time columns, and `reason`.
+    """Messages as key, value, the event's columns, and `reason`.
 
     `reason` is NULL for an event that can be stored.  Otherwise it says why not: the
     text is not JSON of the event's shape, a required field is absent, or the purchase
     time is not a timestamp.
+
+    The parsed struct is unpacked by a generator: filters and selections above it then
+    refer to its columns, and no text is parsed more than once.
     """
     text = F.col("value").cast("string")
     parsed = F.from_json(text, EVENT, {"columnNameOfCorruptRecord": CORRUPT})
-    read = messages.select(F.col("key").cast("string"), text.alias("value"), parsed.alias("event"))
-    read = read.withColumn(
-        "purchased_at", F.col("event.purchased_at").try_cast("timestamp_ntz")
-    ).withColumn("ts", F.col("event.ts").try_cast("timestamp_ntz"))
-    return read.withColumn("reason", _reason())
+    read = messages.select(F.col("key").cast("string"), text.alias("value"), F.inline(F.array(parsed)))
+    timed = read.withColumns(
+        {
+            "_purchased_at": F.col("purchased_at").try_cast("timestamp_ntz"),
+            "ts": F.col("ts").try_cast("timestamp_ntz"),
+        }
+    )
+    return (
+        timed.withColumn("reason", _reason())
+        .withColumn("purchased_at", F.col("_purchased_at"))
+        .drop("_purchased_at", CORRUPT)
+    )
 
 
 def _reason() -> Column:
-    event = F.col("event")
     required = ["order_id", "customer_id", "order_status", "product.product_id", "purchased_at"]
-    malformed = F.col("value").isNull() | event.isNull() | event[CORRUPT].isNotNull()
-    reason = F.when(malformed, "malformed")
+    reason = F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), "malformed")
     for name in required:
-        reason = reason.when(F.col(f"event.{name}").isNull(), f"missing {name}")
-    return reason.when(F.col("purchased_at").isNull(), "bad purchased_at")
+        reason = reason.when(F.col(name).isNull(), f"missing {name}")
+    return reason.when(F.col("_purchased_at").isNull(), "bad purchased_at")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
     """The events that can be stored, as columns."""
-    fields = [
-        f"event.{name}" for name in EVENT.names if name not in (CORRUPT, "purchased_at", "ts")
-    ]
-    return decoded.where(F.col("reason").isNull()).select(*fields, "purchased_at", "ts")
+    return decoded.where(F.col("reason").isNull()).drop("key", "value", "reason")
 
 
 def rejected(decoded: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def wire_events_from(order_events: DataFrame, cities: DataFrame, countries: Data
     bare = number % 101 == 5
     word = F.element_at(F.array(*[F.lit(w) for w in WEATHER_WORDS]), (number % 5 + 1).cast("int"))
     places = F.broadcast(
-        cities.join(countries, "country_code", "left").select(
+        cities.join(F.broadcast(countries), "country_code", "left").select(
             "city_id", "city", "country_code", "country_name", "currency", "population", "region",
             "lat", "lon",
         )
@@ -236,7 +236,8 @@ class Shop:
 
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
-        places = F.broadcast(self.cities().join(self.countries(), "country_code", "left"))
+        known = F.broadcast(self.countries())
+        places = F.broadcast(self.cities().join(known, "country_code", "left"))
         lat = F.when(key % 13 == 0, None).when(key % 17 == 0, 0.0).otherwise(F.col("lat"))
         return (
             self.table("customer")

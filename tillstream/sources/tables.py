@@ -13,6 +13,7 @@ from tillstream.operators.evolve import conform
 from tillstream.schemas import RAW_TABLES
 
 BATCH = "batch_id"
+PERIOD_COLUMNS = {"day": "order_date", "month": "order_month"}
 
 
 def table_name(layer: str, name: str) -> str:
@@ -67,11 +68,13 @@ class Lake:
 
     Appends belong to a batch id, which is a partition of the table: writing a batch
     again replaces its own rows and nothing else, so a replayed batch changes nothing.
-    Raw orders are laid out by order_date within it, for reports over a time range.
+    Raw orders are laid out by day, or by month, within it, for reports over a time
+    range.
     """
 
     spark: SparkSession
     root: str
+    order_period: str = "day"
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -113,17 +116,21 @@ class Lake:
         out = conform(df, schema)
         path = f"{self.path(layer, name)}/{BATCH}={batch_id}"
         if name == "orders":
-            # Gather each day in few files; a crowded day is split over tasks.
-            out = out.withColumn("order_date", F.to_date("order_purchase_ts"))
-            out = out.hint("rebalance", "order_date")
-            out.write.mode("overwrite").partitionBy("order_date").parquet(path)
+            # Gather each period in few files; a crowded one is split over tasks.
+            column = PERIOD_COLUMNS[self.order_period]
+            period = F.to_date(F.trunc("order_purchase_ts", "month"))
+            if self.order_period == "day":
+                period = F.to_date("order_purchase_ts")
+            out = out.withColumn(column, period).hint("rebalance", column)
+            out.write.mode("overwrite").partitionBy(column).parquet(path)
         else:
             out.hint("rebalance").write.mode("overwrite").parquet(path)
 
     def rebuild(self, df: DataFrame, layer: str, name: str) -> None:
         df.write.mode("overwrite").parquet(self.path(layer, name))
 
-    @staticmethod
-    def _layout(name: str) -> list[T.StructField]:
+    def _layout(self, name: str) -> list[T.StructField]:
         batch = T.StructField(BATCH, T.StringType())
-        return [T.StructField("order_date", T.DateType()), batch] if name == "orders" else [batch]
+        if name != "orders":
+            return [batch]
+        return [T.StructField(PERIOD_COLUMNS[self.order_period], T.DateType()), batch]
