@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tillstream.functions.clock import since
+from tillstream.operators.keyed import only_keys_of
 from tillstream.operators.revenue import orders_and_revenue
 from tillstream.plans import reports
 from tillstream.plans.staging import publish_view, stg_orders
@@ -72,20 +73,18 @@ def test_time_range_prunes_partitions(spark, plan, tmp_path, period, column):
     assert recent.count() == some.where("order_purchase_ts >= '2001-07-25'").count() > 0
 
 
-def test_a_selective_report_prunes_items_by_a_bloom_filter(spark, plan, no_broadcast):
-    settings = {
-        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        shop = Shop(spark, SMALL)
-        text = plan(reports.hourly_order_metrics(shop.orders(), shop.order_items(), entry_points.RETAIL_NOW))
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-    assert "might_contain" in text
+def test_short_reports_filter_items_by_broadcast_keys(spark, plan, rows, no_broadcast, monkeypatch):
+    shop = Shop(spark, SMALL)
+
+    def report():
+        return reports.hourly_order_metrics(shop.orders(), shop.order_items(), entry_points.RETAIL_NOW)
+
+    few = report()
+    assert re.search(r"BroadcastHashJoin \[order_id#\d+\], \[order_id#\d+\], LeftSemi", plan(few))
+    monkeypatch.setattr(reports, "only_keys_of", lambda df, few, key: only_keys_of(df, few, key, limit=0))
+    many = report()
+    assert "LeftSemi" not in plan(many)
+    assert rows(many) == rows(few) != []
 
 
 def test_views_and_marts(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 
@@ -59,7 +60,8 @@ def test_unknown_values_count_only_in_their_null_rule(spark):
 
 def test_orphans_include_null_keys(spark):
     orders = [("a", "c", "shipped", NOON, NOON), (None, "c", "shipped", NOON, NOON)]
-    items = [("a", "p", 1, 1), ("b", "p", 1, 1), ("b", "p", 1, 0), (None, "p", -1, 1)]
+    one = Decimal(1)
+    items = [("a", "p", one, 1), ("b", "p", one, 1), ("b", "p", one, 0), (None, "p", -one, 1)]
     got = {
         k: (r.fail_count, r.row_count)
         for k, r in by_check(quality.run_checks(tables(spark, orders, items), NOON, ["order_items"])).items()

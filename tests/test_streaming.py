@@ -15,14 +15,14 @@ from tillstream.streaming.jobs import run_to_end
 START = datetime(2024, 1, 1)
 
 
-def event(n, customer="c1", product="p1", minutes=None, **changes):
+def event(n, buyer="c1", sold="p1", minutes=None, **changes):
     sent = START + timedelta(minutes=n if minutes is None else minutes)
     body = {
         "event_type": "order_created",
         "order_id": f"o{n}",
-        "customer_id": customer,
+        "customer_id": buyer,
         "order_status": "shipped",
-        "product": {"product_id": product, "category_name": f"cat{n}", "price": 10.5 + n},
+        "product": {"product_id": sold, "category_name": f"cat{n}", "price": 10.5 + n},
         "quantity": 2,
         "freight_value": 1.05,
         "customer": {"city": f"city{n}", "state": "SP", "zip": "01", "country_code": "BR"},
@@ -54,9 +54,9 @@ def table(lake, name, *columns):
 @pytest.fixture
 def delivered(spark, topic):
     """Three files: repeated orders within and across them, late events, bad messages."""
-    deliver(spark, topic, "1", [event(3), event(1), event(2, customer="c2"), event(1)])
-    deliver(spark, topic, "2", [event(2, customer="c9"), event(4, product="p2"), ("bad", '{"order_id": "o5", "qua')])
-    deliver(spark, topic, "3", [event(0, customer="c3", product="p3"), event(6, customer_id=...), event(4)])
+    deliver(spark, topic, "1", [event(3), event(1), event(2, buyer="c2"), event(1)])
+    deliver(spark, topic, "2", [event(2, buyer="c9"), event(4, sold="p2"), ("bad", '{"order_id": "o5", "qua')])
+    deliver(spark, topic, "3", [event(0, buyer="c3", sold="p3"), event(6, customer_id=...), event(4)])
     return topic
 
 
@@ -105,8 +105,8 @@ def test_dedup_keeps_the_first_status(spark, lake, delivered, tmp_path):
 
 @pytest.mark.parametrize("files_at_once", [1, None])
 def test_hourly_counts_equal_the_batch_report(spark, lake, topic, tmp_path, rows, files_at_once):
-    first = [event(n, customer=f"c{n % 3}", minutes=n * 7) for n in range(40)]
-    second = [event(n, customer=f"c{n % 5}", minutes=n * 7) for n in range(20, 60)]
+    first = [event(n, buyer=f"c{n % 3}", minutes=n * 7) for n in range(40)]
+    second = [event(n, buyer=f"c{n % 5}", minutes=n * 7) for n in range(20, 60)]
     deliver(spark, topic, "1", second)
     deliver(spark, topic, "2", first)
     stream = messages_of(spark, topic, max_files_per_trigger=files_at_once)

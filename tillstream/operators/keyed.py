@@ -7,10 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A batch of at most this many keys is broadcast against the existing table.
+# At most this many keys are broadcast against a large table.
 BROADCAST_KEY_LIMIT = 1_000_000
 
 
+def only_keys_of(df: DataFrame, few: DataFrame, key: str, limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
+    """Rows of df whose key occurs in few, if few is small; else df as it is.
+
+    For reports over a short time: the keys in question are counted, and broadcast to
+    filter the scan of df if there are at most `limit`.  Beyond it df is not filtered,
+    because a shuffled join would move all of its rows; the caller joins on the key
+    anyway, after reducing df.
+    """
+    keys = few.where(F.col(key).isNotNull()).select(key)
+    if keys.count() > limit:
+        return df
+    return df.join(F.broadcast(keys.distinct()), key, "left_semi")
+
+
 def first_per_key(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     """The earliest row of each non-NULL key by the arrival columns.
 

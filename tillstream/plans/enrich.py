@@ -17,9 +17,8 @@ BROADCAST_ROWS = 100_000
 
 
 def small_or_plain(lookup: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """lookup with a broadcast hint if it has at most `limit` rows, counted no further."""
-    rows = lookup.limit(limit + 1).count()
-    return F.broadcast(lookup) if rows <= limit else lookup
+    """lookup with a broadcast hint if it has at most `limit` rows."""
+    return F.broadcast(lookup) if lookup.count() <= limit else lookup
 
 
 def enrich_country(events: DataFrame, countries: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.clock import AsOf, hour_start, since
 from tillstream.functions.money import mean_of
+from tillstream.operators.keyed import only_keys_of
 from tillstream.operators.revenue import orders_and_revenue
 
 
@@ -24,6 +25,8 @@ def hourly_order_metrics(
     customers = timed.groupBy(F.col("hour").alias("_hour")).agg(
         F.countDistinct("customer_id").alias("unique_customers")
     )
+    if lookback:
+        items = only_keys_of(items, timed, "order_id")
     sales = orders_and_revenue(timed.select("order_id", "hour"), items, ["hour"])
     return (
         sales.join(customers, F.col("hour").eqNullSafe(F.col("_hour")))
@@ -67,6 +70,7 @@ def city_order_metrics(
         F.coalesce("lon", F.lit(0.0)).alias("lon"),
     )
     recent = since(orders, "order_purchase_ts", as_of, lookback).select("order_id", "customer_id")
+    items = only_keys_of(items, recent, "order_id")
     by = ["city", "country_name", "country_code", "lat", "lon"]
     located = recent.join(placed, "customer_id").select("order_id", *by)
     return (

@@ -12,16 +12,12 @@ def build_session(app: str = "tillstream", master: str | None = None, **conf: st
     """A session with the settings the plans are designed for.
 
     Adaptive execution coalesces small shuffle partitions and splits skewed join
-    partitions.  The runtime bloom filter lets a report over a few hours of orders
-    prune the scan of order_items; its creation side is allowed to be larger than
-    Spark's default because two days of a large shop exceed 10 MB.
+    partitions.  The zone is UTC because the timestamps of the model have none.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
