@@ -101,3 +101,31 @@ def test_work_area_lies_in_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     one, two = work_area(spark, "x"), work_area(spark, "x")
     assert one.startswith(shared) and one != two
+
+
+def test_hot_customer_is_split_in_the_city_report(spark, plan, rows, no_broadcast):
+    """A third of the orders of one customer: the join splits that partition."""
+    shop = Shop(spark, SMALL)
+    n = F.col("id")
+    orders = spark.range(0, 60_000, 1, 6).select(
+        F.concat(F.lit("o"), n.cast("string")).alias("order_id"),
+        F.when(n % 3 == 0, "7").otherwise((n % 100).cast("string")).alias("customer_id"),
+        F.lit("2001-08-01 12:00:00").cast("timestamp_ntz").alias("order_purchase_ts"),
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        report = reports.city_order_metrics(shop.customers(), orders, shop.order_items(), entry_points.RETAIL_NOW)
+        total = sum(r.total_orders for r in report.collect())
+        assert "skew=true" in plan(report)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    placed = shop.customers().where("lat <> 0").select("customer_id")
+    assert total == orders.join(placed, "customer_id").count()

@@ -30,7 +30,9 @@ def ingest_batch(lake: Lake, incoming: dict[str, DataFrame], batch_id: str) -> N
     for name, key in (("customers", "customer_id"), ("products", "product_id"), ("orders", "order_id")):
         if name in incoming:
             held = lake.other_batches(name, batch_id)
-            lake.write_batch(insert_if_absent(held, incoming[name], key), name, batch_id)
+            rows = incoming[name].count()
+            fresh = insert_if_absent(held, incoming[name], key, incoming_rows=rows)
+            lake.write_batch(fresh, name, batch_id)
     if "order_items" in incoming:
         lake.write_batch(incoming["order_items"], "order_items", batch_id)
 

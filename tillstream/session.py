@@ -12,7 +12,10 @@ def build_session(app: str = "tillstream", master: str | None = None, **conf: st
     """A session with the settings the plans are designed for.
 
     Adaptive execution coalesces small shuffle partitions and splits skewed join
-    partitions.  The zone is UTC because the timestamps of the model have none.
+    partitions.  A cluster session starts shuffles with many partitions and lets them be
+    coalesced to the advisory size, so that each fits in memory at any input size; scans
+    take larger splits to keep the number of shuffle blocks down.  The zone is UTC
+    because the timestamps of the model have none.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -20,6 +23,13 @@ def build_session(app: str = "tillstream", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
     }
+    if not (master or "").startswith("local"):
+        settings = {
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+            "spark.sql.files.maxPartitionBytes": "512MB",
+            **settings,
+        }
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

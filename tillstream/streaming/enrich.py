@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.plans.enrich import enrich_country, enrich_weather, small_or_plain
@@ -26,13 +29,22 @@ def enrich_orders(
     """Add city, country facts and weather to order events of a micro-batch.
 
     The lookups are static for a micro-batch and read anew for the next one.  A join
-    of two streams would hold back unmatched events and drop late ones.
+    of two streams would hold back unmatched events and drop late ones.  Of the
+    readings only those are read that can be valid for some event of the micro-batch.
     """
     places = small_or_plain(cities)
 
     def each_batch(events: DataFrame, batch_id: int) -> None:
+        span = events.agg(F.min("purchased_at").alias("first"), F.max("purchased_at").alias("last"))
+        first, last = span.first()
+        usable = readings
+        if first is not None:
+            taken = F.col("fetched_at")
+            usable = readings.where(
+                taken.between(F.lit(first - timedelta(seconds=valid_seconds)), F.lit(last))
+            )
         placed = events.join(places, "city_id", "left")
-        full = enrich_weather(enrich_country(placed, countries), readings, valid_seconds=valid_seconds)
+        full = enrich_weather(enrich_country(placed, countries), usable, valid_seconds=valid_seconds)
         lake.write_batch(full, TABLE, batch_name(job, batch_id), schema, "staging")
 
     return each_batch

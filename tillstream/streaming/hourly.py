@@ -68,10 +68,11 @@ def count_hours(lake: Lake, job: str = "hourly") -> EachBatch:
             line_revenue(F.col("product.price"), F.col("quantity")).alias("revenue"),
             F.col("ts").alias("_sent"),
         )
+        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = orders.count()
         seen = lake.other_batches("hourly_seen", batch, SEEN, "staging")
-        fresh = insert_if_absent(seen, orders, "order_id", ["_sent"]).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        fresh = insert_if_absent(seen, orders, "order_id", ["_sent"], rows)
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             totals = fresh.groupBy("hour").agg(
                 F.count("order_id").alias("total_orders"),
@@ -80,12 +81,13 @@ def count_hours(lake: Lake, job: str = "hourly") -> EachBatch:
             visit = F.concat_ws("|", F.col("hour").cast("string"), "customer_id")
             visits = fresh.select(visit.alias("visit"), "hour").distinct()
             known = lake.other_batches("hourly_visits", batch, VISITS, "staging")
-            new_visits = insert_if_absent(known, visits, "visit")
+            new_visits = insert_if_absent(known, visits, "visit", incoming_rows=rows)
             lake.write_batch(totals, "hourly_totals", batch, TOTALS, "staging")
             lake.write_batch(new_visits, "hourly_visits", batch, VISITS, "staging")
             lake.write_batch(fresh, "hourly_seen", batch, SEEN, "staging")
         finally:
             fresh.unpersist()
+            orders.unpersist()
 
     return each_batch
 
