@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from conftest import frame
 from tillstream.operators.revenue import orders_and_revenue
 from tillstream.plans import marts, reports
 from tillstream.plans.staging import stg_orders
@@ -28,7 +29,8 @@ def item(oid, price, quantity=1, product="p1"):
 
 def test_staging_rules(spark):
     due = date(2024, 1, 5)
-    orders = spark.createDataFrame(
+    orders = frame(
+            spark,
         [
             order("on_due_day", delivered=datetime(2024, 1, 5, 0, 0, 1), due=due),
             order("at_midnight", delivered=datetime(2024, 1, 5), due=due),
@@ -50,7 +52,8 @@ def test_staging_rules(spark):
 
 def test_mart_of_days_with_and_without_items(spark):
     second = datetime(2024, 1, 2, 9)
-    orders = spark.createDataFrame(
+    orders = frame(
+            spark,
         [
             order("a", delivered=datetime(2024, 1, 2, 22)),
             order("b", customer="c2", status="returned"),
@@ -59,7 +62,7 @@ def test_mart_of_days_with_and_without_items(spark):
         ],
         ORDER,
     )
-    items = spark.createDataFrame([item("a", "10.00", 2), item("a", "1.01"), item("x", "9.00")], ITEM)
+    items = frame(spark, [item("a", "10.00", 2), item("a", "1.01"), item("x", "9.00")], ITEM)
     got = marts.mart_order_metrics(stg_orders(orders), items).collect()
     # A NULL day comes first, then the newest.
     assert [r.order_date for r in got] == [None, datetime(2024, 1, 2), datetime(2024, 1, 1)]
@@ -75,8 +78,8 @@ def test_mart_of_days_with_and_without_items(spark):
 
 
 def test_raw_mart_keeps_null_orders_and_does_not_divide_by_zero(spark):
-    orders = spark.createDataFrame([order(None, status="returned"), order(None)], ORDER)
-    items = spark.createDataFrame([item(None, "5.00")], ITEM)
+    orders = frame(spark, [order(None, status="returned"), order(None)], ORDER)
+    items = frame(spark, [item(None, "5.00")], ITEM)
     row = marts.spark_order_metrics(orders, items).first()
     assert (row.total_orders, row.returned_orders, row.return_rate_pct) == (0, 1, None)
     assert row.gross_revenue is None
@@ -86,10 +89,12 @@ def test_grouped_join_equals_join_of_raw_rows(spark, rows):
     """A third of the items and of the orders belongs to one order; NULLs and copies."""
     draw = random.Random(3)
     ids = ["hot"] * 40 + [None] * 10 + [f"o{i}" for i in range(70)]
-    orders = spark.createDataFrame(
+    orders = frame(
+            spark,
         [(draw.choice(ids), draw.choice("xyz")) for _ in range(300)], "order_id string, g string"
     )
-    items = spark.createDataFrame(
+    items = frame(
+            spark,
         [(draw.choice(ids), draw.randrange(1, 5), Decimal(draw.randrange(1, 9999)) / 100) for _ in range(400)],
         "order_id string, quantity int, price decimal(18,2)",
     )
@@ -105,19 +110,22 @@ def test_grouped_join_equals_join_of_raw_rows(spark, rows):
 def test_live_feed_equals_top_of_joined_rows(spark, rows):
     draw = random.Random(5)
     start = datetime(2024, 1, 1)
-    orders = spark.createDataFrame(
+    orders = frame(
+            spark,
         [
             (f"o{i}", f"c{draw.randrange(6)}", "shipped", start + timedelta(minutes=draw.randrange(90)), None, None, None, None)
             for i in range(40)
         ],
         ORDER,
     ).withColumns({"weather_condition": F.lit("Rain"), "temperature_c": F.lit(1)})
-    items = spark.createDataFrame(
+    items = frame(
+            spark,
         [item(f"o{draw.randrange(30)}", f"{draw.randrange(100)}.00") for _ in range(60)]
         + [item("o7", f"{i}.00") for i in range(60)],
         ITEM,
     )
-    customers = spark.createDataFrame(
+    customers = frame(
+            spark,
         [("c1", "Oslo", "NO"), ("c2", "Rome", "IT"), ("c2", "Bari", "IT"), ("c3", "Graz", "AT")],
         "customer_id string, customer_city string, country_code string",
     )
@@ -143,13 +151,13 @@ def test_kpi_changes_compare_rows_not_calendar_days(spark):
         "order_date timestamp_ntz, total_orders bigint, gross_revenue decimal(38,2),"
         " avg_order_value decimal(18,2), avg_delivery_days decimal(9,1), return_rate_pct decimal(18,2)"
     )
-    mart = spark.createDataFrame([day(1, 4, Decimal(10)), day(5, 7, Decimal(25))], schema)
+    mart = frame(spark, [day(1, 4, Decimal(10)), day(5, 7, Decimal(25))], schema)
     row = reports.kpi_latest(mart).first()
     assert (row.orders_delta, row.revenue_delta) == (3, Decimal(15))
     assert (row.avg_delivery_days, row.return_rate_pct) == (0, 0)
-    zero = spark.createDataFrame([day(1, 4, Decimal(0)), day(2, 7, Decimal(25))], schema)
+    zero = frame(spark, [day(1, 4, Decimal(0)), day(2, 7, Decimal(25))], schema)
     assert reports.kpi_latest(zero).first().revenue_delta is None
-    single = spark.createDataFrame([day(1, 4, Decimal(10))], schema)
+    single = frame(spark, [day(1, 4, Decimal(10))], schema)
     row = reports.kpi_latest(single).first()
     assert (row.orders_delta, row.revenue_delta) == (None, None)
     trend = reports.revenue_trend(mart, 1).collect()

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import frame
 from tillstream.operators.asof import latest_within
 from tillstream.operators.evolve import conform, ensure_columns
 from tillstream.operators.keyed import first_per_key, insert_if_absent
@@ -46,8 +47,8 @@ def test_asof_equals_brute_force(spark, tolerance, spread, rows_per_task):
     readings += [("hot", START + timedelta(seconds=spread // 2), v) for v in (3, 9, 4)]
     readings += [("a", None, 5)]
     readings += [(k, at - timedelta(seconds=tolerance), 50) for _, k, at in events[1:20] if at]
-    left = spark.createDataFrame(events, "n int, k string, at timestamp_ntz").repartition(6)
-    right = spark.createDataFrame(readings, "k string, ts timestamp_ntz, value int")
+    left = frame(spark, events, "n int, k string, at timestamp_ntz").repartition(6)
+    right = frame(spark, readings, "k string, ts timestamp_ntz, value int")
     got = latest_within(left, right, "k", "at", "ts", tolerance, rows_per_task)
     assert got.columns == ["n", "k", "at", "reading"]
     answers = sorted((r.n, r.value) for r in got.select("n", "reading.value").collect())
@@ -55,12 +56,13 @@ def test_asof_equals_brute_force(spark, tolerance, spread, rows_per_task):
 
 
 def test_first_write_of_a_key_wins(spark, rows):
-    incoming = spark.createDataFrame(
+    incoming = frame(
+            spark,
         [("a", 2, "late"), ("a", 1, "early"), ("b", 5, "y"), ("b", 5, "x"), (None, 0, "none"), ("c", 1, "known")],
         "k string, sent int, v string",
     )
     assert rows(first_per_key(incoming, "k", ["sent"])) == [("a", 1, "early"), ("b", 5, "x"), ("c", 1, "known")]
-    existing = spark.createDataFrame([("c", "old"), ("z", "old"), (None, "old")], "k string, v string")
+    existing = frame(spark, [("c", "old"), ("z", "old"), (None, "old")], "k string, v string")
     for known_size in (None, 6):
         fresh = insert_if_absent(existing, incoming, "k", ["sent"], known_size)
         assert fresh.columns == ["k", "sent", "v"]
@@ -68,7 +70,7 @@ def test_first_write_of_a_key_wins(spark, rows):
 
 
 def test_ensure_columns_adds_only_what_is_absent(spark):
-    df = spark.createDataFrame([("c1", "Oslo", "NO")], "customer_id string, customer_city string, Country_Code string")
+    df = frame(spark, [("c1", "Oslo", "NO")], "customer_id string, customer_city string, Country_Code string")
     wide = ensure_columns(df, CUSTOMER_COUNTRY_COLUMNS)
     assert wide.columns == ["customer_id", "customer_city", "Country_Code", "country_name", "currency", "population", "region", "lat", "lon"]
     assert ensure_columns(wide, CUSTOMER_COUNTRY_COLUMNS).columns == wide.columns

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from conftest import frame
 from tillstream.plans.pipeline import run_pipeline
 from tillstream.plans.quality import QualityError, SchemaTestError
 
@@ -15,13 +16,15 @@ def batch(spark, n, status="shipped", items=True, first=0):
     ids = [f"o{i}" for i in range(first, first + n)]
     bought = datetime(2024, 1, 15, 8)
     return {
-        "customers": spark.createDataFrame([("c1", "Oslo")], "customer_id string, customer_city string"),
-        "products": spark.createDataFrame([("p1", "toys", Decimal(2))], "product_id string, category_name string, product_price decimal(18,2)"),
-        "orders": spark.createDataFrame(
+        "customers": frame(spark, [("c1", "Oslo")], "customer_id string, customer_city string"),
+        "products": frame(spark, [("p1", "toys", Decimal(2))], "product_id string, category_name string, product_price decimal(18,2)"),
+        "orders": frame(
+            spark,
             [(i, "c1", status, bought) for i in ids],
             "order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz",
         ),
-        "order_items": spark.createDataFrame(
+        "order_items": frame(
+            spark,
             [(i, "p1", 1, Decimal(2)) for i in ids if items],
             "order_id string, product_id string, quantity int, price decimal(18,2)",
         ),

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from conftest import frame
 from tillstream.plans import quality
 
 ORDERS = "order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz, order_approved_ts timestamp_ntz"
@@ -14,10 +15,10 @@ NOON = datetime(2024, 1, 1, 12)
 
 def tables(spark, orders=(), items=()):
     return {
-        "orders": spark.createDataFrame(list(orders), ORDERS),
-        "customers": spark.createDataFrame([], "customer_id string, customer_city string"),
-        "products": spark.createDataFrame([], "product_id string, category_name string, product_price decimal(18,2)"),
-        "order_items": spark.createDataFrame(list(items), ITEMS),
+        "orders": frame(spark, list(orders), ORDERS),
+        "customers": frame(spark, [], "customer_id string, customer_city string"),
+        "products": frame(spark, [], "product_id string, category_name string, product_price decimal(18,2)"),
+        "order_items": frame(spark, list(items), ITEMS),
     }
 
 
@@ -79,12 +80,13 @@ def test_unknown_table_is_skipped(spark):
 
 
 def test_gate_looks_back_ten_minutes_and_lets_warnings_pass(spark):
-    log = spark.createDataFrame(
+    log = frame(
+            spark,
         [("FAIL", datetime(2024, 1, 1, 11, 49, 59)), ("WARN", NOON), ("PASS", NOON)],
         "status string, run_at timestamp_ntz",
     )
     quality.require_gate(log, NOON)
-    edge = spark.createDataFrame([("FAIL", datetime(2024, 1, 1, 11, 50))], log.schema)
+    edge = frame(spark, [("FAIL", datetime(2024, 1, 1, 11, 50))], log.schema)
     with pytest.raises(quality.QualityError):
         quality.require_gate(edge, NOON)
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from conftest import frame
 from tillstream.plans.ingest import first_currency, flatten_order_items, flatten_orders
 from tillstream.plans.reports import hourly_order_metrics
 from tillstream.sources.order_topic import MESSAGE, accepted, decode, encode, folder_stream, rejected
@@ -35,7 +36,7 @@ def event(n, buyer="c1", sold="p1", minutes=None, **changes):
 
 
 def deliver(spark, folder, name, messages):
-    spark.createDataFrame(messages, MESSAGE).coalesce(1).write.parquet(f"{folder}/{name}")
+    frame(spark, messages, MESSAGE).coalesce(1).write.parquet(f"{folder}/{name}")
 
 
 @pytest.fixture
@@ -84,14 +85,14 @@ def test_ingest_resumes_from_its_checkpoint(spark, lake, topic, tmp_path):
     assert table(lake, "orders", "order_id", "order_status") == [("o1", "shipped"), ("o2", "shipped"), ("o3", "shipped")]
 
 
-def test_repeated_micro_batch_changes_nothing(spark, lake):
-    batch = spark.createDataFrame([event(1), event(2), ("bad", "{")], MESSAGE)
+def test_repeated_micro_batch_changes_nothing(spark, lake, rows):
+    batch = frame(spark, [event(1), event(2), ("bad", "{")], MESSAGE)
     run = ingest_messages(lake)
     run(batch, 0)
     names = ("orders", "customers", "products", "order_items", "quarantine")
-    before = {n: lake.read(n).drop("created_at").collect() for n in names}
+    before = {n: rows(lake.read(n).drop("created_at")) for n in names}
     run(batch, 0)
-    assert before == {n: lake.read(n).drop("created_at").collect() for n in names}
+    assert before == {n: rows(lake.read(n).drop("created_at")) for n in names}
     run(batch, 1)
     assert lake.read("orders").count() == lake.read("order_items").count() == 2
 
@@ -142,7 +143,7 @@ def test_parse_reasons_and_defaults(spark):
         event(4, purchased_at=...),
     ]
     good = [event(5, weather=..., quantity=..., freight_value=...), event(6, customer=...)]
-    decoded = decode(spark.createDataFrame(wrong + good, MESSAGE))
+    decoded = decode(frame(spark, wrong + good, MESSAGE))
     reasons = {r.key: r.reason for r in rejected(decoded).collect()}
     assert reasons == {
         "k1": "malformed", "k2": "malformed", "o1": "missing order_status",
@@ -156,12 +157,12 @@ def test_parse_reasons_and_defaults(spark):
 
 
 def test_encoded_events_decode_to_themselves(spark):
-    events = accepted(decode(spark.createDataFrame([event(1), event(2)], MESSAGE)))
+    events = accepted(decode(frame(spark, [event(1), event(2)], MESSAGE)))
     again = accepted(decode(encode(events)))
     assert sorted(events.collect()) == sorted(again.collect())
     assert encode(events).dtypes == [("key", "binary"), ("value", "binary")]
 
 
 def test_first_currency(spark):
-    df = spark.createDataFrame([({"TRY": 1},), ({},), (None,)], "m map<string,int>")
+    df = frame(spark, [({"TRY": 1},), ({},), (None,)], "m map<string,int>")
     assert [r.c for r in df.select(first_currency(df.m).alias("c")).collect()] == ["TRY", "USD", "USD"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,7 @@ from tillstream.plans.quality import (
     schema_tests,
 )
 from tillstream.plans.staging import stg_orders
-from tillstream.sources.tables import Lake
+from tillstream.sources.tables import Lake, side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -27,14 +28,19 @@ def ingest_batch(lake: Lake, incoming: dict[str, DataFrame], batch_id: str) -> N
 
     A batch written before under the same id is replaced.
     """
-    for name, key in (("customers", "customer_id"), ("products", "product_id"), ("orders", "order_id")):
-        if name in incoming:
-            held = lake.other_batches(name, batch_id)
-            rows = incoming[name].count()
-            fresh = insert_if_absent(held, incoming[name], key, incoming_rows=rows)
-            lake.write_batch(fresh, name, batch_id)
+
+    def store(name: str, key: str) -> None:
+        rows = incoming[name].count()
+        held = lake.other_batches(name, batch_id)
+        fresh = insert_if_absent(held, incoming[name], key, incoming_rows=rows)
+        lake.write_batch(fresh, name, batch_id)
+
+    keys = {"customers": "customer_id", "products": "product_id", "orders": "order_id"}
+    writes = [partial(store, name, key) for name, key in keys.items() if name in incoming]
     if "order_items" in incoming:
-        lake.write_batch(incoming["order_items"], "order_items", batch_id)
+        items = incoming["order_items"]
+        writes.append(lambda: lake.write_batch(items, "order_items", batch_id))
+    side_by_side(lake.spark, writes)
 
 
 def run_pipeline(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +65,14 @@ def save_colocated(df: DataFrame, layer: str, name: str, key: str, buckets: int)
     )
 
 
+def side_by_side(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
+    """Run independent writes as concurrent jobs, so that small ones fill idle cores."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    for write in running:
+        write.result()
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables as parquet folders under one root, one folder per layer.
@@ -87,7 +98,7 @@ class Lake:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], full)
+            return conform(self.spark.range(0), full)
 
     def read(self, name: str, schema: T.StructType | None = None, layer: str = "raw") -> DataFrame:
         return self.batches(name, schema, layer).drop(BATCH)

@@ -12,7 +12,7 @@ from tillstream.functions.money import line_revenue
 from tillstream.operators.keyed import insert_if_absent
 from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
-from tillstream.sources.tables import Lake
+from tillstream.sources.tables import Lake, side_by_side
 from tillstream.streaming.ingest import EachBatch
 from tillstream.streaming.jobs import batch_name
 
@@ -82,9 +82,14 @@ def count_hours(lake: Lake, job: str = "hourly") -> EachBatch:
             visits = fresh.select(visit.alias("visit"), "hour").distinct()
             known = lake.other_batches("hourly_visits", batch, VISITS, "staging")
             new_visits = insert_if_absent(known, visits, "visit", incoming_rows=rows)
-            lake.write_batch(totals, "hourly_totals", batch, TOTALS, "staging")
-            lake.write_batch(new_visits, "hourly_visits", batch, VISITS, "staging")
-            lake.write_batch(fresh, "hourly_seen", batch, SEEN, "staging")
+            side_by_side(
+                lake.spark,
+                [
+                    lambda: lake.write_batch(totals, "hourly_totals", batch, TOTALS, "staging"),
+                    lambda: lake.write_batch(new_visits, "hourly_visits", batch, VISITS, "staging"),
+                    lambda: lake.write_batch(fresh, "hourly_seen", batch, SEEN, "staging"),
+                ],
+            )
         finally:
             fresh.unpersist()
             orders.unpersist()

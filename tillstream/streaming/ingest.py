@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.keyed import insert_if_absent
@@ -16,7 +17,7 @@ from tillstream.plans.ingest import (
     product_columns,
 )
 from tillstream.sources.order_topic import accepted, decode, rejected
-from tillstream.sources.tables import Lake
+from tillstream.sources.tables import Lake, side_by_side
 from tillstream.streaming.jobs import batch_name
 
 EachBatch = Callable[[DataFrame, int], None]
@@ -43,12 +44,16 @@ def ingest_messages(lake: Lake, enriched: bool = True, job: str = "ingest") -> E
         try:
             events = accepted(decoded)
             rows = events.count()
-            for table, key, columns in targets:
+
+            def store(table: str, key: str, columns: list[Column]) -> None:
                 incoming = events.select(*columns, F.col("ts").alias("_sent"))
                 held = lake.other_batches(table, batch)
                 fresh = insert_if_absent(held, incoming, key, ["_sent"], rows)
                 lake.write_batch(fresh.drop("_sent"), table, batch)
-            lake.write_batch(rejected(decoded), "quarantine", batch)
+
+            writes = [partial(store, *target) for target in targets]
+            writes.append(lambda: lake.write_batch(rejected(decoded), "quarantine", batch))
+            side_by_side(lake.spark, writes)
         finally:
             decoded.unpersist()
 
