@@ -25,6 +25,7 @@ def as_of_column(as_of: AsOf) -> Column:
 
 def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from start to end, as bigint."""
+    # timestamp_diff would go over TIMESTAMP; subtraction does not.
     seconds = (end - start).cast("interval second").cast("decimal(20,6)")
     return (seconds * F.lit(1_000_000)).cast("bigint")
 
@@ -39,7 +40,7 @@ def day_start(ts: Column) -> Column:
 
 
 def hour_start(ts: Column) -> Column:
-    return day_start(ts) + F.make_dt_interval(F.lit(0), F.hour(ts))
+    return F.timestamp_add("HOUR", F.hour(ts), day_start(ts))
 
 
 def since(df: DataFrame, column: str, as_of: AsOf, lookback: str) -> DataFrame:

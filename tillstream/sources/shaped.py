@@ -66,18 +66,6 @@ def _values(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> Dat
     return table.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def _minutes(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), n.cast("int"))
-
-
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def _seconds(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
-
-
 def _by_word(column: Column, words: dict[str, str], otherwise: str) -> Column:
     picked = None
     for given, word in words.items():
@@ -103,7 +91,7 @@ def order_events_from(events: DataFrame) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("price"),
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
         (F.col("user_id") % 12).cast("int").alias("city_id"),
-        (F.col("ts") - _seconds((F.col("event_id") * 37) % 3600)).alias("purchased_at"),
+        F.timestamp_add("SECOND", (-((F.col("event_id") * 37) % 3600)).cast("int"), F.col("ts")).alias("purchased_at"),
         "ts",
     )
 
@@ -201,19 +189,23 @@ class Shop:
             F.array(*[F.lit(w) for w in WEATHER_WORDS], F.lit(""), F.lit(None).cast("string")),
             (key % 7 + 1).cast("int"),
         )
+
+        def later(unit: str, n: Column, ts: str) -> Column:
+            return F.timestamp_add(unit, n.cast("int"), F.col(ts))
+
         timed = (
             self.table("orders")
-            .withColumn("pts", F.col("o_orderdate") + _seconds((key * 7919) % 86400))
-            .withColumn("ats", F.col("pts") + _minutes(key % 56 + 5))
+            .withColumn("pts", later("SECOND", (key * 7919) % 86400, "o_orderdate"))
+            .withColumn("ats", later("MINUTE", key % 56 + 5, "pts"))
         )
-        estimated = F.col("pts") + _days(F.floor("o_totalprice") % 24 + 7)
+        estimated = later("DAY", F.floor("o_totalprice") % 24 + 7, "pts")
         return timed.select(
             key.cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             status.alias("order_status"),
             F.col("pts").alias("order_purchase_ts"),
             F.col("ats").alias("order_approved_ts"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", F.col("ats") + _days(key % 18 + 3)).alias(
+            F.when(F.col("o_orderpriority") == "1-URGENT", later("DAY", key % 18 + 3, "ats")).alias(
                 "order_delivered_ts"
             ),
             F.to_date(estimated).alias("order_estimated_delivery_date"),
