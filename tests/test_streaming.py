@@ -6,9 +6,12 @@ from datetime import datetime, timedelta
 import pytest
 
 from conftest import frame
+from tillstream.plans.enrich import enrich_country, enrich_weather
 from tillstream.plans.ingest import first_currency, flatten_order_items, flatten_orders
 from tillstream.plans.reports import hourly_order_metrics
 from tillstream.sources.order_topic import MESSAGE, accepted, decode, encode, folder_stream, rejected
+from tillstream.schemas import INT, LONG, STRING, TIME, columns
+from tillstream.streaming.enrich import TABLE, enrich_orders
 from tillstream.streaming.hourly import count_hours, hourly_counts, hourly_windows
 from tillstream.streaming.ingest import append_new_orders, ingest_messages
 from tillstream.streaming.jobs import run_to_end
@@ -166,3 +169,35 @@ def test_encoded_events_decode_to_themselves(spark):
 def test_first_currency(spark):
     df = frame(spark, [({"TRY": 1},), ({},), (None,)], "m map<string,int>")
     assert [r.c for r in df.select(first_currency(df.m).alias("c")).collect()] == ["TRY", "USD", "USD"]
+
+
+@pytest.mark.parametrize("files_at_once", [1, None])
+def test_stream_enrichment_equals_batch_enrichment(spark, lake, tmp_path, rows, files_at_once):
+    events_schema = columns(order_id=STRING, city_id=INT, purchased_at=TIME)
+    files = [
+        [("a", 1, START + timedelta(seconds=10)), ("b", 2, START + timedelta(hours=5)), ("e", 9, START)],
+        [("c", 1, START + timedelta(seconds=330)), ("d", 1, START + timedelta(seconds=331)), ("f", None, None)],
+    ]
+    for n, data in enumerate(files):
+        frame(spark, data, events_schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+    cities = frame(spark, [(1, "Oslo", "NO"), (2, "Rome", "IT")], columns(city_id=INT, city=STRING, country_code=STRING))
+    countries = frame(
+        spark, [("NO", "Norway", "NOK", 5, "Europe")],
+        columns(country_code=STRING, country_name=STRING, currency=STRING, population=LONG, region=STRING),
+    )
+    readings = frame(
+        spark, [(1, START + timedelta(seconds=30), "Rain", 7), (1, START, "Snow", 3)],
+        columns(city_id=INT, fetched_at=TIME, weather_condition=STRING, humidity=INT),
+    )
+    all_events = spark.read.schema(events_schema).parquet(str(tmp_path / "in" / "*"))
+    batch = enrich_weather(enrich_country(all_events.join(cities, "city_id", "left"), countries), readings)
+    stream = folder_stream(spark, str(tmp_path / "in" / "*"), events_schema, files_at_once)
+    each = enrich_orders(lake, cities, countries, readings, batch.schema)
+    run_to_end(stream, each, str(tmp_path / "checkpoint"))
+    assert rows(lake.read(TABLE, batch.schema, "staging")) == rows(batch)
+    weather = {r.order_id: r.weather_condition for r in batch.collect()}
+    # 300 seconds after the reading it is still valid, 301 seconds after it is not.
+    assert weather == {"a": "Snow", "b": "Unknown", "c": "Rain", "d": "Unknown", "e": "Unknown", "f": "Unknown"}
+    facts = {r.order_id: (r.country_name, r.currency, r.population) for r in batch.collect()}
+    assert facts["a"] == ("Norway", "NOK", 5)
+    assert facts["b"] == ("IT", "USD", 0)

@@ -135,7 +135,8 @@ class Lake:
             out = out.withColumn(column, period).hint("rebalance", column)
             out.write.mode("overwrite").partitionBy(column).parquet(path)
         else:
-            out.hint("rebalance").write.mode("overwrite").parquet(path)
+            # Rows come from large splits or from a shuffle that Spark coalesced.
+            out.write.mode("overwrite").parquet(path)
 
     def rebuild(self, df: DataFrame, layer: str, name: str) -> None:
         df.write.mode("overwrite").parquet(self.path(layer, name))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstream.functions.clock import as_of_column
 from tillstream.plans.enrich import enrich_country, enrich_weather, small_or_plain
 from tillstream.schemas import WEATHER_VALID_SECONDS
 from tillstream.sources.tables import Lake
@@ -35,16 +37,18 @@ def enrich_orders(
     places = small_or_plain(cities)
 
     def each_batch(events: DataFrame, batch_id: int) -> None:
-        span = events.agg(F.min("purchased_at").alias("first"), F.max("purchased_at").alias("last"))
-        first, last = span.first()
-        usable = readings
-        if first is not None:
-            taken = F.col("fetched_at")
-            usable = readings.where(
-                taken.between(F.lit(first - timedelta(seconds=valid_seconds)), F.lit(last))
-            )
-        placed = events.join(places, "city_id", "left")
-        full = enrich_weather(enrich_country(placed, countries), usable, valid_seconds=valid_seconds)
-        lake.write_batch(full, TABLE, batch_name(job, batch_id), schema, "staging")
+        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            span = events.agg(F.min("purchased_at").alias("first"), F.max("purchased_at").alias("last"))
+            first, last = span.first()
+            usable = readings
+            if first is not None:
+                oldest = as_of_column(first - timedelta(seconds=valid_seconds))
+                usable = readings.where(F.col("fetched_at").between(oldest, as_of_column(last)))
+            placed = enrich_country(events.join(places, "city_id", "left"), countries)
+            full = enrich_weather(placed, usable, valid_seconds=valid_seconds)
+            lake.write_batch(full, TABLE, batch_name(job, batch_id), schema, "staging")
+        finally:
+            events.unpersist()
 
     return each_batch
