@@ -133,7 +133,7 @@ def test_live_feed_equals_top_of_joined_rows(spark, rows):
     for n in (1, 5, 20, 200):
         expected = (
             joined.where(F.col("order_purchase_ts") >= F.lit("2024-01-01 00:30:00").cast("timestamp_ntz"))
-            .orderBy(F.desc("order_purchase_ts"), "order_id", "customer_id", "price", "customer_city", "country_code")
+            .orderBy(F.desc("order_purchase_ts"), "order_id", "customer_id", "customer_city", "country_code", "price")
             .limit(n)
             .select("order_id", "customer_city", "country_code", "price", "order_purchase_ts")
         )

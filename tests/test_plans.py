@@ -45,9 +45,12 @@ def test_mart_reads_only_the_columns_it_needs(spark, plan):
 
 def test_live_feed_does_not_shuffle_items(spark, plan, no_broadcast):
     shop = Shop(spark, SMALL)
-    feed = reports.live_order_feed(shop.orders(), shop.customers(), shop.order_items(), entry_points.RETAIL_NOW)
+    feed = reports.live_order_feed(
+        shop.orders(), shop.customers(), shop.order_items(), entry_points.RETAIL_NOW, "7 days"
+    )
     text = plan(feed)
     assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert text.count("FileScan parquet [l_orderkey") == 1
 
 
 def test_colocated_tables_join_without_shuffling_orders(spark, plan, no_broadcast):

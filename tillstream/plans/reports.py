@@ -101,16 +101,23 @@ def live_order_feed(
         .orderBy(*by_order)
         .limit(n)
     )
-    prices = items.select("order_id", "price")
-    lines = _top_with_details(newest, prices, "order_id", [*by_order, "price"], n)
     places = customers.select("customer_id", F.col("customer_city").alias("city"), "country_code")
-    by_line = [*by_order, "price", "city", "country_code"]
-    return _top_with_details(lines, places, "customer_id", by_line, n).select(
+    by_place = [*by_order, "city", "country_code"]
+    placed = _top_with_details(_held(newest), places, "customer_id", by_place, n)
+    prices = items.select("order_id", "price")
+    lines = _top_with_details(_held(placed), prices, "order_id", [*by_place, "price"], n)
+    return lines.select(
         "order_id", "city", "country_code", "order_status", "weather_condition",
         "temperature_c", "price", "purchased_at",
     )
 
 
+def _held(top: DataFrame) -> DataFrame:
+    """The few rows of a top n, computed once: a plan that names them twice would
+    otherwise scan their tables twice."""
+    return top.sparkSession.createDataFrame(top.toArrow(), top.schema)
+
+
 def _top_with_details(
     top: DataFrame, details: DataFrame, key: str, order: list, n: int
 ) -> DataFrame:
@@ -123,9 +130,18 @@ def _top_with_details(
     falls to the final limit.
     """
     matched = details.join(F.broadcast(top), key).orderBy(*order).limit(n)
-    rest = top.join(F.broadcast(matched.select(key).distinct()), key, "left_anti")
-    both = matched.unionByName(rest, allowMissingColumns=True)
-    return both.orderBy(*order).limit(n)
+    both = matched.withColumn("_match", F.lit(True)).unionByName(
+        top.withColumn("_match", F.lit(False)), allowMissingColumns=True
+    )
+    # At most 2 n rows.
+    found = F.max("_match").over(Window.partitionBy(key))
+    return (
+        both.withColumn("_found", found)
+        .where(F.col("_match") | ~F.col("_found"))
+        .drop("_match", "_found")
+        .orderBy(*order)
+        .limit(n)
+    )
 
 
 def daily_metrics_recent(mart: DataFrame, n: int = 90) -> DataFrame:
