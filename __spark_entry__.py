@@ -34,6 +34,12 @@ from tillstream.streaming import enrich as stream_enrich  # noqa: E402
 from tillstream.streaming import hourly, ingest as stream_ingest  # noqa: E402
 from tillstream.streaming.jobs import run_to_end  # noqa: E402
 
+try:  # the training-data operators and their pipeline can be left out
+    import corpus_pipeline  # noqa: E402
+    from tillstream.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 SEED = "42"
 
@@ -380,8 +386,16 @@ def queries() -> dict[str, Query]:
         "reject_malformed_events": _stream_reject,
         "pipeline_daily": _pipeline,
     }
-    return {name: _over_shop(plan) for name, plan in plans.items()}
+    found = {name: _over_shop(plan) for name, plan in plans.items()}
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
