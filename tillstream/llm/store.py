@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import io
 import zipfile
 from pathlib import Path
@@ -13,19 +12,15 @@ from pyspark.sql import functions as F
 
 from tillstream.session import work_area
 
-_shipped: set[tuple[str, str]] = set()
+_shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
     """Give the Python workers this package, once per session."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
     root = Path(__file__).resolve().parents[1]
     files = sorted(root.rglob("*.py"))
-    digest = hashlib.sha256()
-    for file in files:
-        digest.update(str(file.relative_to(root)).encode() + b"\0" + file.read_bytes())
-    key = (spark.sparkContext.applicationId, digest.hexdigest())
-    if key in _shipped:
-        return
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w") as archive:
         for file in files:
@@ -33,7 +28,7 @@ def ship_code(spark: SparkSession) -> None:
     path = f"{work_area(spark, 'code')}/{root.name}.zip"
     write_file(path, packed.getvalue())
     spark.sparkContext.addPyFile(path)
-    _shipped.add(key)
+    _shipped.add(spark.sparkContext.applicationId)
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
