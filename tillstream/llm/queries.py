@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, counts, packing, quality, tokenfile
+from tillstream.llm import chat, counts, decontam, jaccard, packing, quality, repeats, shards, tokenfile, warc
 from tillstream.llm.store import work_area
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,14 @@ def op1_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.prefix_examples(told.unionByName(probe)))
 
 
+def op2_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    leaks = decontam.flag_leaks(docs, table(spark, folder, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
+    return leaks.select(
+        "doc_id", "leak.item_id", "leak.similarity", F.col("leak.from").alias("from_byte"), F.col("leak.to").alias("to_byte")
+    )
+
+
 def op3_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     capacity = packing.Capacity()
     found = packing.pieces(table(spark, folder, "documents"), "word_bpe_49k.json", 0, capacity.tokens)
@@ -46,6 +54,14 @@ def op5_digest_cache_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.count_tokens(table(spark, folder, "documents"), "piece_bpe_32k.model", cache)
 
 
+def op6_chain_verified_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+
+
+def op7_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, folder, "documents"))
+
+
 def op8_ngram_ratio_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rated = quality.rate(docs, table(spark, folder, "labels"))
@@ -53,15 +69,35 @@ def op8_ngram_ratio_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", *[f"rated.{n}" for n in names])
 
 
+def op9_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.kd_shards(table(spark, folder, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_bwt_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id", F.col("cut_bytes").alias("n_bytes"), F.col("cut_removed").alias("n_removed"),
+        F.col("cut_spans").alias("n_spans"), F.sha2("cut_text", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_chat_prefix_targets,
+            op2_simhash_windows,
             op3_vector_best_fit,
             op4_seekable_token_frames,
             op5_digest_cache_counts,
+            op6_chain_verified_warc,
+            op7_parity_sketch_join,
             op8_ngram_ratio_quality,
+            op9_kd_tree_shards,
+            op10_bwt_interval_dedup,
         )
     }
 
