@@ -5,9 +5,9 @@ A byte goes if a string of LENGTH bytes covers it that also starts at another pl
 Every window of LENGTH bytes has a key, the smallest hash of the K-byte strings inside it,
 so equal windows have equal keys.  A run of windows with one key is a chunk; a text is cut
 into few chunks.  Tasks send each chunk's key and content hash, not its bytes, and chunks
-meet by key: a key that occurs once cannot repeat; contents that occur twice repeat as a
-whole; what is left is one chunk of each different content under a key that others have,
-too.  Only these are fetched, and in each task a Burrows-Wheeler transform of them is
+meet by key: a key that occurs once cannot repeat (but for periodic text, which is told by
+its chunk); contents that occur twice repeat as a whole; what is left is one chunk of each
+different content under a key that others have, too.  Only these are fetched, and in each task a Burrows-Wheeler transform of them is
 expanded breadth-first up to LENGTH (bwt.py), which tells exactly which windows repeat.
 """
 
@@ -36,7 +36,7 @@ CROWD = 4096  # different contents of one key that go into a transform; beyond,
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 CHUNK = np.dtype(
-    [("key", "<u8"), ("c1", "<u8"), ("c2", "<u4"), ("row", "<i8"), ("start", "<i8"), ("n", "<u2"), ("state", "u1")]
+    [("key", "<u8"), ("c1", "<u8"), ("c2", "<u4"), ("row", "<i8"), ("start", "<i8"), ("n", "<u2"), ("state", "u1"), ("loops", "u1")]
 )
 NEW, TWICE, DONE = 0, 1, 2  # state: seen once by its task, seen again there, only to be passed on
 
@@ -86,6 +86,8 @@ def chunks(texts: Texts, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
     (s1, i1), (s2, i2) = _sums(data)
     h = mix((s1[k:] - s1[:-k]) * i1[: len(data) - k + 1])
     key = _smallest(h, length - k + 1)
+    # Two windows of a chunk can only be equal if a window but the last begins with the key.
+    led = np.concatenate([[0], np.cumsum(h[: len(key)] == key, dtype=np.int32)])
     del h
     edge = np.zeros(len(data) + 1, np.int8)
     some = windows > 0
@@ -106,6 +108,7 @@ def chunks(texts: Texts, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
     end = to + length - 1
     out = np.zeros(len(at), CHUNK)
     out["key"], out["row"], out["start"], out["n"] = key[at], text, at - begins[text], to - at
+    out["loops"] = led[to - 1] > led[at]
     size = (end - at).astype(_U)
     out["c1"] = mix((s1[end] - s1[at]) * i1[at] + size)
     out["c2"] = (mix((s2[end] - s2[at]) * i2[at] + size) >> _U(32)).astype(np.uint32)
@@ -177,7 +180,7 @@ _FOUND = "key long, row long, start long, n int, settled boolean, left boolean"
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of this partition that repeat as a whole (settled), and one of each content that
-    has company under its key (left)."""
+    has company under its key or may repeat in itself (left)."""
     held = [np.frombuffer(x, CHUNK) for batch in batches for x in batch["chunks"].to_pylist()]
     if not held:
         return
@@ -208,7 +211,7 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     alone[1:] &= key[1:] != key[:-1]
     alone[:-1] &= key[1:] != key[:-1]
     left = np.zeros(len(c), bool)
-    left[first[~alone]] = True
+    left[first[~alone | (c["loops"][first] > 0)]] = True
     keep = settled | left
     yield from rows(np.ascontiguousarray(c[keep]), settled[keep], left[keep])
 
