@@ -1,22 +1,71 @@
-"""From raw documents to packed training sequences: STAGES over the table documents."""
+"""From raw documents to packed training sequences: STAGES over the table documents.
+
+Each stage takes what its predecessor kept.  All but the last return the columns of their
+input; the last returns one row a piece of packed text.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import packing, quality
+from tillstream.llm import decontam, jaccard, packing, quality, repeats
 from tillstream.llm.store import written
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 0
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail the base or the ratio go."""
-    name = "rated"
-    while name in docs.columns:
-        docs, name = docs.withColumnRenamed(name, name), name + "_"
-    rated = quality.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return rated.where("rated.kept").select(*docs.columns)
+    name = _free(docs, "rated")
+    rated = quality.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), name)
+    return rated.where(F.col(name)["kept"]).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of linked documents the one with the smallest doc_id stays."""
+    return jaccard.one_of_each_component(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: repeated byte strings are cut out; documents with nothing left go.
+
+    A character of which a byte was cut goes as a whole; n_chars counts anew.
+    """
+
+    def text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index("text")
+            known = batch.column(place).is_valid().to_pylist()
+            kept = batch["cut_text"].to_pylist()
+            whole = [x.decode("utf-8", errors="ignore") if k else None for x, k in zip(kept, known, strict=True)]
+            out = batch.drop_columns(["cut_bytes", "cut_removed", "cut_spans", "cut_text"])
+            yield out.set_column(place, "text", pa.array(whole, pa.string()))
+
+    done = repeats.cut_repeats(docs)
+    left = done.where((F.length("cut_text") > 0) | (F.col("cut_bytes") == 0))
+    out = left.mapInArrow(text, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that leak an item go."""
+    name = _free(docs, "leaks")
+    flagged = decontam.flag_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name)
+    return flagged.where(F.size(name) == 0).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +76,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", keep_good),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", without_leaks),
     ("best-fit packing", pack_sequences),
 ]
 
-# Word pairs, suffix structures and tokenizers cannot be stated in SQL.
+# Similarity by components, repeated byte strings and tokenizers cannot be stated in SQL.
 ORACLE_SQL = None
 
 

@@ -281,15 +281,8 @@ def _verify_blocks(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return units.groupBy("sign", "i", "j").applyInArrow(check, "a long, b long")
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of docs (doc_id, text).
-
-    A text of fewer than WIDTH words has its whole sequence as the only shingle; a null
-    text or one without words has none and links with nothing.  Repeated rows and equal
-    texts are linked.  A null doc_id is never the smallest of a component with others.
-    Other columns are ignored; an empty table gives an empty one.  Shingles and sets are
-    named by 64-bit hashes.
-    """
+def _placed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, n, root) of docs: row is a hash of id and text, root names the component."""
     spark = docs.sparkSession
     ship_code(spark)
     parts = shuffle_parts(spark)
@@ -334,10 +327,36 @@ def similar_components(docs: DataFrame) -> DataFrame:
     links = written(links.unionByName(more), "verified")
 
     roots = components(links).withColumnRenamed("node", "name")
-    placed = meta.join(roots, "name", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "name")).alias("root")
-    )
+    root = F.when(F.col("n") > 0, F.coalesce("root", "name")).alias("root")
+    return meta.join(roots, "name", "left").select("row", "doc_id", "n", root)
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of docs (doc_id, text).
+
+    A text of fewer than WIDTH words has its whole sequence as the only shingle; a null
+    text or one without words has none and links with nothing.  Repeated rows and equal
+    texts are linked.  A null doc_id is never the smallest of a component with others.
+    Other columns are ignored; an empty table gives an empty one.  Shingles and sets are
+    named by 64-bit hashes.
+    """
+    placed = _placed(docs)
     smallest = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_component(docs: DataFrame) -> DataFrame:
+    """docs without those that are linked, over any number of links, to one that stays.
+
+    The row with the smallest doc_id stays, nulls last; of rows with equal id and text
+    one stays.  Texts without words are linked with nothing and all stay.
+    """
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    placed = _placed(docs).where("root is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("_row")
+    chosen = placed.groupBy("root").agg(first).select("_row")
+    rows = docs.where(has_word).withColumn("_row", F.xxhash64("doc_id", "text"))
+    kept = rows.join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.select(*docs.columns).unionByName(docs.where(~has_word))
