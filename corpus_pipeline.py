@@ -18,54 +18,54 @@ from tillstream.llm.store import written
 TOKENIZER, END_ID = "word_bpe_49k.json", 0
 
 
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that docs does not have."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name
+def _narrow(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the other columns as one, so that no name clashes with an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(1).alias("_"), *rest).alias("rest"))
+
+
+def _wide(narrow: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs again."""
+    return narrow.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail the base or the ratio go."""
-    name = _free(docs, "rated")
-    rated = quality.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), name)
-    return rated.where(F.col(name)["kept"]).select(*docs.columns)
+    rated = quality.rate(_narrow(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _wide(rated.where("rated.kept"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of linked documents the one with the smallest doc_id stays."""
-    return jaccard.one_of_each_component(docs)
+    return _wide(jaccard.one_of_each_component(_narrow(docs)), docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated byte strings are cut out; documents with nothing left go.
 
-    A character of which a byte was cut goes as a whole; n_chars counts anew.
+    A character of which a byte was cut goes as a whole; n_chars counts anew.  A null text
+    stays null.
     """
+    narrow = _narrow(docs)
 
     def text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.schema.get_field_index("text")
-            known = batch.column(place).is_valid().to_pylist()
-            kept = batch["cut_text"].to_pylist()
+            known, kept = batch["text"].is_valid().to_pylist(), batch["cut_text"].to_pylist()
             whole = [x.decode("utf-8", errors="ignore") if k else None for x, k in zip(kept, known, strict=True)]
-            out = batch.drop_columns(["cut_bytes", "cut_removed", "cut_spans", "cut_text"])
-            yield out.set_column(place, "text", pa.array(whole, pa.string()))
+            yield pa.record_batch({"doc_id": batch["doc_id"], "text": pa.array(whole, pa.string()), "rest": batch["rest"]})
 
-    done = repeats.cut_repeats(docs)
+    done = repeats.cut_repeats(narrow)
     left = done.where((F.length("cut_text") > 0) | (F.col("cut_bytes") == 0))
-    out = left.mapInArrow(text, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes))
+    out = _wide(left.mapInArrow(text, narrow.schema), docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that leak an item go."""
-    name = _free(docs, "leaks")
-    flagged = decontam.flag_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name)
-    return flagged.where(F.size(name) == 0).select(*docs.columns)
+    flagged = decontam.flag_leaks(_narrow(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _wide(flagged.where(F.size("leaks") == 0), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.llm.store import gapless, ship_code, shuffle_parts, written
 from tillstream.llm.textblock import blocks
@@ -139,8 +140,8 @@ def pack(found: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
             yield done.append_column("offset", pa.array(offsets[k]))
 
     columns = [F.col(c) for c in held.columns]
-    out = ", ".join(f"`{n}` {t}" for n, t in held.dtypes)
-    return ranked.select(*columns, "rank").mapInArrow(place, f"{out}, sequence_id long, `offset` long")
+    out = T.StructType(held.schema.fields).add("sequence_id", "long").add("offset", "long")
+    return ranked.select(*columns, "rank").mapInArrow(place, out)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, counts, decontam, jaccard, packing, quality, repeats, shards, tokenfile, warc
+from tillstream.llm import chat, counts, decontam, jaccard, packing, quality, repeats, shards, sql, tokenfile, warc
 from tillstream.llm.store import work_area
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,4 +103,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat_prefix_targets": sql.chat_prefix_targets(),
+        "op6_chain_verified_warc": sql.WARC,
+        "op7_parity_sketch_join": sql.SIMILAR,
+        "op10_bwt_interval_dedup": sql.REPEATS,
+    }

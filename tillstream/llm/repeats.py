@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.llm.bwt import repeated_places
 from tillstream.llm.store import ship_code, shuffle_parts, written
@@ -351,5 +352,5 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
                 out = out.append_column(name, pa.array(values, pa.int64()))
             yield out.append_column("cut_text", pa.array(kept, pa.binary()))
 
-    out = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return joined.mapInArrow(cut, f"{out}, cut_bytes long, cut_removed long, cut_spans long, cut_text binary")
+    added = T.StructType.fromDDL("cut_bytes long, cut_removed long, cut_spans long, cut_text binary")
+    return joined.mapInArrow(cut, T.StructType(docs.schema.fields + added.fields))
