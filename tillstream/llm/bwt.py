@@ -14,7 +14,7 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     for j in range(width):
         key = (key << 9) | padded[j : j + n]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         held = key[order]
         rank = np.empty(n, np.int64)
         step = np.concatenate([[0], np.cumsum(held[1:] != held[:-1])])
@@ -43,7 +43,7 @@ def repeated_places(text: np.ndarray, length: int) -> np.ndarray:
     # A last symbol below all others makes the transform one of suffixes.
     symbols = np.concatenate([text.astype(np.int64) + 1, [0]])
     order = sorted_suffixes(symbols, length + 1)
-    before = symbols[order - 1]
+    before = symbols[order - 1].astype(np.int16)  # 16 bits are sorted by radix
     by_symbol = np.argsort(before, kind="stable")
     forward = np.empty(n + 1, np.int64)  # the place of a suffix that begins one symbol earlier
     forward[by_symbol] = np.arange(n + 1)
