@@ -5,13 +5,21 @@ Two documents link when 100 * |A and B| >= 80 * |A or B| for their sets of 5-wor
 A sketch has one bit a shingle hash may flip; equal shingles flip the same bit, so the
 Hamming distance of two sketches is at most the symmetric difference of the sets.  A
 sketch is cut into more cells than the sets of a size band may differ in, so linked sets
-agree in a whole cell, and in one that is not empty: sets with so many empty cells that
-this is not certain are sketched again with another seed.  Documents meet on equal cells.
+agree in whole cells.  If D is the largest difference of a set to any partner and more
+than D of its cells are not empty, it agrees with each partner in a cell that is among
+the first D + 1 of both in one common order of cells; only these are sent, those with most
+shingles first.  Documents meet on equal cells.
+
+Shingles that are frequent in a bounded sample are left out of these sketches, which only
+lowers the difference, so that documents do not meet on what very many share.  Sets with
+too few cells left are sketched again from all shingles, with other seeds if need be; of
+two linked sets one that had enough cells is enough, so these meet among themselves.
 
 Equal sets are one class from the start.  A group of classes that meet on a cell is
 verified as a star around its first class; only groups that are then still apart are
-verified further, pair by pair in small groups and block by block in large ones, so copies
-are never multiplied into pairs and no link between components is lost.
+looked at further, pair by pair in small groups and block by block in large ones, so
+copies are never multiplied into pairs and no link between components is lost.  A pair
+whose whole sketches are too far apart is dropped, the others are verified on their sets.
 """
 
 from __future__ import annotations
@@ -32,7 +40,10 @@ WIDTH = 5
 SEEDS = 24  # sketches of a set with too many empty cells; after them its empty cells count, too
 CELL_BITS = 12
 FLUSH_KEYS = 1_000_000
-SMALL = 64  # members of a group that are verified pair by pair
+SMALL = 64  # members of a group that are looked at pair by pair
+SAMPLE = 4096  # different texts that frequent shingles are taken from, about
+OFTEN = 4  # texts of the sample that have a frequent shingle
+MOST_FREQUENT = 1_000_000  # frequent shingles, at most
 _U = np.uint64
 
 
@@ -48,7 +59,7 @@ def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts.append(max(starts[-1] + 1, -(-starts[-1] * 5 // 4)))
     starts_ = np.array(starts, np.int64)
     differ = (starts_[1:] - 1) // 4
-    return starts_, differ, differ + 2 + differ // 30
+    return starts_, differ, differ + 2 + differ // 4
 
 
 def shingle_sets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -70,46 +81,97 @@ def classes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix((sums[at[1:]] - sums[at[:-1]]) + mix(np.diff(at).astype(_U))).view(np.int64)
 
 
-def cell_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the cells of each set's sketches, and the set each belongs to."""
+def sketches(h: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """A bit sketch of each set, of a power of two of bits and at least twice its size."""
+    size = np.diff(at)
+    bits = np.left_shift(1, np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64)))
+    begin = np.concatenate([[0], np.cumsum(bits)])
+    who = np.repeat(np.arange(len(size)), size)
+    flips = begin[who] + (mix(h + _U(0x1B873593)) & (bits[who] - 1).astype(_U)).astype(np.int64)
+    raw = np.packbits(np.bincount(flips, minlength=begin[-1]).astype(np.uint8) & 1).tobytes()
+    cut = (begin // 8).tolist()
+    return [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
+    """Whether sets of these sketches and sizes can be similar enough."""
+    if 100 * min(n_a, n_b) < 80 * max(n_a, n_b):
+        return False
+    x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    # 100 * (n_a + n_b - d) / 2 >= 80 * (n_a + n_b + d) / 2
+    return 180 * int(np.bitwise_count(x ^ y).sum()) <= 20 * (n_a + n_b)
+
+
+class Frequent:
+    """Shingles that many texts have: a bounded table."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes.astype(_U))
+        self.bits = np.zeros(1 << 20, bool)
+        self.bits[(self.hashes >> _U(44)).astype(np.int64)] = True
+
+    def among(self, h: np.ndarray) -> np.ndarray:
+        out = self.bits[(h >> _U(44)).astype(np.int64)]
+        some = np.flatnonzero(out)
+        if len(some):
+            place = np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)
+            out[some] = self.hashes[place] == h[some]
+        return out
+
+
+def cell_keys(h: np.ndarray, at: np.ndarray, frequent: Frequent | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the cells of each set's sketches that are sent, and the set each belongs to."""
     starts, differ, cells = _bands()
     size = np.diff(at)
     band = np.searchsorted(starts, size, side="right") - 1
+    rare = None if frequent is None or not len(frequent.hashes) else ~frequent.among(h)
     keys, owners = [], []
     for lower in (0, 1):
         joint = band - lower
         live = np.flatnonzero((size > 0) & (joint >= 0))
-        for seed in range(SEEDS + 1):
+        for seed in range(0 if rare is not None else 1, SEEDS + 1):
             if not len(live):
                 break
             n = size[live]
             begin = np.concatenate([[0], np.cumsum(n)])
             who = np.repeat(np.arange(len(live)), n)
-            x = h[at[live][who] + np.arange(begin[-1]) - begin[:-1][who]]
+            source = at[live][who] + np.arange(begin[-1]) - begin[:-1][who]
+            if seed == 0:
+                keep = rare[source]
+                source, who = source[keep], who[keep]
             many = cells[joint[live]].astype(_U)
-            if seed:
-                x = mix(x + _U(seed))
+            x = h[source] if seed < 2 else mix(h[source] + _U(seed))
             # The bit a hash flips: its cell, and the place inside the cell.
             cell = ((x >> _U(32)) * many[who]) >> _U(32)
             bit = mix(x) >> _U(64 - CELL_BITS)
             where = (who.astype(_U) << _U(40)) | cell
-            if seed:
+            if seed > 1:
                 order = np.argsort(where, kind="stable")
                 where, bit = where[order], bit[order]
-            word = mix(((where & _U((1 << 40) - 1)) << _U(CELL_BITS)) + bit + _U(1))
-            first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-            value = np.bitwise_xor.reduceat(word, first)
-            place = where[first]
-            whose, number = (place >> _U(40)).astype(np.int64), place & _U((1 << 40) - 1)
-            full = np.bincount(whose[value != 0], minlength=len(live))
-            tag = mix((joint[live][whose].astype(_U) << _U(32)) + _U(seed) * _U(0x100000001B3) + mix(number))
-            some = value != 0
-            keys.append(mix(value ^ tag)[some])
-            owners.append(live[whose[some]])
-            poor = many.astype(np.int64) - full > many.astype(np.int64) - np.minimum(differ[joint[live]], n // 4) - 1
+            most = np.minimum(differ[joint[live]], n // 4)  # the largest difference to a partner
+            if len(where):
+                first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+                place = where[first]
+                whose, number = (place >> _U(40)).astype(np.int64), place & _U((1 << 40) - 1)
+                word = mix(((where & _U((1 << 40) - 1)) << _U(CELL_BITS)) + bit + _U(1))
+                tag = mix((joint[live][whose].astype(_U) << _U(32)) + _U(seed) * _U(0x100000001B3) + mix(number))
+                key = mix(np.bitwise_xor.reduceat(word, first) ^ tag)
+                fat = np.diff(np.append(first, len(where)))
+                order = np.lexsort((key, -fat, whose))
+                rank = np.arange(len(order)) - np.searchsorted(whose[order], whose[order])
+                order = order[rank <= most[whose[order]]]
+                keys.append(key[order])
+                owners.append(live[whose[order]])
+            else:
+                whose, number = np.zeros(0, np.int64), np.zeros(0, _U)
+            poor = np.bincount(whose, minlength=len(live)) <= most
             if seed == SEEDS and poor.any():
                 for k in np.flatnonzero(poor):
-                    held = set(number[(whose == k) & some].tolist())
+                    held = set(number[whose == k].tolist())
                     empty = np.array([c for c in range(int(many[k])) if c not in held], _U)
                     keys.append(mix(mix(_U(joint[live[k]]) + (empty << _U(20))) + _U(3)))
                     owners.append(np.full(len(empty), live[k]))
@@ -122,7 +184,7 @@ def cell_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _PACKED = "bucket int, keys binary, which binary, names binary, sizes binary"
 
 
-def _emit_keys(parts: int):
+def _emit_keys(parts: int, frequent: Frequent):
     """Tasks' cells, packed: a row for each bucket with its keys, sets and their sizes."""
 
     def pack(keys, owner, names, sizes) -> pa.RecordBatch:
@@ -153,7 +215,7 @@ def _emit_keys(parts: int):
             sizes = np.diff(at)[first]
             begin = np.concatenate([[0], np.cumsum(sizes)])
             who = np.repeat(np.arange(len(first)), sizes)
-            keys, owner = cell_keys(h[at[first][who] + np.arange(begin[-1]) - begin[:-1][who]], begin)
+            keys, owner = cell_keys(h[at[first][who] + np.arange(begin[-1]) - begin[:-1][who]], begin, frequent)
             held.append((keys, owner + n_sets, names[first], sizes))
             n_keys, n_sets = n_keys + len(keys), n_sets + len(first)
             if n_keys > FLUSH_KEYS:
@@ -211,11 +273,29 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _frequent(docs: DataFrame) -> Frequent:
+    """Shingles that OFTEN texts of a sample have.  Which they are changes the work, not the result."""
+    every = max(1, docs.count() // SAMPLE)
+    picked = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct().repartition(1)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [shingle_sets(texts)[0] for _, texts in blocks(batches, "text")]
+        if found:
+            h, n = np.unique(np.concatenate(found), return_counts=True)
+            often = np.flatnonzero(n >= OFTEN)
+            often = often[np.argsort(-n[often], kind="stable")][:MOST_FREQUENT]
+            yield pa.record_batch({"h": pa.array(h[often].view(np.int64))})
+
+    rows = picked.mapInArrow(count, "h long").toArrow()  # MOST_FREQUENT at most
+    return Frequent(np.asarray(rows["h"].combine_chunks()).view(_U) if rows.num_rows else np.zeros(0, _U))
+
+
 def _fetch_sets(docs: DataFrame, meta: DataFrame, wanted: DataFrame) -> DataFrame:
     """(name, hashes) of the wanted classes, from the text of one document each."""
     first = meta.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("row").alias("row"))
+    first = written(first.select("row").distinct(), "wanted")  # its size is known: a small one is broadcast
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("row"))
-    found = rows.join(first.select("row").distinct(), "row", "left_semi").select("text")
+    found = rows.join(first, "row", "left_semi").select("text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in blocks(batches, "text"):
@@ -239,46 +319,60 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 80 * (len(a) + len(b) - both)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _near(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches (name, n, sketch) are near enough."""
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch["x"].to_pylist(), batch["y"].to_pylist()
-            good = [linked(np.frombuffer(p, _U), np.frombuffer(q, _U)) for p, q in zip(x, y, strict=True)]
+            columns = [batch[c].to_pylist() for c in ("x", "n_x", "y", "n_y")]
+            good = [may_link(*row) for row in zip(*columns, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = sets.select(F.col("name").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("name").alias("b"), F.col("hashes").alias("y"))
+    left = drawn.select(F.col("name").alias("a"), F.col("n").alias("n_x"), F.col("sketch").alias("x"))
+    right = drawn.select(F.col("name").alias("b"), F.col("n").alias("n_y"), F.col("sketch").alias("y"))
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(check, "a long, b long")
 
 
-def _verify_blocks(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links inside groups (sign, name, comp) of many members, block by block.
+def _near_in_blocks(groups: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Pairs of different components with near sketches inside groups (sign, name, comp, n) of many.
 
-    Each unit holds two blocks of at most SMALL members, so a group of m members is m / SMALL
-    squared units over all tasks; only links come out.
+    Each unit holds two blocks of about SMALL members, so a large group is spread over
+    many tasks; only near pairs come out.
     """
-    n_blocks = F.ceil(F.col("n") / SMALL).cast("int")
-    members = groups.withColumn("block", F.pmod(F.xxhash64("name"), n_blocks))
+    n_blocks = F.ceil(F.col("members") / SMALL).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    units = members.withColumn("n_blocks", n_blocks).select("sign", "name", "comp", "block", other.alias("other"))
-    units = units.select(
+    units = groups.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("name"), "n_blocks").cast("int"))
+    units = units.select("sign", "name", "comp", "block", other.alias("other")).select(
         "sign", "name", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    ).join(sets, "name")
+    )
 
-    def check(frame: pa.Table) -> pa.Table:
-        names, comps = frame["name"].to_pylist(), frame["comp"].to_pylist()
-        held = [np.frombuffer(x, _U) for x in frame["hashes"].to_pylist()]
-        block, i, j = frame["block"].to_pylist(), frame["i"][0].as_py(), frame["j"][0].as_py()
+    def check(unit: pa.Table) -> pa.Table:
+        rows = list(zip(*[unit[c].to_pylist() for c in ("name", "comp", "block", "n", "sketch")], strict=True))
+        i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
+        left, right = [r for r in rows if r[2] == i], [r for r in rows if r[2] == j]
         found = [
-            (names[p], names[q])
-            for p in range(len(names)) if block[p] == i
-            for q in range(len(names)) if block[q] == j and names[p] != names[q] and comps[p] != comps[q] and linked(held[p], held[q])
+            (p[0], q[0]) for p in left for q in right
+            if p[1] != q[1] and (i < j or p[0] < q[0]) and may_link(p[4], p[3], q[4], q[3])
         ]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return units.groupBy("sign", "i", "j").applyInArrow(check, "a long, b long")
+    return units.join(drawn, "name").groupBy("sign", "i", "j").applyInArrow(check, "a long, b long")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, meta: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link."""
+    pairs = written(pairs, "near")
+    sets = _fetch_sets(docs, meta, pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct())
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch["x"].to_pylist(), batch["y"].to_pylist()
+            good = [linked(np.frombuffer(p, _U), np.frombuffer(q, _U)) for p, q in zip(x, y, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    left = sets.select(F.col("name").alias("a"), F.col("hashes").alias("x"))
+    right = sets.select(F.col("name").alias("b"), F.col("hashes").alias("y"))
+    return pairs.join(right, "b").join(left, "a").mapInArrow(check, "a long, b long")
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -291,24 +385,30 @@ def _placed(docs: DataFrame) -> DataFrame:
         for batch, texts in blocks(batches, "text"):
             h, at = shingle_sets(texts)
             yield pa.record_batch(
-                {"doc_id": batch["doc_id"], "row": batch["row"], "n": pa.array(np.diff(at)), "name": pa.array(classes(h, at))}
-            )
+                {
+                    "doc_id": batch["doc_id"], "row": batch["row"], "n": pa.array(np.diff(at)), "name": pa.array(classes(h, at)),
+                    "sketch": pa.array(sketches(h, at), pa.binary()),
+                }
+            )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("row"))
-    meta = written(rows.mapInArrow(describe, "doc_id long, row long, n long, name long"), "classes")
+    full = written(rows.mapInArrow(describe, "doc_id long, row long, n long, name long, sketch binary"), "classes")
+    meta = full.drop("sketch")
 
-    packed = docs.select("text").mapInArrow(_emit_keys(parts), _PACKED).repartitionById(parts, F.col("bucket"))
-    groups = written(
-        packed.mapInArrow(_meet, "sign long, times long, members array<long>, sizes array<long>"), "groups"
-    )
+    packed = docs.select("text").mapInArrow(_emit_keys(parts, _frequent(docs)), _PACKED)
+    met = packed.repartitionById(parts, F.col("bucket")).mapInArrow(_meet, "sign long, times long, members array<long>, sizes array<long>")
+    groups = written(met, "groups")
     wanted = groups.select(F.explode("members").alias("name")).distinct()
-    sets = _fetch_sets(docs, meta, wanted)
+    drawn = full.select("name", "n", "sketch").join(wanted, "name", "left_semi").groupBy("name").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
+    drawn = written(drawn, "sketches")
 
     # Each class with the first class of a group that it meets most often.
     stars = groups.select(F.get("members", 0).alias("a"), F.explode(F.slice("members", 2, F.size("members") - 1)).alias("b"), "times")
-    met = stars.groupBy("a", "b").agg(F.sum("times").alias("times"))
-    best = met.groupBy("b").agg(F.max(F.struct("times", "a"))["a"].alias("a"))
-    links = written(_verify(best, sets), "verified")
+    counted = stars.groupBy("a", "b").agg(F.sum("times").alias("times"))
+    best = counted.groupBy("b").agg(F.max(F.struct("times", "a"))["a"].alias("a"))
+    links = written(_verify(_near(best, drawn), docs, meta), "verified")
 
     # Groups whose members are still apart.
     roots = components(links)
@@ -316,15 +416,16 @@ def _placed(docs: DataFrame) -> DataFrame:
     flat = flat.select("sign", F.col("m.members").alias("name"), F.col("m.sizes").alias("size")).distinct()
     flat = flat.join(roots.withColumnRenamed("node", "name"), "name", "left")
     flat = written(flat.select("sign", "name", "size", F.coalesce("root", "name").alias("comp")), "members")
-    apart = flat.groupBy("sign").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-    apart = flat.join(apart.where("lo <> hi").select("sign", "n"), "sign")
-    x, y = apart.where(f"n <= {SMALL}").alias("x"), apart.where(f"n <= {SMALL}").alias("y")
+    apart = flat.groupBy("sign").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
+    apart = flat.join(apart.where("lo <> hi").select("sign", "members"), "sign")
+    small, large = apart.where(f"members <= {SMALL}"), apart.where(f"members > {SMALL}")
+    x, y = small.alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.sign") == F.col("y.sign")) & (F.col("x.name") < F.col("y.name"))).where(
         "x.comp <> y.comp and 100 * least(x.size, y.size) >= 80 * greatest(x.size, y.size)"
     )
     pairs = pairs.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-    more = _verify(pairs, sets).unionByName(_verify_blocks(apart.where(f"n > {SMALL}"), sets))
-    links = written(links.unionByName(more), "verified")
+    near = _near(pairs, drawn).unionByName(_near_in_blocks(large, drawn)).distinct()
+    links = written(links.unionByName(_verify(near, docs, meta)), "verified")
 
     roots = components(links).withColumnRenamed("node", "name")
     root = F.when(F.col("n") > 0, F.coalesce("root", "name")).alias("root")
