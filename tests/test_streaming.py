@@ -91,15 +91,78 @@ def test_ingest_resumes_from_its_checkpoint(spark, lake, topic, tmp_path):
 def test_repeated_micro_batch_changes_nothing(spark, lake, rows):
     batch = frame(spark, [event(1), event(2), ("bad", "{")], MESSAGE)
     run = ingest_messages(lake)
-    run(batch, 0)
+    run(batch, "s-0")
     names = ("orders", "customers", "products", "order_items", "quarantine")
     before = {n: rows(lake.read(n).drop("created_at")) for n in names}
-    run(batch, 0)
+    run(batch, "s-0")
     assert before == {n: rows(lake.read(n).drop("created_at")) for n in names}
-    run(batch, 1)
+    run(batch, "s-1")
     assert lake.read("orders").count() == lake.read("order_items").count() == 2
 
 
+def test_another_checkpoint_keeps_what_is_stored(spark, lake, tmp_path):
+    """A stream with a fresh checkpoint counts its micro-batches from 0 again."""
+    for name, sent in (("one", [event(1), event(2)]), ("two", [event(2, order_status="returned"), event(3)])):
+        deliver(spark, str(tmp_path / name), "1", sent)
+        run_to_end(messages_of(spark, str(tmp_path / name)), ingest_messages(lake), str(tmp_path / f"{name}-checkpoint"))
+    assert table(lake, "orders", "order_id", "order_status") == [("o1", "shipped"), ("o2", "shipped"), ("o3", "shipped")]
+    assert lake.read("order_items").count() == 3
+
+
+def test_two_kinds_of_stream_share_the_tables(spark, lake, topic, tmp_path):
+    deliver(spark, topic, "1", [event(1), event(2), ("bad", "{")])
+    run_to_end(messages_of(spark, topic), ingest_messages(lake, enriched=False), str(tmp_path / "simple"))
+    deliver(spark, topic, "2", [event(3)])
+    run_to_end(messages_of(spark, topic), ingest_messages(lake), str(tmp_path / "enriched"))
+    assert table(lake, "order_items", "order_id", "seller_id") == [
+        ("o1", "kafka-seller"), ("o2", "kafka-seller"), ("o3", "kafka-hybrid"),
+    ]
+    assert lake.read("quarantine").count() == 2
+
+
+def test_simple_event_needs_its_fields(spark):
+    sent = [event(1, quantity=...), event(2, customer=...), event(3, freight_value=...), event(4)]
+    reasons = {r.key: r.reason for r in rejected(decode(frame(spark, sent, MESSAGE), enriched=False)).collect()}
+    assert reasons == {"o1": "missing quantity", "o2": "missing customer.city", "o3": "missing freight_value"}
+
+
+def test_an_unreadable_time_never_comes_first(spark, lake):
+    sent = [event(1, buyer="c1", ts="soon"), event(2, buyer="c1"), event(3, buyer="c1", ts=...)]
+    ingest_messages(lake)(frame(spark, sent, MESSAGE), "s-0")
+    assert table(lake, "customers", "customer_id", "customer_city") == [("c1", "city2")]
+
+
+def test_compaction_keeps_the_rows(spark, lake, rows):
+    for n in range(3):
+        ingest_messages(lake)(frame(spark, [event(n), ("bad", "{")], MESSAGE), f"s-{n}")
+    for name in ("orders", "order_items", "quarantine"):
+        lake.compact(name, "closed")
+        again = lake.read(f"{name}_compacted", lake.read(name).drop("order_date").schema)
+        assert rows(again.drop("order_date", "created_at")) == rows(lake.read(name).drop("order_date", "created_at"))
+
+
+def test_enrichment_sees_readings_that_arrive_later(spark, lake, tmp_path):
+    events = columns(order_id=STRING, city_id=INT, purchased_at=TIME)
+    kept = columns(city_id=INT, fetched_at=TIME, weather_condition=STRING, humidity=INT)
+    place = str(tmp_path / "readings")
+    cities = frame(spark, [(1, "Oslo", "NO")], columns(city_id=INT, city=STRING, country_code=STRING))
+    countries = frame(
+        spark, [("NO", "Norway", "NOK", 5, "Europe")],
+        columns(country_code=STRING, country_name=STRING, currency=STRING, population=LONG, region=STRING),
+    )
+    frame(spark, [(1, START, "Rain", 7)], kept).write.parquet(place)
+    first, second = [frame(spark, [(n, 1, START + timedelta(hours=h))], events) for n, h in (("a", 0), ("b", 2))]
+    schema = enrich_weather(
+        enrich_country(first.join(cities, "city_id", "left"), countries), spark.read.parquet(place)
+    ).schema
+    each = enrich_orders(lake, lambda: cities, lambda: countries, lambda: spark.read.parquet(place), schema)
+    each(first, "s-0")
+    frame(spark, [(1, START + timedelta(hours=2), "Snow", 7)], kept).write.mode("append").parquet(place)
+    each(second, "s-1")
+    found = lake.read(TABLE, schema, "staging").select("order_id", "weather_condition").collect()
+    assert dict(tuple(r) for r in found) == {"a": "Rain", "b": "Snow"}
+
+
 def test_dedup_keeps_the_first_status(spark, lake, delivered, tmp_path):
     stream = messages_of(spark, delivered, max_files_per_trigger=1)
     run_to_end(stream, append_new_orders(lake), str(tmp_path / "checkpoint"))
@@ -126,7 +189,7 @@ def test_watermarked_hours_drop_repeats_and_emit_closed_hours(spark, topic, tmp_
     events = accepted(decode(messages_of(spark, topic, max_files_per_trigger=1))).select(
         "order_id", "purchased_at", "product.price", "quantity"
     )
-    hours = hourly_windows(events)
+    hours = hourly_windows(events, delay="1 hour")
     query = (
         hours.writeStream.format("memory").queryName("hours").outputMode("append")
         .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
@@ -192,7 +255,7 @@ def test_stream_enrichment_equals_batch_enrichment(spark, lake, tmp_path, rows,
     all_events = spark.read.schema(events_schema).parquet(str(tmp_path / "in" / "*"))
     batch = enrich_weather(enrich_country(all_events.join(cities, "city_id", "left"), countries), readings)
     stream = folder_stream(spark, str(tmp_path / "in" / "*"), events_schema, files_at_once)
-    each = enrich_orders(lake, cities, countries, readings, batch.schema)
+    each = enrich_orders(lake, lambda: cities, lambda: countries, lambda: readings, batch.schema)
     run_to_end(stream, each, str(tmp_path / "checkpoint"))
     assert rows(lake.read(TABLE, batch.schema, "staging")) == rows(batch)
     weather = {r.order_id: r.weather_condition for r in batch.collect()}

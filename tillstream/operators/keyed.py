@@ -26,14 +26,15 @@ def only_keys_of(df: DataFrame, few: DataFrame, key: str, limit: int = BROADCAST
 
 
 def first_per_key(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
-    """The earliest row of each non-NULL key by the arrival columns.
+    """The earliest row of each non-NULL key by the arrival columns, unknown ones last.
 
     An aggregate rather than a ranked window: copies of a key are reduced on the map
     side, so a key that holds a large share of the rows does not land in one task.
     Equal arrivals fall back to the smallest whole row, which keeps the choice fixed.
     """
     others = [c for c in df.columns if c != key]
-    ranked = F.struct(*arrival, F.struct(*others).alias("_row"))
+    order = [c for name in arrival for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))]
+    ranked = F.struct(*order, F.struct(*others).alias("_row"))
     first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(ranked)["_row"].alias("_row"))
     return first.select(*[key if c == key else F.col("_row")[c].alias(c) for c in df.columns])
 

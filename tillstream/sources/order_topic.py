@@ -64,12 +64,13 @@ def publish(messages: DataFrame, servers: str, topic: str = "orders-raw") -> Non
     )
 
 
-def decode(messages: DataFrame) -> DataFrame:
+def decode(messages: DataFrame, enriched: bool = True) -> DataFrame:
     """Messages as key, value, the event's columns, and `reason`.
 
     `reason` is NULL for an event that can be stored.  Otherwise it says why not: the
     text is not JSON of the event's shape, a required field is absent, or the purchase
-    time is not a timestamp.
+    time is not a timestamp.  The enriched event has defaults for most fields; the simple one
+    requires all that its four tables take from it.
 
     The parsed struct is unpacked by a generator: filters and selections above it then
     refer to its columns, and no text is parsed more than once.
@@ -84,14 +85,19 @@ def decode(messages: DataFrame) -> DataFrame:
         }
     )
     return (
-        timed.withColumn("reason", _reason())
+        timed.withColumn("reason", _reason(enriched))
         .withColumn("purchased_at", F.col("_purchased_at"))
         .drop("_purchased_at", CORRUPT)
     )
 
 
-def _reason() -> Column:
+def _reason(enriched: bool) -> Column:
     required = ["order_id", "customer_id", "order_status", "product.product_id", "purchased_at"]
+    if not enriched:
+        required += [
+            "product.category_name", "product.price", "quantity", "freight_value",
+            "customer.city", "customer.state", "customer.zip",
+        ]
     reason = F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), "malformed")
     for name in required:
         reason = reason.when(F.col(name).isNull(), f"missing {name}")

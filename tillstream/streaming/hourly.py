@@ -13,20 +13,20 @@ from tillstream.operators.keyed import insert_if_absent
 from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake, side_by_side
-from tillstream.streaming.ingest import EachBatch
-from tillstream.streaming.jobs import batch_name
+from tillstream.streaming.jobs import EachBatch
 
 SEEN = columns(order_id=STRING)
 TOTALS = columns(hour=TIME, total_orders=LONG, gross_revenue=T.DecimalType(38, 2))
 VISITS = columns(visit=STRING, hour=TIME)
 
 
-def hourly_windows(events: DataFrame, delay: str | None = "1 hour") -> DataFrame:
-    """Tumbling hours of order_id, purchased_at, price and quantity.
+def hourly_windows(events: DataFrame, delay: str | None = None) -> DataFrame:
+    """Tumbling hours of order_id, purchased_at, price and quantity, for complete mode.
 
-    With a delay, redelivered orders are dropped within it and state is bounded by it:
-    for live events, which arrive at most an hour late.  Without (complete mode only),
-    every event counts however late; state is one row per hour.
+    Every event counts however late; state is one row per hour.  Customers per hour and
+    redelivered orders need the keys seen so far: count_hours has both.  A delay, which
+    must be asked for, drops what arrives later than that, and in return drops orders
+    redelivered within it, bounds the state, and allows append mode.
     """
     timed = events.withColumn("_at", F.col("purchased_at").cast("timestamp"))
     if delay:
@@ -46,21 +46,20 @@ def hourly_windows(events: DataFrame, delay: str | None = "1 hour") -> DataFrame
 def keep_latest_result(lake: Lake, name: str) -> EachBatch:
     """For complete mode: replace the table by each micro-batch's whole result."""
 
-    def each_batch(result: DataFrame, batch_id: int) -> None:
+    def each_batch(result: DataFrame, batch: str) -> None:
         lake.rebuild(result, "marts", name)
 
     return each_batch
 
 
-def count_hours(lake: Lake, job: str = "hourly") -> EachBatch:
+def count_hours(lake: Lake) -> EachBatch:
     """Exact hourly metrics for any lateness and redelivery, without stream state.
 
     Each micro-batch adds its new orders' totals per hour, which sum up, and the
     (hour, customer) pairs not yet known, which count up.
     """
 
-    def each_batch(messages: DataFrame, batch_id: int) -> None:
-        batch = batch_name(job, batch_id)
+    def each_batch(messages: DataFrame, batch: str) -> None:
         orders = accepted(decode(messages)).select(
             "order_id",
             "customer_id",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
@@ -18,18 +17,20 @@ from tillstream.plans.ingest import (
 )
 from tillstream.sources.order_topic import accepted, decode, rejected
 from tillstream.sources.tables import Lake, side_by_side
-from tillstream.streaming.jobs import batch_name
+from tillstream.streaming.jobs import EachBatch
 
-EachBatch = Callable[[DataFrame, int], None]
 
-
-def ingest_messages(lake: Lake, enriched: bool = True, job: str = "ingest") -> EachBatch:
+def ingest_messages(lake: Lake, enriched: bool = True) -> EachBatch:
     """Store messages in the four raw tables.
 
     Customers, products and orders are inserted if absent: the first write of a key
     wins, within a micro-batch the event sent first.  An event carries one item, so an
     order_id that has its item already is a redelivery and adds none.  Messages that
     cannot be stored go to quarantine.
+
+    Streams may take turns on the same tables.  Two that run at once do not overwrite
+    each other, but a key that is new to both is stored by both: give the keyed tables
+    one writing stream at a time.
     """
     targets = [
         ("customers", "customer_id", customer_columns(enriched)),
@@ -38,9 +39,8 @@ def ingest_messages(lake: Lake, enriched: bool = True, job: str = "ingest") -> E
         ("order_items", "order_id", order_item_columns(enriched)),
     ]
 
-    def each_batch(messages: DataFrame, batch_id: int) -> None:
-        batch = batch_name(job, batch_id)
-        decoded = decode(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    def each_batch(messages: DataFrame, batch: str) -> None:
+        decoded = decode(messages, enriched).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = accepted(decoded)
             rows = events.count()
@@ -60,12 +60,11 @@ def ingest_messages(lake: Lake, enriched: bool = True, job: str = "ingest") -> E
     return each_batch
 
 
-def append_new_orders(lake: Lake, enriched: bool = True, job: str = "orders") -> EachBatch:
+def append_new_orders(lake: Lake, enriched: bool = True) -> EachBatch:
     """Store the orders of messages alone, each order_id once."""
 
-    def each_batch(messages: DataFrame, batch_id: int) -> None:
-        batch = batch_name(job, batch_id)
-        events = accepted(decode(messages))
+    def each_batch(messages: DataFrame, batch: str) -> None:
+        events = accepted(decode(messages, enriched))
         incoming = events.select(*order_columns(enriched), F.col("ts").alias("_sent"))
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -78,10 +77,10 @@ def append_new_orders(lake: Lake, enriched: bool = True, job: str = "orders") ->
     return each_batch
 
 
-def quarantine_messages(lake: Lake, job: str = "reject") -> EachBatch:
+def quarantine_messages(lake: Lake, enriched: bool = True) -> EachBatch:
     """Keep the messages that cannot be stored, with the reason."""
 
-    def each_batch(messages: DataFrame, batch_id: int) -> None:
-        lake.write_batch(rejected(decode(messages)), "quarantine", batch_name(job, batch_id))
+    def each_batch(messages: DataFrame, batch: str) -> None:
+        lake.write_batch(rejected(decode(messages, enriched)), "quarantine", batch)
 
     return each_batch
