@@ -456,15 +456,33 @@ ORACLES = {
     "enrich_country": COUNTRY_SQL,
     "enrich_weather_asof": asof_sql(300),
     "enrich_weather_asof_6h": asof_sql(21600),
+    # The simple event needs a customer struct: bare events are not stored.
     "stream_ingest_orders": """
-        with first_customer as (select * from messages qualify row_number() over (partition by customer_id order by ts) = 1),
-        first_product as (select * from messages qualify row_number() over (partition by product_id order by ts) = 1)
+        with first_customer as (select * from messages where not bare qualify row_number() over (partition by customer_id order by ts) = 1),
+        first_product as (select * from messages where not bare qualify row_number() over (partition by product_id order by ts) = 1)
         select e.order_id, e.customer_id, e.order_status, e.purchased_at as order_purchase_ts,
-          case when not c.bare then c.city end as customer_city, case when not c.bare then c.zip end as customer_zip,
+          c.city as customer_city, c.zip as customer_zip,
           e.product_id, p.category_name, cast(p.price as double) as product_price, 'kafka-seller' as seller_id,
           e.quantity::bigint as quantity, cast(e.price as double) as price, cast(e.freight_value as double) as freight_value
-        from (select distinct * from messages) e
+        from (select distinct * from messages where not bare) e
         join first_customer c on c.customer_id = e.customer_id join first_product p on p.product_id = e.product_id""",
+    "stream_ingest_enriched": f"""
+        with first_customer as (select * from messages qualify row_number() over (partition by customer_id order by ts) = 1)
+        select e.order_id, e.customer_id, e.order_status, e.purchased_at as order_purchase_ts,
+          case when e.bare then '' else e.weather_condition end as weather_condition,
+          cast(case when e.bare then 0 else e.temperature_c end as double) as temperature_c,
+          e.product_id, 'kafka-hybrid' as seller_id, e.quantity::bigint as quantity, cast(e.price as double) as price,
+          case when c.bare then '' else c.city end as customer_city,
+          case when c.bare then '' else coalesce(c.country_name, '') end as country_name,
+          cast(case when c.bare then 0 else coalesce(c.population, 0) end as bigint) as population, e.category_name
+        from (select distinct * from messages) e join first_customer c on c.customer_id = e.customer_id""",
+    "reject_batch_rows": """
+        select 'orders without order_id' as reason, count(*) as rows from dirty_orders where order_id is null having count(*) > 0
+        union all select 'customers without customer_id', count(*) from dirty_customers where customer_id is null having count(*) > 0
+        union all select 'products without product_id', count(*) from dirty_products where product_id is null having count(*) > 0""",
+    "ensure_order_columns": """
+        select order_id, weather_condition, cast(null as varchar) as weather_desc, cast(null as double) as temperature_c,
+          cast(null as bigint) as humidity, cast(null as double) as wind_speed from raw_orders""",
     "stream_dedup_orders": f"select distinct * from ({FLAT_ORDERS})",
     "stream_hourly_orders": """
         select date_trunc('hour', purchased_at)::timestamp as hour, count(*) as total_orders,
@@ -505,5 +523,9 @@ def with_views(sql: str) -> str:
     return f"with {ctes} select * from ({sql})"
 
 
+# The job that writes the second mart returns what the plan states.
+ORACLES["write_spark_metrics"] = ORACLES["spark_order_metrics"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in ORACLES.items()}

@@ -6,6 +6,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -61,7 +62,8 @@ if __name__ == "__main__":
     from tillstream.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-")}
+    spark = build_session("check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0
     for query in sys.argv[2:] or entry_points.queries():

@@ -55,3 +55,18 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got.m == 7_200_000_005
     assert (got.h, got.d) == (datetime(2024, 3, 10, 2), datetime(2024, 3, 10))
+
+
+def test_exact_mean_of_very_many(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tillstream.functions.money import exact_mean
+
+    # 0.005 - 1e-12 rounds down, whatever digits a decimal quotient would keep.
+    n = 10**11
+    data = [(Decimal(n) / 200 - Decimal("0.10"), n), (Decimal(n) / 200, n), (Decimal("-0.05"), 10), (None, 3), (Decimal(1), 0)]
+    df = spark.createDataFrame(data, "t decimal(30,2), n long")
+    got = [r[0] for r in df.select(exact_mean(F.col("t"), F.col("n"), 2)).collect()]
+    assert got == [Decimal("0.00"), Decimal("0.01"), Decimal("-0.01"), None, None]

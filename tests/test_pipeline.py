@@ -6,8 +6,9 @@ from decimal import Decimal
 import pytest
 
 from conftest import frame
-from tillstream.plans.pipeline import run_pipeline
+from tillstream.plans.pipeline import TEST_RESULTS, ingest_batch, run_pipeline, run_spark_metrics
 from tillstream.plans.quality import QualityError, SchemaTestError
+from tillstream.sources.tables import Lake
 
 NOW = "2024-02-01 00:00:00"
 
@@ -32,7 +33,7 @@ def batch(spark, n, status="shipped", items=True, first=0):
 
 
 def mart_rows(lake):
-    return lake.spark.read.parquet(lake.path("marts", "mart_order_metrics")).collect()
+    return lake.rebuilt("marts", "mart_order_metrics").collect()
 
 
 def test_run_builds_the_mart_and_can_be_repeated(spark, lake):
@@ -62,6 +63,47 @@ def test_day_without_items_fails_a_schema_test(spark, lake):
     assert mart_rows(lake)[0].gross_revenue is None
 
 
+def test_every_row_of_a_batch_is_accounted_for(spark, lake):
+    ddl = "order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz, sent int"
+    bought = datetime(2024, 1, 15, 8)
+    load = lambda rows, name: ingest_batch(lake, {"orders": frame(spark, rows, ddl)}, name, {"orders": ["sent"]})
+    load([("o1", "c1", "shipped", bought, 1)], "day-1")
+    load(
+        [(None, "c2", "shipped", bought, 1), ("o1", "c9", "lost", bought, 0), ("o2", "z", "late", bought, 5),
+         ("o2", "c3", "first", bought, 4), ("o2", "a", "unknown", bought, None), (None, None, None, None, None)],
+        "day-2",
+    )
+    stored = {r.order_id: r.customer_id for r in lake.read("orders").collect()}
+    assert stored == {"o1": "c1", "o2": "c3"}
+    bad = lake.read("quarantine").collect()
+    assert [r.reason for r in bad] == ["orders without order_id"] * 2
+    assert '"customer_id":"c2"' in "".join(r.value for r in bad)
+
+
+def test_fail_fast_and_reported_tests(spark, lake):
+    with pytest.raises(QualityError, match="1 quality check"):
+        run_pipeline(lake, batch(spark, 5, status="lost"), "day-1", NOW, fail_fast=True)
+    lake = Lake(spark, f"{lake.root}-other")
+    run_pipeline(lake, batch(spark, 3, items=False), "day-2", NOW, require_tests=False)
+    failures = {(r.dataset, r.test): r.failures for r in lake.batches("test_results", TEST_RESULTS, "staging").collect() if r.failures}
+    assert failures == {("mart_order_metrics", "not_null"): 1}
+    assert mart_rows(lake)[0].gross_revenue is None
+
+
+def test_a_rebuilt_table_is_read_whole_at_any_time(spark, lake):
+    for n in (3, 5, 2):
+        lake.rebuild(spark.range(n), "marts", "m")
+        assert lake.rebuilt("marts", "m").count() == n
+    # A run that died while it wrote: the slot in turn is broken, the table is as it was.
+    spark.range(9).write.mode("overwrite").parquet(f"{lake.path('marts', 'm')}/slot0")
+    assert lake.rebuilt("marts", "m").count() == 2
+
+
+def test_second_mart_is_written(spark, lake):
+    ingest_batch(lake, batch(spark, 4), "day-1")
+    assert [(r.total_orders, r.gross_revenue) for r in run_spark_metrics(lake).collect()] == [(4, Decimal(8))]
+
+
 def test_created_at_is_filled(spark, lake):
     lake.write_batch(batch(spark, 2)["orders"], "orders", "b", created_at="2024-01-01 00:00:00")
     assert {r.created_at for r in lake.read("orders").collect()} == {datetime(2024, 1, 1)}

@@ -18,7 +18,8 @@ from tillstream.sources.shaped import Shop
 from tillstream.sources.tables import Lake, save_colocated, save_mart, table_name
 
 SMALL = "/root/testdata/sf0.001"
-BATCH_QUERIES = [n for n in entry_points.queries() if not n.startswith(("stream_", "pipeline", "reject"))]
+WRITING = r"(stream|pipeline|reject|write)_?.*|op\d+_.*"
+BATCH_QUERIES = [n for n in entry_points.queries() if not re.fullmatch(WRITING, n)]
 
 
 @pytest.fixture

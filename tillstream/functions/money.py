@@ -1,7 +1,7 @@
 """Amounts, exact means and ratios.
 
-Totals stay decimal; a mean divides a decimal total once and rounds half away from
-zero at the end, so results do not depend on how Spark split the rows.
+Totals stay decimal and a mean is rounded once, half away from zero, so results do not
+depend on how Spark split the rows.
 """
 
 from __future__ import annotations
@@ -24,12 +24,20 @@ def freight(price: Column) -> Column:
 
 
 def exact_mean(total: Column, count: Column, digits: int, total_type: str = "decimal(30,2)") -> Column:
-    """round(total / count, digits), NULL when count is 0.
+    """round(total / count, digits), half away from zero, NULL when count is 0.
 
-    A narrower total leaves more digits to the quotient: decimal(30,2) over a count
-    keeps ten, decimal(30,0) keeps eight.
+    Decided on whole numbers, so it is exact for any count: a decimal quotient would be
+    rounded to the digits that its type leaves it before it is rounded here.
     """
-    return F.round(total.cast(total_type) / F.nullif(count, F.lit(0)), digits)
+    scale = int(total_type.rstrip(")").rpartition(",")[2])
+    whole = lambda c: c.cast("decimal(38,0)")
+    power = lambda k: F.lit(10**k).cast("decimal(20,0)")
+    parts = whole(F.abs(total.cast(total_type)) * power(scale)) * power(digits)
+    each = whole(F.nullif(count, F.lit(0))) * power(scale)
+    top, bottom = whole(parts * 2 + each), whole(each * 2)
+    rounded = ((top - top % bottom) / bottom).cast("decimal(28,0)")
+    value = (rounded / power(digits)).cast(f"decimal(30,{digits})")
+    return F.when(total < 0, -value).otherwise(value)
 
 
 def mean_of(value: Column, digits: int, scale: int = 0) -> Column:

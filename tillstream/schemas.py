@@ -7,12 +7,6 @@ from pyspark.sql import types as T
 # Order statuses.
 STATUSES = ["delivered", "shipped", "processing", "cancelled", "returned"]
 
-# Product categories.
-CATEGORIES = [
-    "electronics", "clothing", "home_appliances", "books", "sports",
-    "beauty", "toys", "furniture", "food", "automotive",
-]
-
 # seller_id written for orders that arrive on the topic.
 SELLER_SIMPLE = "kafka-seller"
 SELLER_ENRICHED = "kafka-hybrid"

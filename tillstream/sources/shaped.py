@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.money import freight
+from tillstream.sources.order_topic import folder_stream
 from tillstream.schemas import DOUBLE, INT, LONG, STRING, TIME, columns
 
 # Clocks that stand for "now" in reports over the given tables.
@@ -144,8 +145,8 @@ def wire_events_from(order_events: DataFrame, cities: DataFrame, countries: Data
     )
 
 
-def wire_messages_from(wire_events: DataFrame) -> DataFrame:
-    """key and JSON value, with some events sent twice and some cut in half."""
+def numbered_messages_from(wire_events: DataFrame) -> DataFrame:
+    """key and JSON value, with some events sent twice and some cut in half; sent, copy."""
     number = F.col("event_id")
     payload = F.to_json(F.struct(*[c for c in wire_events.columns if c != "event_id"]))
     cut = F.substring(payload, F.lit(1), F.floor(F.length(payload) / 2).cast("int"))
@@ -153,10 +154,14 @@ def wire_messages_from(wire_events: DataFrame) -> DataFrame:
     return (
         wire_events.withColumn("value", F.when(number % 251 == 17, cut).otherwise(payload))
         .withColumn("copy", F.explode(copies))
-        .select(F.col("order_id").alias("key"), "value")
+        .select(F.col("order_id").alias("key"), "value", F.col("ts").alias("sent"), "copy")
     )
 
 
+def wire_messages_from(wire_events: DataFrame) -> DataFrame:
+    return numbered_messages_from(wire_events).select("key", "value")
+
+
 @dataclass(frozen=True)
 class Shop:
     """Views over the tables in one folder."""
@@ -294,6 +299,20 @@ class Shop:
         events = order_events_from(self.event_stream())
         return wire_messages_from(wire_events_from(events, self.cities(), self.countries()))
 
+    def deliver_messages(self, area: str, files: int = 4) -> DataFrame:
+        """The messages as a stream of `files` files, one per trigger, in the order sent.
+
+        An event that is sent twice comes again in the file after its own.
+        """
+        numbered = numbered_messages_from(self.wire_events())
+        day = F.dayofmonth(F.col("sent").cast("timestamp_ntz"))
+        part = F.least(F.floor((day - 1) * files / 31), F.lit(files - 1)) + F.col("copy") - 1
+        held = numbered.withColumn("part", F.least(part, F.lit(files - 1)).cast("int"))
+        for k in range(files):
+            rows = held.where(F.col("part") == k).select("key", "value")
+            rows.coalesce(1).write.parquet(f"{area}/{k}")
+        return folder_stream(self.spark, f"{area}/*", max_files_per_trigger=1)
+
     def dirty_orders(self) -> DataFrame:
         n = F.col("order_id").cast("bigint")
         purchase = F.col("order_purchase_ts")

@@ -139,7 +139,47 @@ class Lake:
             out.write.mode("overwrite").parquet(path)
 
     def rebuild(self, df: DataFrame, layer: str, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(layer, name))
+        """Replace a table whole.  Readers see the old one until the new one is complete.
+
+        Two folders take turns: the new rows overwrite the one that is not in use, then
+        a line of the table's version list says that it is.  A run that dies while it
+        writes leaves the table as it was.
+        """
+        version = self._version(layer, name) + 1
+        df.write.mode("overwrite").parquet(f"{self.path(layer, name)}/slot{version % 2}")
+        line = self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
+        line.write.mode("append").parquet(f"{self.path(layer, name)}/versions")
+
+    def rebuilt(self, layer: str, name: str) -> DataFrame:
+        """The table as last rebuilt."""
+        return self.spark.read.parquet(f"{self.path(layer, name)}/slot{self._version(layer, name) % 2}")
+
+    def _version(self, layer: str, name: str) -> int:
+        try:
+            found = self.spark.read.schema("version long").parquet(f"{self.path(layer, name)}/versions")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+        return found.agg(F.max("version")).first()[0] or 0
+
+    def compact(self, name: str, into: str, schema: T.StructType | None = None, layer: str = "raw") -> None:
+        """Write all batches of a table as the one batch `into` of the table name + '_compacted'.
+
+        The table itself is not touched: swap the folders when no job runs on it.  A stream
+        that has closed batches inside `into` must not run them again, so compact after
+        its last micro-batch was committed.
+        """
+        rows = self.read(name, schema, layer)
+        schema = schema or RAW_TABLES[name]
+        out = conform(rows, schema)
+        path = f"{self.path(layer, name)}_compacted/{BATCH}={into}"
+        if name == "orders":
+            column = PERIOD_COLUMNS[self.order_period]
+            out = rows.select(*schema.names, column).hint("rebalance", column)
+            out.write.mode("overwrite").partitionBy(column).parquet(path)
+        else:
+            out.hint("rebalance").write.mode("overwrite").parquet(path)
 
     def _layout(self, name: str) -> list[T.StructField]:
         batch = T.StructField(BATCH, T.StringType())
