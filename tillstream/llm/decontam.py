@@ -186,7 +186,7 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
     ship_code(docs.sparkSession)
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     passes = max(1, math.ceil(size["n"] / ITEM_BLOCK), math.ceil((size["bytes"] or 0) / ITEM_BYTES))
-    kind = T.StructType(docs.schema.fields).add(name, T.DataType.fromDDL(LEAKS))
+    kind = T.StructType([*docs.schema.fields, T.StructField(name, T.DataType.fromDDL(LEAKS))])
     type_ = pa.list_(
         pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("from", pa.int64()), ("to", pa.int64())])
     )

@@ -140,7 +140,7 @@ def pack(found: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
             yield done.append_column("offset", pa.array(offsets[k]))
 
     columns = [F.col(c) for c in held.columns]
-    out = T.StructType(held.schema.fields).add("sequence_id", "long").add("offset", "long")
+    out = T.StructType([*held.schema.fields, *T.StructType.fromDDL("sequence_id long, `offset` long").fields])
     return ranked.select(*columns, "rank").mapInArrow(place, out)
 
 
