@@ -234,7 +234,7 @@ def read_archives(manifest: DataFrame, *, split_bytes: int = 4 << 20) -> DataFra
 
     found = written(splits.repartition(shuffle_parts(spark)).mapInArrow(scan, RECORDS), "candidates")
     reached = reachable(found.select("path", "position", "next"), manifest.select("path"))
-    kept = found.join(reached, ["path", "position"], "left_semi")
+    kept = found.join(reached.hint("merge"), ["path", "position"], "left_semi")
     ends = kept.join(manifest, "path").where(F.col("next") == F.col("size")).select("path").distinct()
     broken = manifest.where("size > 0").join(ends, "path", "left_anti").count()
     if broken:
@@ -246,11 +246,14 @@ def reachable(pointers: DataFrame, files: DataFrame) -> DataFrame:
     """(path, position) that the chain of pointers (path, position, next) reaches from position 0.
 
     Each round doubles how far pointers go, so a file of n records takes log2(n) rounds.
-    A join key is one position of one file and has one row.
+    A join key is one position of one file and has one row.  The joins are asked to shuffle:
+    files of pointers are far smaller than their rows, so their size is no guide to what a
+    broadcast would hold.
     """
     pointers = pointers.dropDuplicates(["path", "position"])
+    known = pointers.select("path", "position").hint("merge")
     reached = files.distinct().select("path", F.lit(0).cast("long").alias("position"))
-    reached = reached.join(pointers.select("path", "position"), ["path", "position"], "left_semi")
+    reached = reached.join(known, ["path", "position"], "left_semi")
     jump, before = pointers, -1
     while True:
         reached = written(reached, "reached")
@@ -258,10 +261,10 @@ def reachable(pointers: DataFrame, files: DataFrame) -> DataFrame:
         if now == before:
             return reached
         before = now
-        step = reached.join(jump, ["path", "position"]).select("path", F.col("next").alias("position"))
-        step = step.join(pointers.select("path", "position"), ["path", "position"], "left_semi")
+        step = reached.join(jump.hint("merge"), ["path", "position"]).select("path", F.col("next").alias("position"))
+        step = step.join(known, ["path", "position"], "left_semi")
         further = jump.alias("a").join(
-            jump.alias("b"), (F.col("a.path") == F.col("b.path")) & (F.col("a.next") == F.col("b.position"))
+            jump.alias("b").hint("merge"), (F.col("a.path") == F.col("b.path")) & (F.col("a.next") == F.col("b.position"))
         )
         jump = written(further.select("a.path", "a.position", "b.next"), "jumps")
         reached = reached.unionByName(step).distinct()
