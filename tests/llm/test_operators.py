@@ -227,10 +227,13 @@ def test_components(spark):
     assert got[8] == got[7] == 7 and {got[100 + k] for k in range(41)} == {100}
 
 
-def test_large_groups_go_block_by_block(spark, monkeypatch):
+@pytest.mark.parametrize("gather", [1000, 2])
+def test_large_groups_go_block_by_block(spark, monkeypatch, gather):
     import brute
 
-    monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "GATHER", gather)
+    monkeypatch.setattr(jaccard, "PARTNERS", 1)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(60)]
     docs = []

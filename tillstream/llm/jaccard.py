@@ -16,10 +16,11 @@ too few cells left are sketched again from all shingles, with other seeds if nee
 two linked sets one that had enough cells is enough, so these meet among themselves.
 
 Equal sets are one class from the start.  A group of classes that meet on a cell is
-verified as a star around its first class; only groups that are then still apart are
-looked at further, pair by pair in small groups and block by block in large ones, so
-copies are never multiplied into pairs and no link between components is lost.  A pair
-whose whole sketches are too far apart is dropped, the others are verified on their sets.
+verified as a star around its first class, then each class outside the group's main
+component with a few members of it.  What is still apart is compared block by block in
+full, once for all groups that overlap.  So copies are never multiplied into pairs, and no
+link between components is lost.  A pair whose whole sketches are too far apart is
+dropped, the others are verified on their sets.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ WIDTH = 5
 SEEDS = 24  # sketches of a set with too many empty cells; after them its empty cells count, too
 CELL_BITS = 12
 FLUSH_KEYS = 1_000_000
-SMALL = 64  # members of a group that are looked at pair by pair
+PARTNERS, TURNS = 8, 2  # members of the main component that a class is tried with, and how often
+BLOCK = 512  # classes of a block that are compared with those of another
+GATHER = 20_000  # classes that overlapping groups may have together
 SAMPLE = 4096  # different texts that frequent shingles are taken from, about
 OFTEN = 4  # texts of the sample that have a frequent shingle
 MOST_FREQUENT = 1_000_000  # frequent shingles, at most
@@ -333,30 +336,86 @@ def _near(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(check, "a long, b long")
 
 
-def _near_in_blocks(groups: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Pairs of different components with near sketches inside groups (sign, name, comp, n) of many.
+def _apart(flat: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of groups (sign, name, size) that are not in one component yet: also comp, and
+    main (whether comp has most of the group's members)."""
+    named = flat.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("comp", F.coalesce("root", "name"))
+    sizes = named.groupBy("sign", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("sign").agg(F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("comps"))
+    main = main.where("comps > 1").select("sign", F.col("m.comp").alias("main"))
+    return named.join(main, "sign").select("sign", "name", "size", "comp", (F.col("comp") == F.col("main")).alias("main"))
 
-    Each unit holds two blocks of about SMALL members, so a large group is spread over
-    many tasks; only near pairs come out.
+
+def _partners(apart: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each class outside its group's main component with PARTNERS members of that.
+
+    Of its groups the one with the largest main component is taken; the partners are the
+    first by hash, another hash each turn.
     """
-    n_blocks = F.ceil(F.col("members") / SMALL).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    units = groups.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("name"), "n_blocks").cast("int"))
-    units = units.select("sign", "name", "comp", "block", other.alias("other")).select(
-        "sign", "name", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    hashes = [F.xxhash64("name", F.lit(turn * PARTNERS + k)) for k in range(PARTNERS)]
+    first = [F.min(F.struct(h.alias("h"), "name"))["name"].alias(f"p{k}") for k, h in enumerate(hashes)]
+    hubs = apart.where("main").groupBy("sign").agg(F.count(F.lit(1)).alias("n"), *first)
+    found = F.max(F.struct("n", *[f"p{k}" for k in range(PARTNERS)])).alias("hub")
+    chosen = apart.where("not main").join(hubs, "sign").groupBy("name").agg(found)
+    partners = F.array_distinct(F.array(*[F.col(f"hub.p{k}") for k in range(PARTNERS)]))
+    return chosen.select(F.explode(partners).alias("a"), F.col("name").alias("b"))
+
+
+def _near_in_blocks(apart: DataFrame, drawn: DataFrame) -> DataFrame:
+    """All pairs of different components that meet in a group and have near sketches.
+
+    Groups that share components overlap, so they are put together first and each pair is
+    looked at once; where that gathers more than GATHER classes the groups stay as they
+    are.  A unit of work holds two blocks: some classes outside the largest component, and
+    some of all.  Sketches are compared as arrays and only near pairs come out.
+    """
+    comps = apart.select("sign", "comp").distinct()
+    least = comps.groupBy("sign").agg(F.min("comp").alias("least"))
+    joined = components(comps.join(least, "sign").select(F.col("comp").alias("a"), F.col("least").alias("b")).where("a <> b"))
+    classes_ = apart.select("name", "comp").distinct().join(joined.withColumnRenamed("node", "comp"), "comp")
+    counted = classes_.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    whole = classes_.join(counted.where(f"members <= {GATHER}").select("root"), "root")
+    main = whole.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.max(F.struct("n", "comp"))["comp"].alias("m"))
+    whole = whole.join(main, "root").select(F.col("root").alias("unit"), "name", "comp", (F.col("comp") == F.col("m")).alias("main"))
+    large = counted.where(f"members > {GATHER}").select("root")
+    single = apart.join(joined.withColumnRenamed("node", "comp"), "comp").join(large, "root", "left_semi")
+    rows = written(whole.unionByName(single.select(F.col("sign").alias("unit"), "name", "comp", "main")), "units")
+    sizes = rows.groupBy("unit").agg(
+        F.ceil(F.count(F.when(~F.col("main"), 1)) / BLOCK).alias("xs"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("ys")
     )
+    dealt = rows.join(sizes, "unit").withColumn("h", F.xxhash64("name"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = dealt.where("not main").select("unit", "name", "comp", F.lit(True).alias("left"), F.pmod("h", "xs").alias("i"), each("ys").alias("j"))
+    right = dealt.select("unit", "name", "comp", F.lit(False).alias("left"), each("xs").alias("i"), F.pmod("h", "ys").alias("j"))
 
     def check(unit: pa.Table) -> pa.Table:
-        rows = list(zip(*[unit[c].to_pylist() for c in ("name", "comp", "block", "n", "sketch")], strict=True))
-        i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
-        left, right = [r for r in rows if r[2] == i], [r for r in rows if r[2] == j]
-        found = [
-            (p[0], q[0]) for p in left for q in right
-            if p[1] != q[1] and (i < j or p[0] < q[0]) and may_link(p[4], p[3], q[4], q[3])
-        ]
+        name, comp = np.asarray(unit["name"]), np.asarray(unit["comp"])
+        n, side = np.asarray(unit["n"]), np.asarray(unit["left"])
+        drawn_ = [np.frombuffer(x, _U) for x in unit["sketch"].to_pylist()]
+        words = np.array([len(x) for x in drawn_])
+        found: list = []
+        for width in np.unique(words[side]):
+            x = np.flatnonzero(side & (words == width))
+            # Partners have sketches as wide, or half or twice as wide; the wider are folded.
+            for other in (width, width // 2, width * 2):
+                y = np.flatnonzero(~side & (words == other))
+                if not len(y):
+                    continue
+                p, q = np.array([drawn_[k] for k in x]), np.array([drawn_[k] for k in y])
+                if other > width:
+                    q = q[:, :width] ^ q[:, width:]
+                elif other < width:
+                    p = p[:, :other] ^ p[:, other:]
+                for r, k in enumerate(x):
+                    fits = (100 * np.minimum(n[k], n[y]) >= 80 * np.maximum(n[k], n[y])) & (comp[y] != comp[k])
+                    at = np.flatnonzero(fits)
+                    apart_ = np.bitwise_count(q[at] ^ p[r]).sum(axis=1, dtype=np.int64)
+                    at = at[180 * apart_ <= 20 * (n[k] + n[y[at]])]
+                    found += [(int(name[k]), int(name[y[t]])) for t in at]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return units.join(drawn, "name").groupBy("sign", "i", "j").applyInArrow(check, "a long, b long")
+    units = left.unionByName(right).join(drawn, "name").groupBy("unit", "i", "j").applyInArrow(check, "a long, b long")
+    return units.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, meta: DataFrame) -> DataFrame:
@@ -411,21 +470,13 @@ def _placed(docs: DataFrame) -> DataFrame:
     links = written(_verify(_near(best, drawn), docs, meta), "verified")
 
     # Groups whose members are still apart.
-    roots = components(links)
     flat = groups.select("sign", F.explode(F.arrays_zip("members", "sizes")).alias("m"))
-    flat = flat.select("sign", F.col("m.members").alias("name"), F.col("m.sizes").alias("size")).distinct()
-    flat = flat.join(roots.withColumnRenamed("node", "name"), "name", "left")
-    flat = written(flat.select("sign", "name", "size", F.coalesce("root", "name").alias("comp")), "members")
-    apart = flat.groupBy("sign").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
-    apart = flat.join(apart.where("lo <> hi").select("sign", "members"), "sign")
-    small, large = apart.where(f"members <= {SMALL}"), apart.where(f"members > {SMALL}")
-    x, y = small.alias("x"), small.alias("y")
-    pairs = x.join(y, (F.col("x.sign") == F.col("y.sign")) & (F.col("x.name") < F.col("y.name"))).where(
-        "x.comp <> y.comp and 100 * least(x.size, y.size) >= 80 * greatest(x.size, y.size)"
-    )
-    pairs = pairs.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-    near = _near(pairs, drawn).unionByName(_near_in_blocks(large, drawn)).distinct()
-    links = written(links.unionByName(_verify(near, docs, meta)), "verified")
+    flat = written(flat.select("sign", F.col("m.members").alias("name"), F.col("m.sizes").alias("size")).distinct(), "members")
+    for turn in range(TURNS):
+        apart = written(_apart(flat, components(links)), "apart")
+        links = written(links.unionByName(_verify(_near(_partners(apart, turn), drawn), docs, meta)), "verified")
+    apart = written(_apart(flat, components(links)), "apart")
+    links = written(links.unionByName(_verify(_near_in_blocks(apart, drawn), docs, meta)), "verified")
 
     roots = components(links).withColumnRenamed("node", "name")
     root = F.when(F.col("n") > 0, F.coalesce("root", "name")).alias("root")
