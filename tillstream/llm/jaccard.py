@@ -16,9 +16,9 @@ too few cells left are sketched again from all shingles, with other seeds if nee
 two linked sets one that had enough cells is enough, so these meet among themselves.
 
 Equal sets are one class from the start.  A group of classes that meet on a cell is
-verified as a star around its first class, then each class outside the group's main
-component with a few members of it.  What is still apart is compared block by block in
-full, once for all groups that overlap.  So copies are never multiplied into pairs, and no
+verified as a star around its first class, and each class with a few members of its
+largest group.  What is still apart is compared block by block in full, once for all
+groups that overlap.  So copies are never multiplied into pairs, and no
 link between components is lost.  A pair whose whole sketches are too far apart is
 dropped, the others are verified on their sets.
 """
@@ -41,7 +41,7 @@ WIDTH = 5
 SEEDS = 24  # sketches of a set with too many empty cells; after them its empty cells count, too
 CELL_BITS = 12
 FLUSH_KEYS = 1_000_000
-PARTNERS, TURNS = 8, 2  # members of the main component that a class is tried with, and how often
+PARTNERS = 8  # members of its largest group that a class is tried with at first
 BLOCK = 512  # classes of a block that are compared with those of another
 GATHER = 20_000  # classes that overlapping groups may have together
 SAMPLE = 4096  # different texts that frequent shingles are taken from, about
@@ -231,7 +231,7 @@ def _emit_keys(parts: int, frequent: Frequent):
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different groups of sets that meet on a cell in this partition: (sizes, members, n) packed."""
+    """Different groups of sets that meet on a cell in this partition: as sorted members."""
     keys, names, sizes = [], [], []
     for batch in batches:
         for row in batch.to_pylist():
@@ -271,7 +271,6 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "sign": pa.array([sign[k]]).view(pa.int64()),
                     "times": pa.array([count], pa.int64()),
                     "members": pa.array([name[a:b].tolist()], pa.list_(pa.int64())),
-                    "sizes": pa.array([size[a:b].tolist()], pa.list_(pa.int64())),
                 }
             )
 
@@ -337,28 +336,24 @@ def _near(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
 
 
 def _apart(flat: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of groups (sign, name, size) that are not in one component yet: also comp, and
-    main (whether comp has most of the group's members)."""
+    """Members of groups (sign, name) that are not in one component yet: also comp, and main
+    (whether comp has most of the group's members)."""
     named = flat.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("comp", F.coalesce("root", "name"))
     sizes = named.groupBy("sign", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("sign").agg(F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("comps"))
     main = main.where("comps > 1").select("sign", F.col("m.comp").alias("main"))
-    return named.join(main, "sign").select("sign", "name", "size", "comp", (F.col("comp") == F.col("main")).alias("main"))
+    return named.join(main, "sign").select("sign", "name", "comp", (F.col("comp") == F.col("main")).alias("main"))
 
 
-def _partners(apart: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each class outside its group's main component with PARTNERS members of that.
-
-    Of its groups the one with the largest main component is taken; the partners are the
-    first by hash, another hash each turn.
-    """
-    hashes = [F.xxhash64("name", F.lit(turn * PARTNERS + k)) for k in range(PARTNERS)]
+def _partners(flat: DataFrame) -> DataFrame:
+    """(a, b): each class with some members of the largest group it is in, the first by hash."""
+    hashes = [F.xxhash64("name", F.lit(k)) for k in range(PARTNERS)]
     first = [F.min(F.struct(h.alias("h"), "name"))["name"].alias(f"p{k}") for k, h in enumerate(hashes)]
-    hubs = apart.where("main").groupBy("sign").agg(F.count(F.lit(1)).alias("n"), *first)
+    hubs = flat.groupBy("sign").agg(F.count(F.lit(1)).alias("n"), *first)
     found = F.max(F.struct("n", *[f"p{k}" for k in range(PARTNERS)])).alias("hub")
-    chosen = apart.where("not main").join(hubs, "sign").groupBy("name").agg(found)
+    chosen = flat.select("sign", "name").join(hubs, "sign").groupBy("name").agg(found)
     partners = F.array_distinct(F.array(*[F.col(f"hub.p{k}") for k in range(PARTNERS)]))
-    return chosen.select(F.explode(partners).alias("a"), F.col("name").alias("b"))
+    return chosen.select(F.explode(partners).alias("a"), F.col("name").alias("b")).where("a <> b")
 
 
 def _near_in_blocks(apart: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -455,7 +450,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     meta = full.drop("sketch")
 
     packed = docs.select("text").mapInArrow(_emit_keys(parts, _frequent(docs)), _PACKED)
-    met = packed.repartitionById(parts, F.col("bucket")).mapInArrow(_meet, "sign long, times long, members array<long>, sizes array<long>")
+    met = packed.repartitionById(parts, F.col("bucket")).mapInArrow(_meet, "sign long, times long, members array<long>")
     groups = written(met, "groups")
     wanted = groups.select(F.explode("members").alias("name")).distinct()
     drawn = full.select("name", "n", "sketch").join(wanted, "name", "left_semi").groupBy("name").agg(
@@ -463,18 +458,18 @@ def _placed(docs: DataFrame) -> DataFrame:
     )
     drawn = written(drawn, "sketches")
 
-    # Each class with the first class of a group that it meets most often.
+    flat = groups.select("sign", F.explode("members").alias("name")).distinct()
+    flat = written(flat, "members")
+
+    # Each class with the first class of a group that it meets most often, and with some
+    # members of its largest group.
     stars = groups.select(F.get("members", 0).alias("a"), F.explode(F.slice("members", 2, F.size("members") - 1)).alias("b"), "times")
     counted = stars.groupBy("a", "b").agg(F.sum("times").alias("times"))
-    best = counted.groupBy("b").agg(F.max(F.struct("times", "a"))["a"].alias("a"))
-    links = written(_verify(_near(best, drawn), docs, meta), "verified")
+    best = counted.groupBy("b").agg(F.max(F.struct("times", "a"))["a"].alias("a")).select("a", "b")
+    tried = best.unionByName(_partners(flat)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = written(_verify(_near(tried, drawn), docs, meta), "verified")
 
     # Groups whose members are still apart.
-    flat = groups.select("sign", F.explode(F.arrays_zip("members", "sizes")).alias("m"))
-    flat = written(flat.select("sign", F.col("m.members").alias("name"), F.col("m.sizes").alias("size")).distinct(), "members")
-    for turn in range(TURNS):
-        apart = written(_apart(flat, components(links)), "apart")
-        links = written(links.unionByName(_verify(_near(_partners(apart, turn), drawn), docs, meta)), "verified")
     apart = written(_apart(flat, components(links)), "apart")
     links = written(links.unionByName(_verify(_near_in_blocks(apart, drawn), docs, meta)), "verified")
 
