@@ -94,7 +94,7 @@ def pieces(
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = word_tokenizer(file)
         end = np.array([end_id], "<u4").tobytes()
-        for batch, texts in blocks(batches, "text"):
+        for batch, texts in blocks(batches, "text", 2_000_000):
             ids, begins = tool.encode(texts)
             raw, at = ids.astype("<u4").tobytes(), begins.tolist()
             out: dict = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}

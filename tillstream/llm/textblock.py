@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -124,8 +126,12 @@ def shingles(h: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.ndarray,
     return out, places
 
 
-def blocks(batches, column: str, most_bytes: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of record batches that hold about most_bytes of text, a longer text alone."""
+def blocks(batches, column: str, most_bytes: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Slices of record batches that hold about most_bytes of text, a longer text alone.
+
+    At the end of a task the worker gives freed memory back, as it lives on for the tasks
+    of later stages.
+    """
     for batch in batches:
         texts = Texts.of(batch.column(batch.schema.get_field_index(column)))
         begins = texts.begins
@@ -138,3 +144,9 @@ def blocks(batches, column: str, most_bytes: int = 2_000_000) -> Iterator[tuple[
                 Texts(texts.data[begins[i] : begins[j]], begins[i : j + 1] - begins[i]),
             )
             i = j
+    _give_back()
+
+
+def _give_back() -> None:
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)

@@ -158,7 +158,7 @@ def write_tokens(
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = word_tokenizer(file)
-        for batch, texts in blocks(batches, "text"):
+        for batch, texts in blocks(batches, "text", 2_000_000):
             ids, begins = tool.encode(texts)
             raw, at = ids.astype(f"<u{width}").tobytes(), (begins * width).tolist()
             key = batch.column("doc_id").cast(pa.int64())

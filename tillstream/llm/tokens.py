@@ -9,7 +9,7 @@ import numpy as np
 
 from tillstream.llm.textblock import Texts, separators
 
-MOST_WORDS = 3_000_000  # cached words of a worker
+MOST_WORDS = 2_000_000  # cached words of a worker
 _GAPS = separators(0x20, 0x0A)
 
 
