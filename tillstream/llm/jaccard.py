@@ -42,7 +42,7 @@ SEEDS = 24  # sketches of a set with too many empty cells; after them its empty
 CELL_BITS = 12
 FLUSH_KEYS = 1_000_000
 PARTNERS = 8  # members of its largest group that a class is tried with at first
-BLOCK = 512  # classes of a block that are compared with those of another
+BLOCK = 2048  # classes of a block that are compared with those of another
 GATHER = 20_000  # classes that overlapping groups may have together
 SAMPLE = 4096  # different texts that frequent shingles are taken from, about
 OFTEN = 4  # texts of the sample that have a frequent shingle
