@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import struct
 import uuid
@@ -299,6 +300,47 @@ def test_near_passages_are_found_and_others_left_alone(spark):
     assert got == want
 
 
+def brute_leaks(docs, items):
+    """{(doc_id, item_id): similarity} by all windows of texts without capitals or punctuation; items of 5 words or more."""
+    cut = lambda t: [tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)]
+    sets = {i: cut(t) for i, t in items}
+    df = Counter(x for s in sets.values() for x in set(s))
+    weigh = lambda xs: sum(round(1000 * (math.log((len(sets) + 1) / (df[x] + 1)) + 1)) for x in xs)
+    out = {}
+    for d, t in docs:
+        own = cut(t)
+        for i, s in sets.items():
+            for a in range(len(own) - len(s) + 1):
+                window = set(own[a : a + len(s)])
+                if window & set(s):
+                    value = weigh(window & set(s)) / weigh(window | set(s))
+                    if value >= 0.8:
+                        out[d, i] = max(value, out.get((d, i), 0))
+    return out
+
+
+def test_every_window_at_the_threshold_is_found():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    items = [(i, [word() for _ in range(rng.choice([6, 9, 14, 24, 40, 63, 104]))]) for i in range(70)]
+    docs = []
+    for i, own in items:
+        for trial in range(6):
+            new = list(own)
+            for _ in range(trial % 3):
+                new[rng.choice([0, 1, -1, -2, rng.randrange(len(new))])] = word()
+            docs.append((10 * i + trial, [word() for _ in range(20)] + new[trial % 2 * rng.randint(0, 3) :] + [word() for _ in range(20)]))
+    run = ["la"] * 12  # a run of one word is one shingle for the similarity, however long
+    items.append((70, [word() for _ in range(30)] + run))
+    docs.append((700, [word() for _ in range(9)] + items[70][1][:30] + ["lo"] * 12 + [word() for _ in range(9)]))
+    items, docs = [(i, " ".join(t)) for i, t in items], [(d, " ".join(t)) for d, t in docs]
+    want = brute_leaks(docs, items)
+    assert sum(v < 0.9 for v in want.values()) > 50
+    found = decontam.Index(*map(list, zip(*items, strict=True))).leaks(texts_of([t for _, t in docs]))
+    got = {(d, r["item_id"]): r["similarity"] for (d, _), rows in zip(docs, found, strict=True) for r in rows}
+    assert got == pytest.approx(want)
+
+
 def test_several_passes_find_the_same(spark, monkeypatch):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

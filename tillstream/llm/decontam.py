@@ -2,16 +2,18 @@
 
 A document leaks an item if a window with as many 5-word shingles as the item is similar
 to it: the weighted Jaccard similarity of their shingle sets is at least SIMILAR.  Rare
-shingles weigh more; one that no item has weighs most.  Windows are found by fingerprint:
-a window's SimHash and an item's are at most RADIUS bits apart, so in RADIUS + 1 blocks of
-bits at least one is equal, and looking up each block finds all fingerprints in the
-radius.  What is found is verified by the exact similarity.  At the threshold itself the
-fingerprints of two sets may be further apart than RADIUS; a verbatim or nearly verbatim
-passage is at distance 0 or near it.
-
-Only windows of which at least SIMILAR of the shingles are known to some item are
-fingerprinted.  That drops none: an unknown shingle weighs at least as much as any other,
-so a window with a larger unknown share cannot reach the threshold.
+shingles weigh more; one that no item has weighs most.  Verbatim and nearly verbatim
+windows are found by fingerprint: a window's SimHash and an item's are at most RADIUS bits
+apart, so in RADIUS + 1 blocks of bits at least one is equal, and looking up each block
+finds all fingerprints in the radius.  Only windows of which at least SIMILAR of the
+shingles are known to some item are fingerprinted.
+
+No radius holds every window that is similar, and a shingle that is repeated in a window
+counts once for the similarity, so the rest is found without fingerprints.  The heaviest
+shingles of an item that make up more than 1 - SIMILAR of its weight are its anchors: a
+window without any of them cannot reach the threshold.  Texts with an anchor are compared
+with the item by weight, and windows that share enough weight are taken.  All that is
+found either way is verified by the exact similarity, so no window is missed.
 """
 
 from __future__ import annotations
@@ -77,16 +79,35 @@ class Index:
             top = math.log(len(own) + 1) + 1
             weight = np.minimum(np.round(WEIGHT * (np.log((len(own) + 1) / (n + 1)) + 1)), round(WEIGHT * top)).astype(np.int64)
             part = {"known": known, "weight": weight, "top": round(WEIGHT * top), "sizes": {}}
-            for i, x in sets.items():
-                part["sizes"].setdefault(len(x), []).append((ids[i], x))
+            part["items"] = [(ids[i], x) for i, x in sets.items()]
+            for k, (_, x) in enumerate(part["items"]):
+                part["sizes"].setdefault(len(x), []).append((k, x))
             for m, items in part["sizes"].items():
                 sums = np.array([_signs(x, weight[np.searchsorted(known, x)]).sum(axis=0) for _, x in items])
-                part["sizes"][m] = (items, _fingerprints(sums))
+                part["sizes"][m] = (np.array([k for k, _ in items]), _fingerprints(sums))
+            self._anchor(part)
             bits = np.zeros(1 << 20, bool)
             bits[(known >> _U(44)).astype(np.int64)] = True
             part["bits"] = bits
             self.widths[width] = part
 
+    @staticmethod
+    def _anchor(part: dict) -> None:
+        """Places in known of each item's different shingles, its weight, and the items of each anchor."""
+        known, weight, items = part["known"], part["weight"], part["items"]
+        part["own"] = [np.searchsorted(known, np.unique(x)) for _, x in items]
+        part["sums"] = np.array([int(weight[x].sum()) for x in part["own"]], np.int64)
+        places, owners = [], []
+        for k, x in enumerate(part["own"]):
+            x = x[np.argsort(-weight[x], kind="stable")]
+            before = np.cumsum(weight[x]) - weight[x]
+            x = x[SIMILAR[1] * before <= (SIMILAR[1] - SIMILAR[0]) * part["sums"][k]]
+            places.append(x)
+            owners.append(np.full(len(x), k))
+        place, owner = np.concatenate(places), np.concatenate(owners)
+        order = np.argsort(place, kind="stable")
+        part["anchors"] = (place[order], owner[order])
+
     def leaks(self, texts: Texts) -> list[list[dict]]:
         """For each text the items it leaks, each with its most similar window."""
         found: list[dict] = [{} for _ in range(len(texts.begins) - 1)]
@@ -108,32 +129,68 @@ class Index:
             weight[hits] = part["weight"][place]
             text_of = np.searchsorted(at, hits, side="right") - 1
             lows, highs = at[text_of], at[text_of + 1]
-            for m, (items, prints) in part["sizes"].items():
+            pairs = set()
+            for m, (numbers, prints) in part["sizes"].items():
                 # Windows of m shingles that begin up to m before a known one, inside its text.
                 near = (hits[:, None] - np.arange(m)[None, :])
                 fits = (near >= lows[:, None]) & (near + m <= highs[:, None])
                 begin = np.unique(near[fits])
                 begin = begin[100 * (known_before[begin + m] - known_before[begin]) >= SIMILAR[0] * m]
-                if not len(begin):
+                if len(begin):
+                    pairs.update((int(begin[which]), int(numbers[k])) for which, k in self._near(h, weight, begin, m, prints))
+            pairs.update(self._sharing(hits, place, text_of, at, part))
+            for a, k in sorted(pairs):
+                item_id, shingle = part["items"][k]
+                m = len(shingle)
+                value = self._similarity(h[a : a + m], weight[a : a + m], shingle, part)
+                if value is None:
                     continue
-                for which, k in self._near(h, weight, begin, m, prints):
-                    a = int(begin[which])
-                    item_id, shingle = items[k]
-                    value = self._similarity(h[a : a + m], weight[a : a + m], shingle, part)
-                    if value is None:
-                        continue
-                    text = int(np.searchsorted(at, a, side="right")) - 1
-                    word = int(firsts[text] + a - at[text])
-                    base = int(texts.begins[text])
-                    row = {
-                        "item_id": item_id, "similarity": value, "from": int(starts[word]) - base,
-                        "to": int(ends[word + m + width - 2]) - base,
-                    }
-                    old = found[text].get(item_id)
-                    if old is None or (-value, row["from"]) < (-old["similarity"], old["from"]):
-                        found[text][item_id] = row
+                text = int(np.searchsorted(at, a, side="right")) - 1
+                word = int(firsts[text] + a - at[text])
+                base = int(texts.begins[text])
+                row = {
+                    "item_id": item_id, "similarity": value, "from": int(starts[word]) - base,
+                    "to": int(ends[word + m + width - 2]) - base,
+                }
+                old = found[text].get(item_id)
+                if old is None or (-value, row["from"]) < (-old["similarity"], old["from"]):
+                    found[text][item_id] = row
         return [sorted(x.values(), key=lambda r: (r["item_id"] is not None, r["item_id"] or 0)) for x in found]
 
+    @staticmethod
+    def _sharing(hits, place, text_of, at, part) -> Iterator[tuple[int, int]]:
+        """(window, item) that may share SIMILAR of the item's weight: all that can reach the threshold."""
+        anchors, owners = part["anchors"]
+        left = np.searchsorted(anchors, place, side="left")
+        many = np.searchsorted(anchors, place, side="right") - left
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        n = len(part["items"])
+        pair = np.unique(np.repeat(text_of, many) * n + owners[np.repeat(left, many) + step])
+        key = text_of * len(part["known"]) + place
+        order = np.argsort(key, kind="stable")
+        key, where = key[order], hits[order]
+        for text, k in zip((pair // n).tolist(), (pair % n).tolist(), strict=True):
+            own = part["own"][k]
+            lo = np.searchsorted(key, text * len(part["known"]) + own, side="left")
+            many = np.searchsorted(key, text * len(part["known"]) + own, side="right") - lo
+            need = SIMILAR[0] * int(part["sums"][k])
+            if SIMILAR[1] * int(part["weight"][own[many > 0]].sum()) < need:
+                continue
+            m = len(part["items"][k][1])
+            first, last = int(at[text]), int(at[text + 1]) - m
+            if last < first:
+                continue
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            seen = where[np.repeat(lo, many) + step]
+            order = np.argsort(seen)
+            seen, sums = seen[order], np.concatenate([[0], np.cumsum(np.repeat(part["weight"][own], many)[order])])
+            # What a window shares changes only where a shared shingle enters or leaves it.
+            edge = np.unique(np.clip(np.concatenate([[first], seen - m + 1, seen + 1]), first, last))
+            shared = sums[np.searchsorted(seen, edge + m)] - sums[np.searchsorted(seen, edge)]
+            ends = np.append(edge[1:], last + 1)
+            for a, b in zip(edge[SIMILAR[1] * shared >= need].tolist(), ends[SIMILAR[1] * shared >= need].tolist(), strict=True):
+                yield from ((begin, k) for begin in range(a, b))
+
     @staticmethod
     def _near(h, weight, begin, m, prints) -> Iterator[tuple[int, int]]:
         """(window, item) whose fingerprints are at most RADIUS bits apart."""
