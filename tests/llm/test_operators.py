@@ -341,6 +341,22 @@ def test_every_window_at_the_threshold_is_found():
     assert got == pytest.approx(want)
 
 
+def test_shortened_items_leak(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate([12, 40, 40, 100])]
+    docs = [(0, items[0][1][:-1]), (1, items[1][1][:-1]), (2, items[2][1][3:]), (3, items[3][1][:80]), (4, items[3][1][:90] + [word()])]
+    docs += [(10, items[1][1][:20]), (11, items[3][1][:70]), (12, items[3][1][50:] + [word() for _ in range(40)])]
+    frame = lambda rows, ddl: spark.createDataFrame([(i, " ".join(t)) for i, t in rows], ddl)
+    out = decontam.flag_leaks(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()
+    # All shingles are of one item, so those of an item weigh alike, and a little less than unknown ones.
+    want = {(0, 0): 7 / 8, (1, 1): 35 / 36, (2, 2): 33 / 36}
+    got = {(r.doc_id, x.item_id): x for r in out for x in r.leaks}
+    assert {k: x.similarity for k, x in got.items() if k in want} == pytest.approx(want)
+    assert set(got) == {*want, (4, 3)}
+    assert (got[1, 1]["from"], got[1, 1].to) == (0, len(" ".join(docs[1][1])))
+
+
 def test_several_passes_find_the_same(spark, monkeypatch):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash over windows of the size of an item.
 
 A document leaks an item if a window with as many 5-word shingles as the item is similar
-to it: the weighted Jaccard similarity of their shingle sets is at least SIMILAR.  Rare
+to it: the weighted Jaccard similarity of their shingle sets is at least SIMILAR.  A text
+with fewer shingles than the item is one window as a whole.  Rare
 shingles weigh more; one that no item has weighs most.  Verbatim and nearly verbatim
 windows are found by fingerprint: a window's SimHash and an item's are at most RADIUS bits
 apart, so in RADIUS + 1 blocks of bits at least one is equal, and looking up each block
@@ -141,11 +142,11 @@ class Index:
             pairs.update(self._sharing(hits, place, text_of, at, part))
             for a, k in sorted(pairs):
                 item_id, shingle = part["items"][k]
-                m = len(shingle)
+                text = int(np.searchsorted(at, a, side="right")) - 1
+                m = min(len(shingle), int(at[text + 1] - at[text]))
                 value = self._similarity(h[a : a + m], weight[a : a + m], shingle, part)
                 if value is None:
                     continue
-                text = int(np.searchsorted(at, a, side="right")) - 1
                 word = int(firsts[text] + a - at[text])
                 base = int(texts.begins[text])
                 row = {
@@ -176,10 +177,8 @@ class Index:
             need = SIMILAR[0] * int(part["sums"][k])
             if SIMILAR[1] * int(part["weight"][own[many > 0]].sum()) < need:
                 continue
-            m = len(part["items"][k][1])
+            m = min(len(part["items"][k][1]), int(at[text + 1] - at[text]))
             first, last = int(at[text]), int(at[text + 1]) - m
-            if last < first:
-                continue
             step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             seen = where[np.repeat(lo, many) + step]
             order = np.argsort(seen)
