@@ -366,6 +366,25 @@ def test_several_passes_find_the_same(spark, monkeypatch):
     assert one and flat() == one
 
 
+def test_several_passes_weigh_the_same(spark, monkeypatch):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared = [word() for _ in range(12)]
+    items = [(i, [word() for _ in range(20)] + shared * (i % 2) + [word() for _ in range(20)]) for i in range(40)]
+    items += [(100 + i, [word() for _ in range(i % 6)]) for i in range(12)]
+    docs = [(i, [word()] * 3 + t[:-2] + [word() for _ in range(8)]) for i, t in items]
+    # An item's window that runs on into the words of another item.
+    docs += [(1000 + i, [word() for _ in range(9)] + t[:-2] + shared[:6] + [word()]) for i, t in items[:40]]
+    frame = lambda rows, ddl: spark.createDataFrame([(i, " ".join(t)) for i, t in rows], ddl).withColumn("weights_0", F.lit(1))
+    docs, items = frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")
+    flat = lambda: sorted((r.doc_id, *x) for r in decontam.flag_leaks(docs, items).collect() for x in r.leaks)
+    one = flat()
+    monkeypatch.setattr(decontam, "ITEM_BLOCK", 9)
+    monkeypatch.setattr(decontam, "KNOWN_BLOCK", 700)
+    assert len(one) > 40 and flat() == one
+    assert decontam.flag_leaks(docs, items).columns == [*docs.columns, "leaks"]
+
+
 def test_fingerprints_in_the_radius_are_found():
     rng = np.random.default_rng(4)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

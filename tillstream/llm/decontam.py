@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.llm.store import ship_code
+from tillstream.llm.store import ship_code, written
 from tillstream.llm.textblock import Texts, blocks, mix, separators, shingles
 
 WIDTH = 5
 SIMILAR = (80, 100)
 RADIUS = 11
 ITEM_BLOCK, ITEM_BYTES = 20_000, 16_000_000  # items of one pass over the documents, at most
+KNOWN_BLOCK = 2_000_000  # shingles of items whose weights go to the tasks at once, at most
 WEIGHT = 1000  # weights are whole thousandths
 # Words are runs of letters and digits; bytes of other scripts count as letters.
 APART = separators(*(b for b in range(128) if not chr(b).isalnum()))
@@ -63,23 +64,54 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view(">u8").ravel().astype(_U)
 
 
+def _weigh(items: int, n: np.ndarray) -> np.ndarray:
+    """Weights of shingles that n of so many items have; 0 for one that none has."""
+    return np.round(WEIGHT * (np.log((items + 1) / (n + 1)) + 1)).astype(np.int64)
+
+
+def _items_by_width(texts: Texts) -> Iterator[tuple[int, dict[int, np.ndarray]]]:
+    """For each width the shingles of the items that have it, by number of the item."""
+    words = np.diff(texts.words(APART)[2])
+    for width in range(1, WIDTH + 1):
+        own = np.flatnonzero(words >= WIDTH if width == WIDTH else words == width)
+        if len(own):
+            h, at, *_ = _places(texts, width)
+            yield width, {int(i): h[at[i] : at[i + 1]] for i in own}
+
+
+class Weights:
+    """Numbers of items by width, and a part of the shingles by width with their weights."""
+
+    def __init__(self, items: dict[int, int], known: dict[int, np.ndarray], n: dict[int, np.ndarray]):
+        order = {width: np.argsort(h) for width, h in known.items()}
+        self.items = items
+        self.known = {width: h[order[width]] for width, h in known.items()}
+        self.weight = {width: _weigh(items[width], x[order[width]]) for width, x in n.items()}
+
+    def of(self, width: int, h: np.ndarray) -> np.ndarray:
+        """Weights of shingles, 0 for those that are not in this part."""
+        known = self.known.get(width, np.zeros(0, _U))
+        if not len(known):
+            return np.zeros(len(h), np.int64)
+        place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        return np.where(known[place] == h, self.weight[width][place], 0)
+
+
 class Index:
-    """Items of one pass, by width of shingles and number of shingles."""
+    """Items of one pass, by width of shingles and number of shingles.
+
+    Weights are those of all items: without them, the items of this pass are all.
+    """
 
-    def __init__(self, ids: list[int | None], texts: list[str | None]):
+    def __init__(self, ids: list[int | None], texts: list[str | None], weights: Weights | None = None):
         block = Texts.of(pa.array(texts, pa.string()))
-        words = np.diff(block.words(APART)[2])
         self.widths: dict[int, dict] = {}
-        for width in range(1, WIDTH + 1):
-            own = np.flatnonzero(words >= WIDTH if width == WIDTH else words == width)
-            if not len(own):
-                continue
-            h, at, *_ = _places(block, width)
-            sets = {int(i): h[at[i] : at[i + 1]] for i in own}
+        for width, sets in _items_by_width(block):
             known, n = np.unique(np.concatenate([np.unique(x) for x in sets.values()]), return_counts=True)
-            top = math.log(len(own) + 1) + 1
-            weight = np.minimum(np.round(WEIGHT * (np.log((len(own) + 1) / (n + 1)) + 1)), round(WEIGHT * top)).astype(np.int64)
-            part = {"known": known, "weight": weight, "top": round(WEIGHT * top), "sizes": {}}
+            many = weights.items[width] if weights else len(sets)
+            top = int(_weigh(many, np.zeros(1))[0])
+            weight = weights.of(width, known) if weights else _weigh(many, n)
+            part = {"known": known, "weight": weight, "top": top, "sizes": {}}
             part["items"] = [(ids[i], x) for i, x in sets.items()]
             for k, (_, x) in enumerate(part["items"]):
                 part["sizes"].setdefault(len(x), []).append((k, x))
@@ -109,8 +141,11 @@ class Index:
         order = np.argsort(place, kind="stable")
         part["anchors"] = (place[order], owner[order])
 
-    def leaks(self, texts: Texts) -> list[list[dict]]:
-        """For each text the items it leaks, each with its most similar window."""
+    def leaks(self, texts: Texts, others: dict[int, np.ndarray] | None = None) -> list[list[dict]]:
+        """For each text the items it leaks, each with its most similar window.
+
+        others are weights of all the texts' shingles by width, 0 where no item has one.
+        """
         found: list[dict] = [{} for _ in range(len(texts.begins) - 1)]
         for width, part in self.widths.items():
             h, at, starts, ends, firsts = _places(texts, width)
@@ -127,6 +162,8 @@ class Index:
             is_known[hits + 1] = 1
             known_before = np.cumsum(is_known)
             weight = np.full(len(h), part["top"], np.int64)
+            if others is not None:
+                weight = np.where(others[width] > 0, others[width], part["top"])
             weight[hits] = part["weight"][place]
             text_of = np.searchsorted(at, hits, side="right") - 1
             lows, highs = at[text_of], at[text_of + 1]
@@ -237,7 +274,8 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
     earliest of equals.  No shuffle: items go to the tasks, ITEM_BLOCK at most in one pass
     over the documents.  Items that share an id are one; items without words leak nowhere,
     an item of fewer than WIDTH words is one shingle of its own.  A null text leaks
-    nothing; repeated rows each get their entries; other columns are kept.
+    nothing; repeated rows each get their entries; other columns are kept.  The number of
+    passes changes nothing: weights are those of all items.
     """
     ship_code(docs.sparkSession)
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
@@ -247,16 +285,91 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
         pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("from", pa.int64()), ("to", pa.int64())])
     )
     out = docs.withColumn(name, F.array().cast(LEAKS))
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    many: dict[int, int] = {}
+    weighed = None
+    if passes > 1:
+        # Weights must not depend on the passes: each text gets those of all its shingles first.
+        counted = written(_document_frequencies(items), "shingles")
+        total = counted.where("h is null").collect()  # one row a width
+        many = {r["width"]: r["n"] for r in total}
+        weighed = _unused(docs.columns, name)
+        out = out.withColumn(weighed, F.array().cast("array<binary>"))
+        kind = T.StructType([*kind.fields, T.StructField(weighed, T.ArrayType(T.BinaryType()))])
+        slices = max(1, math.ceil(counted.count() / KNOWN_BLOCK))
+        for k in range(slices):
+            weights = _weights(counted.where("h is not null").where(F.pmod(F.xxhash64("h"), F.lit(slices)) == k), many)
+
+            def weigh(batches: Iterable[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
+                for batch, texts in blocks(batches, "text"):
+                    yield _replaced(batch, weighed, pa.array(_add_weights(batch.column(weighed), texts, weights), pa.list_(pa.binary())))
+
+            out = out.mapInArrow(weigh, kind)
     for k in range(passes):
-        rows = items.where(part == k).select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text").collect()
-        index = Index([r[0] for r in rows], [r[1] for r in rows])
+        rows = items.where(part == k).orderBy("item_id", "text").collect()
+        own = None
+        if passes > 1:
+            mine = _document_frequencies(items.where(part == k)).select("width", "h").where("h is not null")
+            own = _weights(counted.join(mine, ["width", "h"], "left_semi"), many)
+        index = Index([r[0] for r in rows], [r[1] for r in rows], own)
 
         def flag(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch, texts in blocks(batches, "text"):
-                place = batch.schema.get_field_index(name)
-                found = [a + b for a, b in zip(batch.column(place).to_pylist(), index.leaks(texts), strict=True)]
-                yield batch.drop_columns(name).append_column(name, pa.array(found, type_))
+                others = _joined(batch.column(weighed), many) if weighed else None
+                found = [a + b for a, b in zip(batch.column(name).to_pylist(), index.leaks(texts, others), strict=True)]
+                yield _replaced(batch, name, pa.array(found, type_))
 
         out = out.mapInArrow(flag, kind)
+    return out.drop(weighed) if weighed else out
+
+
+def _unused(columns: list[str], name: str) -> str:
+    taken = {c.lower() for c in [*columns, name]}
+    return next(c for c in (f"weights_{k}" for k in range(len(taken) + 1)) if c not in taken)
+
+
+def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index(name), name, column)
+
+
+def _document_frequencies(items: DataFrame) -> DataFrame:
+    """width, h, n: how many items have a shingle; with null h, how many have shingles of that width."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in blocks(batches, "text"):
+            for width, sets in _items_by_width(texts):
+                h = np.concatenate([np.unique(x) for x in sets.values()]).view(np.int64)
+                h = pa.concat_arrays([pa.array(h), pa.nulls(len(sets), pa.int64())])
+                yield pa.record_batch({"width": pa.array(np.full(len(h), width, np.int32)), "h": h})
+
+    return items.select("text").mapInArrow(cut, "width int, h long").groupBy("width", "h").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _weights(counted: DataFrame, many: dict[int, int]) -> Weights:
+    rows = counted.select("width", "h", "n").toArrow()
+    width, h, n = (rows.column(k).to_numpy() for k in range(3))
+    return Weights(many, {w: h[width == w].view(_U) for w in many}, {w: n[width == w] for w in many})
+
+
+def _add_weights(column: pa.Array, texts: Texts, weights: Weights) -> list[list[bytes]]:
+    """For each text and width a 32-bit weight of each shingle, those of this part added."""
+    out: list[list[bytes]] = [[] for _ in range(len(column))]
+    before = _joined(column, weights.items)
+    for width in sorted(weights.items):
+        h, at, *_ = _places(texts, width)
+        weight = weights.of(width, h)
+        if len(before[width]):
+            weight = weight + before[width]
+        raw = weight.astype("<i4").tobytes()
+        for i, row in enumerate(out):
+            row.append(raw[4 * at[i] : 4 * at[i + 1]])
     return out
+
+
+def _joined(column: pa.Array, widths: Iterable[int]) -> dict[int, np.ndarray]:
+    """Weights of the texts' shingles end to end, by width; empty where no part was added yet."""
+    rows = column.to_pylist()
+    return {
+        width: np.frombuffer(b"".join(r[k] for r in rows if r), "<i4").astype(np.int64) for k, width in enumerate(sorted(widths))
+    }
