@@ -154,6 +154,26 @@ def test_every_constraint_holds(lengths, most, score, cost):
         assert at <= 40
 
 
+@pytest.mark.parametrize("score", ["norm", "dot"])
+def test_attention_cost_binds(spark, score):
+    rng = random.Random(15)
+    rows = [(i, 0, 0, rng.randint(1, 20)) for i in range(400)]
+    found = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long")
+    sums = {}
+    for cost in (500, 1600):
+        placed = packing.pack(found, packing.Capacity(40, 40, cost, score=score)).collect()
+        assert sorted((r.doc_id, r.length) for r in placed) == [(r[0], r[3]) for r in rows]
+        used, lengths = Counter(), Counter()
+        for r in placed:
+            used[r.sequence_id] += r.length**2
+            lengths[r.sequence_id] += r.length
+        assert max(used.values()) <= cost and max(lengths.values()) <= 40
+        sums[cost] = max(used.values()), len(used)
+    assert sums[1600][0] > 500 and sums[500][1] > sums[1600][1]  # 500 is a limit that changes the packing
+    with pytest.raises(ValueError, match="costs more"):
+        packing.pack(found, packing.Capacity(40, 40, 399))
+
+
 def test_sequences_are_put_together(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "d e")], "doc_id long, text string")
     found = packing.pieces(docs, "word_bpe_49k.json", 0, 3, with_ids=True)

@@ -28,8 +28,8 @@ class Capacity:
     score: str = "norm"  # or "dot"
 
     def __post_init__(self):
-        if self.documents < 1 or self.cost < self.tokens**2 or self.score not in ("norm", "dot"):
-            raise ValueError("a piece of full length must fit a sequence, and score is norm or dot")
+        if min(self.tokens, self.documents, self.cost) < 1 or self.score not in ("norm", "dot"):
+            raise ValueError("a piece must fit a sequence, and score is norm or dot")
 
 
 def plan(counts: dict[int, int], capacity: Capacity) -> np.ndarray:
@@ -74,7 +74,7 @@ def plan(counts: dict[int, int], capacity: Capacity) -> np.ndarray:
                 many[k] = n
             left[k] = left[k] - demand
         smallest = min((x for x in counts if x < length), default=0)
-        keep = (left[:, 0] >= max(smallest, 1)) & (left[:, 1] >= 1)
+        keep = (left >= [max(smallest, 1), 1, max(smallest, 1) ** 2]).all(axis=1)
         left, first, many = left[keep], first[keep], many[keep]
     return np.array(slices, np.int64).reshape(-1, 5)
 
@@ -119,13 +119,16 @@ def pack(found: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     """found (with doc_id, piece, start, length) and sequence_id and offset for each row.
 
     Every row is placed, repeated rows and null doc_ids too.  Lengths are from 1 to
-    capacity.tokens.  An empty table gives an empty one.
+    capacity.tokens, and the square of the longest is at most capacity.cost.  An empty
+    table gives an empty one.
     """
     spark = found.sparkSession
     held = written(found, "pieces")  # ranks must see the same rows each time
     counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts and not 1 <= min(counts) <= max(counts) <= capacity.tokens:
         raise ValueError(f"lengths must be from 1 to {capacity.tokens}")
+    if counts and max(counts) ** 2 > capacity.cost:
+        raise ValueError(f"a piece of {max(counts)} costs more than {capacity.cost}")
     slices = plan(counts, capacity)  # at most capacity.tokens lengths
     slices = slices[np.lexsort((slices[:, 1], slices[:, 0]))]
     keys, sequences, offsets = (slices[:, 0] << 44) + slices[:, 1], slices[:, 3], slices[:, 4]
