@@ -52,6 +52,23 @@ def test_words_and_shingles(values):
             assert seen.setdefault(int(runs[i]), words) == words
 
 
+def test_trailing_nuls_are_part_of_a_word(spark):
+    words = [w + "\0" * n for w in ("", "a", "abcdefg", "abcdefgh", "abcdefghi", "b" * 16, "c" * 509) for n in range(10) if w or n]
+    block = texts_of([" ".join(words)])
+    starts, ends, firsts = block.words(SPACES)
+    assert len(set(block.hashes(starts, ends).tolist())) == len(words)
+    five = texts_of(["a b c d e", "a b c d e\0", "a b\0 c d e", "a", "a\0"])
+    starts, ends, firsts = five.words(SPACES)
+    assert len(set(shingles(five.hashes(starts, ends), firsts, 5)[0].tolist())) == 5
+    tool = tokens.word_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    values = ["a b", "a\0 b\0\0 b", "a\0", "abcdefghi\0 abcdefghi", "\0 \0\0"]
+    ids, at = tool.encode(texts_of(values))
+    for i, v in enumerate(values):
+        assert ids[at[i] : at[i + 1]].tolist() == tool.library.encode(v, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a\0 b\0 c\0 d\0 e\0 f\0")], "doc_id long, text string")
+    assert sorted(r.component_id for r in jaccard.similar_components(docs).collect()) == [1, 2]
+
+
 @given(st.lists(PROSE | st.sampled_from(["<|endoftext|> x", "<|startoftext|>", "İstanbul naïve", "ΑΣ ας", "it's 12th", "a\u0301 \u00a0b"]), max_size=5))
 def test_word_tokenizer_is_the_library(values):
     tool = tokens.word_tokenizer(public_tokenizers.path("word_bpe_49k.json"))

@@ -79,7 +79,10 @@ class Texts:
         return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, self.begins)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each span; one to one for spans of up to 8 bytes without NUL."""
+        """A 64-bit hash of each span, none of them empty; one to one for spans of up to 8 bytes that do not end in NUL.
+
+        Zero bytes fill up the last eight, so the size of a span that ends in NUL goes in too.
+        """
         padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
         eights = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
         size = ends - starts
@@ -91,6 +94,8 @@ class Texts:
             h[rest] = mix((h[rest] * _STEP) ^ (eights[at] & _MASK[np.minimum(size[rest] - k, 8)]))
             k += 8
             rest = rest[size[rest] > k]
+        nul = np.flatnonzero(self.data[ends - 1] == 0)
+        h[nul] = mix((h[nul] * _STEP) ^ size[nul].astype(_U))
         for i in np.flatnonzero(size > LONG_WORD):
             digest = hashlib.blake2b(self.data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
             h[i] = int.from_bytes(digest, "little")
