@@ -439,6 +439,20 @@ def test_fingerprints_in_the_radius_are_found():
 # Shards, quality, chat.
 
 
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_shards_split_on_whole_texts(spark, monkeypatch, hot):
+    monkeypatch.setattr(shards, "HOT", hot)
+    rng = random.Random(16)
+    rows = [(i, "x" * 20, "en", f"https://site/{rng.randrange(40):03}", 20) for i in range(600)]
+    rows += [(1000 + i, "x" * 20, "en", "https://site/039" if i % 4 else None, 20) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = shards.kd_shards(docs, shards=4).collect()
+    source = {r[0]: r[3] or "" for r in rows}
+    assert sorted(r.doc_id for r in placed) == sorted(source)
+    own = [sorted(source[r.doc_id] for r in placed if r.shard == k) for k in range(4)]
+    assert all(a[-1] <= b[0] for a, b in zip(own, own[1:], strict=False))  # each shard is a range of sources
+
+
 @pytest.mark.parametrize("n", [1, 3, 5])
 def test_shards_of_hot_values(spark, n):
     rows = [(i, "x" * (i % 50), "en", "hot" if i % 3 else f"s{i}", None) for i in range(600)] + [(7, "same", "en", "hot", None)] * 300

@@ -4,25 +4,55 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.store import gapless, shuffle_parts, written
 
 DIMENSIONS = ("n_chars", "lang", "source")
 TIE_BITS, SCALE_BITS = 32, 31
+HOT = 1000  # values of a text dimension that are broadcast, at most
 CLOSE = 0.0005  # a cut is near enough when what lies in its bin is that share of the node
 
 
 def _coordinate(name: str, kind: str) -> Column:
-    """A dimension as a number in the order of its values: texts by their first six bytes."""
+    """A dimension as a number in the order of its values; texts are ranked later."""
     if kind == "string":
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        return F.col(name)
     if kind in ("date", "timestamp", "timestamp_ntz"):
         return F.col(name).cast("timestamp").cast("double")
     return F.col(name).cast("double")
 
 
+def _ranked(points: DataFrame, name: str) -> DataFrame:
+    """points with the text column name as the rank of its value among the different values, from 0.
+
+    Ranks are counted over ranges of values.  Values of a large share of the rows, at most
+    HOT, are broadcast, so that no task holds the rows of one; the others meet in a shuffle.
+    """
+    spark = points.sparkSession
+    values = points.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = values.repartitionByRange(shuffle_parts(spark), name).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "values")
+    begins, n, total = [], 0, 0
+    for r in ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("d"), F.sum("_n").alias("n")).orderBy("_part").collect():
+        begins.append((r["_part"], n))
+        n, total = n + r["d"], total + r["n"]
+    table = spark.createDataFrame(begins, "_part int, _begin long")
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(name)) - 1
+    ranks = ranged.withColumn("_rank", rank).join(F.broadcast(table), "_part")
+    ranks = ranks.select(name, (F.col("_begin") + F.col("_rank")).cast("double").alias("_x"), "_n")
+    columns = [F.col("_x").alias(name) if c == name else F.col(c) for c in points.columns]
+    if n <= HOT:
+        return points.join(F.broadcast(ranks.drop("_n")), name, "left").select(*columns)
+    ranks = written(ranks, "ranks")
+    hot = F.col("_n") * HOT > total
+    some = points.join(F.broadcast(ranks.where(hot).drop("_n")), name, "left")
+    rest = F.col("_x").isNull() & F.col(name).isNotNull()
+    others = some.where(rest).drop("_x").join(ranks.where(~hot).drop("_n").hint("shuffle_merge"), name)
+    return some.where(~rest).select(*columns).unionByName(others.select(*columns))
+
+
 def _key(dims: list[str], chosen: Column) -> Column:
     """The coordinate of the chosen dimension, then the tie-break, as one ascending number."""
     value = F.lit(None).cast("long")
@@ -41,7 +71,7 @@ def kd_shards(docs: DataFrame, *, shards: int | None = None, target_bytes: int |
     histograms of the node's rows, refined until the bin that holds it is a negligible
     share; rows with equal coordinates are parted by a random tie-break that is stored
     with them, so ties and repeated rows spread and one hot value can be cut.  A null
-    coordinate comes first; dimensions that docs lacks or that are constant are not used.
+    coordinate comes first, texts count by the rank of their value; dimensions that docs lacks or that are constant are not used.
     Every row gets a shard; slots number a shard from 0 without a gap.
     """
     spark = docs.sparkSession
@@ -56,6 +86,11 @@ def kd_shards(docs: DataFrame, *, shards: int | None = None, target_bytes: int |
         F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << TIE_BITS)).alias("tie"),
     )
     raw = written(raw, "points")
+    texts = [f"x{k}" for k, d in enumerate(names) if kinds[d] == "string"]
+    for name in texts:
+        raw = _ranked(raw, name)
+    if texts:
+        raw = written(raw, "points")
     low_high = [f(f"x{k}").alias(f"{n}{k}") for k in range(len(names)) for n, f in (("lo", F.min), ("hi", F.max))]
     whole = raw.agg(F.sum("size").alias("size"), *low_high).first()
     total = whole["size"] or 0
