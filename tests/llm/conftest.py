@@ -7,8 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-SMALL = "/root/testdata/sf0.001"
+from given import SMALL  # noqa: E402
 
 
 @pytest.fixture

@@ -6,7 +6,7 @@ from collections import Counter
 
 import brute
 import pytest
-from conftest import SMALL
+from given import SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline

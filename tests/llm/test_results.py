@@ -10,7 +10,7 @@ import brute
 import public_tokenizers
 import pytest
 import sentencepiece
-from conftest import DOCS, SMALL
+from given import DOCS, SMALL
 from tokenizers import Tokenizer
 
 from tillstream.llm import queries

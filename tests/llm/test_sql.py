@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from check import differences
-from conftest import SMALL
+from given import SMALL
 
 import __spark_entry__ as entry_points
 from tillstream.llm import queries
@@ -18,4 +18,4 @@ def test_query_matches_oracle(spark, name):
 
 def test_all_are_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(entry_points.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 14))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, counts, decontam, jaccard, packing, quality, repeats, shards, sql, tokenfile, warc
+from tillstream.llm import chat, counts, decontam, jaccard, packing, pieces, quality, repeats, shards, sql, tokenfile, warc
 from tillstream.llm.store import work_area
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,14 @@ def op10_bwt_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_offset_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = "piece_bpe_32k.model"
+    back = pieces.decode_pieces(pieces.encode_pieces(table(spark, folder, "documents"), model), model)
+    return back.select(
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -98,6 +106,7 @@ def queries() -> dict[str, Query]:
             op8_ngram_ratio_quality,
             op9_kd_tree_shards,
             op10_bwt_interval_dedup,
+            op13_offset_pieces,
         )
     }
 
