@@ -3,10 +3,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-import pyarrow as pa
 import pytest
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -38,13 +35,6 @@ def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
 
 
-def frame(spark, data, ddl):
-    """A DataFrame of given rows that is planned as a local relation."""
-    schema = T.StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl
-    named = [dict(zip(schema.names, row, strict=True)) for row in data]
-    return spark.createDataFrame(pa.Table.from_pylist(named, to_arrow_schema(schema)), schema)
-
-
 @pytest.fixture
 def rows():
     """Rows of a DataFrame as sorted tuples, NULLs first."""

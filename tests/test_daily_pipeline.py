@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import frame
+from frames import frame
 from tillstream.plans.pipeline import TEST_RESULTS, ingest_batch, run_pipeline, run_spark_metrics
 from tillstream.plans.quality import QualityError, SchemaTestError
 from tillstream.sources.tables import Lake

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import frame
+from frames import frame
 from tillstream.operators.revenue import orders_and_revenue
 from tillstream.plans import marts, reports
 from tillstream.plans.staging import stg_orders

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame
+from frames import frame
 from tillstream.operators.asof import latest_within
 from tillstream.operators.evolve import conform, ensure_columns
 from tillstream.operators.keyed import first_per_key, insert_if_absent

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import frame
+from frames import frame
 from tillstream.plans import quality
 
 ORDERS = "order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz, order_approved_ts timestamp_ntz"

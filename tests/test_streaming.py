@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from conftest import frame
+from frames import frame
 from tillstream.plans.enrich import enrich_country, enrich_weather
 from tillstream.plans.ingest import first_currency, flatten_order_items, flatten_orders
 from tillstream.plans.reports import hourly_order_metrics
