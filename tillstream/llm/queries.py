@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, counts, decontam, jaccard, packing, pieces, quality, repeats, shards, sql, tokenfile, warc
+from tillstream.llm import chat, counts, decontam, jaccard, packing, pieces, quality, repair, repeats, shards, sql, tokenfile, warc
 from tillstream.llm.store import work_area
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,42 @@ def op10_bwt_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conversations with the faults that op12 is asked to repair."""
+    told = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")
+    )
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(F.encode(name, "UTF-8")) % 20
+    return told.withColumn("kind", kind).where("kind <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "")
+        .when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op12_run_length_repair(spark: SparkSession, folder: str) -> DataFrame:
+    told = table(spark, folder, "conversations")
+    edits, report = repair.repair_conversations(damaged(told))
+    hashes = repair.repaired_digests(edits).select(F.col("conv_id").alias("_hashed"), "sha256")
+    found = report.withColumnRenamed("conv_id", "_found")
+    whole = told.select("conv_id").distinct()
+    whole = whole.join(found, F.col("conv_id").eqNullSafe(F.col("_found")), "left")
+    whole = whole.join(hashes, F.col("conv_id").eqNullSafe(F.col("_hashed")), "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return whole.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_offset_pieces(spark: SparkSession, folder: str) -> DataFrame:
     model = "piece_bpe_32k.model"
     back = pieces.decode_pieces(pieces.encode_pieces(table(spark, folder, "documents"), model), model)
@@ -106,6 +142,7 @@ def queries() -> dict[str, Query]:
             op8_ngram_ratio_quality,
             op9_kd_tree_shards,
             op10_bwt_interval_dedup,
+            op12_run_length_repair,
             op13_offset_pieces,
         )
     }
