@@ -154,4 +154,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chain_verified_warc": sql.WARC,
         "op7_parity_sketch_join": sql.SIMILAR,
         "op10_bwt_interval_dedup": sql.REPEATS,
+        "op12_run_length_repair": sql.repaired(),
     }

@@ -99,3 +99,99 @@ select doc_id, any_value(n) as n_bytes, cast(sum(case when cut then b - a else 0
     case when last then substr(h, 2 * b + 1) else '' end, '' order by a))) as kept_sha256
 from gaps group by doc_id
 """
+
+CRC = """crc_table as (
+  select list(v order by i) as crcs from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) as v
+    from range(256) as t(i)
+  )
+)"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text in ASCII, where crc_table is in scope."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    step = "xor(c >> 8, crcs[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def repaired() -> str:
+    """Turns from the last to the first.  A way to the end is its cost in ten digits and its
+    letters, so the least string is the cheapest way, and of those the first in ASCII."""
+
+    def way(old: str, cost: str, letter: str) -> str:
+        return f"(lpad((substr({old}, 1, 10)::bigint + {cost})::varchar, 10, '0') || '{letter}' || substr({old}, 11))"
+
+    follows = (2, 2, 3, 2)
+    base = []
+    for q in range(4):
+        n = follows[q]
+        fits = "initial = 'a'" if q == 2 else "initial = 'u'"
+        keep = f"case when {fits} then {way(f'f{n}', 'cut', 'K')}"
+        keep += f" when initial = 's' then {way('f1', 'cut', 'K')} end" if q == 0 else " end"
+        free = f"least(coalesce({keep}, '9'), {way(f'f{n}', '2 + cut', 'R')})"
+        base.append(f"least({way(f'f{q}', '3', 'D')}, case when gone then '9' else {free} end) as b{q}")
+    best = []
+    for q in range(4):
+        n = follows[q]
+        best.append(f"least(b{q}, {way(f'b{n}', '2', 'I')}, {way(f'b{follows[n]}', '4', 'II')})")
+    return f"""
+with recursive {CRC}, told as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations
+), kinds as (
+  select * exclude (crcs), {crc32("name")} % 20 as kind from told, crc_table
+), damaged as (
+  select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from kinds, range(case kind when 0 then 0 when 3 then 2 else 1 end)
+), digests as (
+  select *, sha256(length(role)::varchar || ':' || role || text) as digest, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+  from damaged
+), ordered as (
+  select *, left(role, 1) as initial, row_number() over (partition by conv_id order by turn nulls first, role, digest) as k
+  from digests
+), seen as (
+  select *, row_number() over (partition by conv_id, digest order by k) > 1 as known from ordered
+), faults as (
+  select *, case when body = '' then 'b' when known then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end as fault
+  from seen
+), turns as (
+  select *, fault in ('b', 'd') as gone, (fault = 't')::int as cut,
+    lag(initial) over (partition by conv_id order by k) || initial not in ('su', 'ua', 'au') as wrong
+  from faults
+), sums as (
+  select conv_id, max(k) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank,
+    count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated, count(*) filter (wrong) as illegal
+  from turns group by conv_id
+), ways as (
+  select conv_id, n + 1 as k, '0000000000' as f0, '0000000004II' as f1, '0000000002I' as f2, '0000000000' as f3 from sums
+  union all
+  select conv_id, k, {", ".join(best)} from (
+    select t.conv_id, t.k, {", ".join(base)} from ways w join turns t on t.conv_id is not distinct from w.conv_id and t.k = w.k - 1
+  )
+), audits as (
+  select conv_id, substr(f0, 1, 10)::bigint as cost, substr(f0, 11) as audit from ways where k = 1
+), letters as (
+  select conv_id, p, audit[p] as letter from audits, unnest(range(1, length(audit) + 1)) as u(p)
+), placed as (
+  select *, count(*) filter (letter <> 'I') over w as k, count(*) filter (letter <> 'D') over w as e
+  from letters window w as (partition by conv_id order by p)
+), joined as (
+  select a.conv_id, a.p, a.letter, a.e, t.role, t.text, t.initial
+  from placed a left join turns t on a.letter <> 'I' and t.conv_id is not distinct from a.conv_id and t.k = a.k where a.letter <> 'D'
+), roles as (
+  select *, e - max(case when e = 1 and letter = 'K' and initial = 's' then 1 else 0 end) over (partition by conv_id) as place from joined
+), lines as (
+  select conv_id, sha256(string_agg(
+    case when letter = 'K' then role when place % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''), chr(10) order by p)) as hash
+  from roles group by conv_id
+)
+select c.conv_id, coalesce(s.gaps, 0)::bigint as gaps, coalesce(s.blank, 0) as blank, coalesce(s.duplicate, 0) as duplicate,
+  coalesce(s.truncated, 0) as truncated, coalesce(s.illegal, 0) as illegal, coalesce(a.cost, 0) as cost,
+  coalesce(a.audit, '') as audit, coalesce(l.hash, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join sums s on s.conv_id is not distinct from c.conv_id
+left join audits a on a.conv_id is not distinct from c.conv_id
+left join lines l on l.conv_id is not distinct from c.conv_id
+"""
