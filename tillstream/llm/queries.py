@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, counts, decontam, jaccard, packing, pieces, quality, repair, repeats, shards, sql, tokenfile, warc
+from tillstream.llm import chat, counts, decontam, jaccard, packing, pieces, quality, repair, repeats, shards, sql, tokenfile, trie, warc
 from tillstream.llm.store import work_area
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,21 @@ def op10_bwt_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """Sequences (conv_id, turns) that begin as the first of their hundred does, for op11."""
+    base = F.col("conv_id") - F.pmod("conv_id", F.lit(100))
+    h = (F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 6).cast("int")
+    heads = sequences.where(F.col("conv_id") == base).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    told = sequences.select("conv_id", "turns", base.alias("base"), h.alias("h")).join(heads, "base", "left")
+    own = F.filter("turns", lambda _, i: i >= F.col("h"))
+    head = F.filter("head", lambda _, i: i < F.col("h"))
+    return told.select("conv_id", F.when(F.col("head").isNull(), own).otherwise(F.concat(head, own)).alias("turns"))
+
+
+def op11_neighbour_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt(trie.turn_sequences(table(spark, folder, "conversations"))))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """conversations with the faults that op12 is asked to repair."""
     told = conversations.select(
@@ -142,6 +157,7 @@ def queries() -> dict[str, Query]:
             op8_ngram_ratio_quality,
             op9_kd_tree_shards,
             op10_bwt_interval_dedup,
+            op11_neighbour_trie,
             op12_run_length_repair,
             op13_offset_pieces,
         )
@@ -154,5 +170,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_chain_verified_warc": sql.WARC,
         "op7_parity_sketch_join": sql.SIMILAR,
         "op10_bwt_interval_dedup": sql.REPEATS,
+        "op11_neighbour_trie": sql.trie(),
         "op12_run_length_repair": sql.repaired(),
     }

@@ -195,3 +195,39 @@ left join sums s on s.conv_id is not distinct from c.conv_id
 left join audits a on a.conv_id is not distinct from c.conv_id
 left join lines l on l.conv_id is not distinct from c.conv_id
 """
+
+
+def trie() -> str:
+    """Each conversation gives a row for each of its prefixes; a node's subtree is found by the prefixes of its smallest member."""
+    return f"""
+with recursive {CRC}, told as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null
+), digests as (
+  select *, sha256(length(role)::varchar || ':' || role || text) as digest from told
+), own as (
+  select conv_id, list({{'d': digest, 's': length(text)}} order by turn nulls first, role, digest) as turns from digests group by conv_id
+), hashed as (
+  select conv_id, turns, {crc32("conv_id::varchar")} % 6 as h, conv_id - ((conv_id % 100) + 100) % 100 as base from own, crc_table
+), rebuilt as (
+  select c.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, c.h), list_slice(c.turns, c.h + 1, length(c.turns))) as turns
+  from hashed c left join own b on b.conv_id = c.base
+), prefixes as (
+  select conv_id, d, length(turns) = d as ends, coalesce(turns[d].s, 0) as size,
+    sha256(array_to_string(list_transform(list_slice(turns, 1, d), lambda t: t.d), ',')) as name,
+    sha256(array_to_string(list_transform(list_slice(turns, 1, d - 1), lambda t: t.d), ',')) as above
+  from rebuilt, unnest(range(length(turns) + 1)) as u(d)
+), nodes as (
+  select d, name, min(conv_id) as conv_id, case when d > 0 then any_value(above) end as above, count(*) as n, any_value(size) as size,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '') as ids
+  from prefixes group by d, name
+), children as (
+  select d - 1 as d, above as name, count(*) as n from nodes where d > 0 group by all
+), rated as (
+  select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c using (d, name)
+), subtrees as (
+  select p.d, p.name, count(*) filter (r.n_children = 0) as n_leaves, cast(sum((r.n - 1) * r.size) as bigint) as saved_tokens
+  from rated r join prefixes p on p.conv_id = r.conv_id and p.d <= r.d group by all
+)
+select r.conv_id, r.d as depth, a.conv_id as parent_conv_id, r.n as n_convs, r.n_children, s.n_leaves, s.saved_tokens, sha256(r.ids) as ends_sha256
+from rated r join subtrees s using (d, name) left join nodes a on a.d = r.d - 1 and a.name = r.above
+"""
