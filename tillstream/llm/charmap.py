@@ -13,11 +13,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from tillstream.llm.textblock import Texts
+
 SPACE = "▁".encode()  # fixed value: what stands for a space in pieces
 # Field numbers of the model file.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 CHARSMAP, DUMMY_PREFIX, EXTRA_SPACES, ESCAPE, RULES = 2, 3, 4, 5, 6
-SUFFIX_SPACE, BYTE_FALLBACK = 24, 35
+MODEL_KIND, SUFFIX_SPACE, BYTE_FALLBACK = 3, 24, 35
+BPE = 2
 TEXT, SCORE, KIND = 1, 2, 3
 USER_DEFINED = 4
 
@@ -70,7 +73,9 @@ class Spec:
     drop_extra_spaces: bool = True
     escape: bool = True
     byte_fallback: bool = False
+    bpe: bool = False
     own_symbols: list[bytes] = field(default_factory=list)  # kept as they stand in a text
+    inner_space: bool = False  # some piece has a space behind another character
 
     @staticmethod
     def read(model: bytes) -> tuple[Spec, bytes]:
@@ -89,8 +94,13 @@ class Spec:
                 if said.get(SUFFIX_SPACE):
                     raise ValueError("models with spaces behind words are not supported")
                 spec.byte_fallback = bool(said.get(BYTE_FALLBACK, 0))
+                spec.bpe = said.get(MODEL_KIND) == BPE
             if number == PIECES:
                 said = {n: v for n, _, v in message(value)}
+                piece = said.get(TEXT, b"")
+                while piece.startswith(SPACE):
+                    piece = piece.removeprefix(SPACE)
+                spec.inner_space |= SPACE in piece
                 if said.get(KIND) == USER_DEFINED:
                     spec.own_symbols.append(said[TEXT])
             plain.append(_field(number, value))
@@ -145,7 +155,7 @@ class CharMap:
         """The normalised text, and for each of its bytes the byte of text it came from (one
         more at the end).  text is valid UTF-8; the empty text stays empty."""
         spec, data = self.spec, np.frombuffer(text, np.uint8)
-        if not spec.charsmap and not spec.own_symbols and not spec.drop_extra_spaces:
+        if self.changes_spaces_only:
             return self._spaces_only(text, data)
         first = np.flatnonzero((data & 0xC0) != 0x80)  # characters
         width = np.diff(np.concatenate([first, [len(data)]]))
@@ -233,6 +243,42 @@ class CharMap:
             out, source = out[:size], source[: size + 1]
         return out, source
 
+    def normalise_all(self, texts: Texts) -> tuple[Texts, np.ndarray, np.ndarray]:
+        """The normalised texts end to end, the byte of its text that each of their bytes came
+        from, and for each text where its last byte's source ends."""
+        if self.changes_spaces_only and len(texts.data):
+            begins, data = texts.begins, texts.data
+            place = np.arange(len(data))
+            owner = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, place, 0))
+            text = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+            head = len(SPACE if self.spec.escape else b" ") if self.spec.dummy_prefix else 0
+            space = data == 0x20
+            mark = SPACE if self.spec.escape else b" "
+            wide = np.where(space, len(mark), 1)
+            full = np.flatnonzero(np.diff(begins))
+            wide[begins[:-1][full]] += head
+            at = np.cumsum(wide)
+            # The head of a text comes before its first byte, with the same source.
+            grown = np.repeat(data, wide)
+            spread = np.repeat(owner - begins[text], wide)
+            first = at - wide
+            for where in (first[begins[:-1][full]] if head else (), (at - len(mark))[space]):
+                for i, byte in enumerate(mark):
+                    grown[np.asarray(where, np.int64) + i] = byte
+            return Texts(grown, np.concatenate([[0], at])[begins]), spread, np.diff(begins)
+        raw = texts.data.tobytes()
+        found = [self.normalise(raw[a:b]) for a, b in zip(texts.begins[:-1].tolist(), texts.begins[1:].tolist(), strict=True)]
+        sizes = np.array([len(n) for n, _ in found], np.int64)
+        return (
+            Texts(np.frombuffer(b"".join(n for n, _ in found), np.uint8), np.concatenate([[0], np.cumsum(sizes)])),
+            np.concatenate([np.zeros(0, np.int64), *[s[:-1] for _, s in found]]),
+            np.array([s[-1] for _, s in found], np.int64),
+        )
+
+    @property
+    def changes_spaces_only(self) -> bool:
+        return not (self.spec.charsmap or self.spec.own_symbols or self.spec.drop_extra_spaces)
+
     def _spaces_only(self, text: bytes, data: np.ndarray) -> tuple[bytes, np.ndarray]:
         owner = np.arange(len(data))
         owner = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, owner, 0)) if len(data) else owner

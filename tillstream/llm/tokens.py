@@ -9,7 +9,7 @@ import numpy as np
 
 from tillstream.llm.textblock import Texts, separators
 
-MOST_WORDS = 2_000_000  # cached words of a worker
+MOST_WORDS = 500_000  # cached words of a worker
 _GAPS = separators(0x20, 0x0A)
 
 
@@ -34,6 +34,8 @@ class WordTokenizer:
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
+        self.forget()
+
         kinds = _kinds(file)
         if not kinds:
             raise ValueError(f"{file} does not work word by word")
@@ -45,6 +47,9 @@ class WordTokenizer:
         if suffix:  # which ids end a word
             self.ends = np.zeros(self.library.get_vocab_size(), bool)
             self.ends[[i for token, i in self.library.get_vocab().items() if token.endswith(suffix)]] = True
+
+    def forget(self) -> None:
+        """Drop the words known so far, as a worker does at the end of a task."""
         self.known = np.zeros(0, np.uint64)
         self.place = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -101,7 +106,12 @@ class WordTokenizer:
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text begins (one more at the end)."""
-        starts, ends, firsts = texts.words(_GAPS)
+        return self.encode_spans(texts, *texts.words(_GAPS))
+
+    def encode_spans(
+        self, texts: Texts, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, of texts whose words and whose first words are given."""
         h = texts.hashes(starts, ends)
         different, first, which = np.unique(h, return_index=True, return_inverse=True)
         if len(different) > MOST_WORDS:
