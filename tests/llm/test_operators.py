@@ -5,9 +5,12 @@ from __future__ import annotations
 import math
 import random
 import struct
+import subprocess
+import sys
 import uuid
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -287,6 +290,29 @@ def test_large_groups_go_block_by_block(spark, monkeypatch, gather):
 # Repeats.
 
 
+def test_a_crowded_key_stays_in_bounded_memory():
+    """Keys up to the bound, each in a transform: the peak of a worker that solves them."""
+    program = """
+import os, resource
+import pyarrow as pa
+from tillstream.llm import repeats
+size = 4295
+def batches():
+    for k in range(6):
+        contents = [os.urandom(size - 300) + bytes(300) for _ in range(repeats.CROWD // size)]
+        n = len(contents)
+        yield pa.record_batch({"key": pa.array([k] * n), "row": pa.array(range(n)), "check": pa.array([0] * n, pa.int32()),
+            "start": pa.array([0] * n), "settled": pa.array([False] * n), "content": pa.array(contents)})
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = sum(b.num_rows for b in repeats._expand(batches()))
+assert rows == 6 * (repeats.CROWD // size), rows
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, cwd=root, check=True)
+    assert int(out.stdout) < 200  # MB
+
+
 @given(st.lists(st.integers(0, 2), max_size=120), st.integers(1, 9))
 def test_repeated_places(symbols, length):
     t = np.array(symbols, np.int64)
@@ -296,11 +322,12 @@ def test_repeated_places(symbols, length):
     assert bwt.repeated_places(t, length).tolist() == want
 
 
-def test_crowds_and_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [3, 3000, 500_000])
+def test_crowds_and_pieces(spark, monkeypatch, crowd):
     """A passage with very many surroundings, and a text longer than a piece."""
     import brute
 
-    monkeypatch.setattr(repeats, "CROWD", 3)
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     monkeypatch.setattr(repeats, "PIECE", 700)
     rng = random.Random(9)
     noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))

@@ -75,6 +75,14 @@ def test_packing(steps):
     assert max(filled.values()) <= 2048
 
 
+def test_no_character_comes_from_two_halves(spark):
+    """A repeat that begins inside one character and ends inside another."""
+    passage = "".join(chr(0x4E00 + k) for k in range(90))
+    docs = [(1, "xé" + passage + "éx"), (2, "yũ" + passage + "ãy"), (3, "only")]
+    found = pipeline.without_repeats(spark, spark.createDataFrame(docs, "doc_id long, text string"), SMALL)
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == {1: "xx", 2: "yy", 3: "only"}
+
+
 def test_empty(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:

@@ -6,7 +6,7 @@ import numpy as np
 
 
 def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of text (symbols below 512) in the order of at least their first depth symbols."""
+    """Places (32 bits) of text (symbols below 512) in the order of at least their first depth symbols."""
     n = len(text)
     width = 7
     padded = np.concatenate([text.astype(np.int64), np.zeros(width, np.int64)])
@@ -14,14 +14,15 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     for j in range(width):
         key = (key << 9) | padded[j : j + n]
     while True:
-        order = np.argsort(key)
-        held = key[order]
-        rank = np.empty(n, np.int64)
-        step = np.concatenate([[0], np.cumsum(held[1:] != held[:-1])])
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+        step = np.zeros(n, np.int32)
+        np.cumsum(key[1:] != key[:-1], out=step[1:])
         if width >= depth or step[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int32)
         rank[order] = step + 1
-        key = rank * (n + 2)
+        key = rank * np.int64(n + 2)
         if width < n:
             key[: n - width] += rank[width:]
         width *= 2
@@ -41,25 +42,27 @@ def repeated_places(text: np.ndarray, length: int) -> np.ndarray:
     if n == 0:
         return np.zeros(0, bool)
     # A last symbol below all others makes the transform one of suffixes.
-    symbols = np.concatenate([text.astype(np.int64) + 1, [0]])
+    symbols = np.zeros(n + 1, np.int16)  # 16 bits are sorted by radix
+    symbols[:-1] = text + 1
     order = sorted_suffixes(symbols, length + 1)
-    before = symbols[order - 1].astype(np.int16)  # 16 bits are sorted by radix
-    by_symbol = np.argsort(before, kind="stable")
-    forward = np.empty(n + 1, np.int64)  # the place of a suffix that begins one symbol earlier
-    forward[by_symbol] = np.arange(n + 1)
+    before = symbols[order - 1]
+    forward = np.empty(n + 1, np.int32)  # the place of a suffix that begins one symbol earlier
+    forward[np.argsort(before, kind="stable")] = np.arange(n + 1, dtype=np.int32)
     value = np.full(n + 2, -1, np.int16)
     value[0] = value[n + 1] = 0
-    begin, end = np.array([0]), np.array([n + 1])
+    begin, end = np.array([0], np.int32), np.array([n + 1], np.int32)
     for level in range(length):
         if not len(begin):
             break
         size = end - begin
-        to = np.cumsum(size)
-        owner = np.repeat(np.arange(len(begin)), size)
-        place = np.arange(to[-1]) + (begin - to + size)[owner]
-        moved = forward[place]
-        turn = np.argsort(moved)
-        moved, owner, symbol = moved[turn], owner[turn], before[place][turn]
+        to = np.cumsum(size, dtype=np.int32)
+        owner = np.repeat(np.arange(len(begin), dtype=np.int32), size)
+        place = np.arange(to[-1], dtype=np.int32) + (begin - to + size)[owner]
+        moved, symbol = forward[place], before[place]
+        del place
+        turn = np.argsort(moved).astype(np.int32)
+        moved, owner, symbol = moved[turn], owner[turn], symbol[turn]
+        del turn
         cut = np.flatnonzero((owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1]))
         begin = moved[np.concatenate([[0], cut + 1])]
         end = moved[np.concatenate([cut, [len(moved) - 1]])] + 1

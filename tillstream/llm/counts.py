@@ -21,17 +21,17 @@ CACHE = "digest binary, tokenizer string, n_tokens long"
 
 @lru_cache(maxsize=2)
 def _counter(file: str):
-    """A function from a block of texts to their numbers of tokens, one per worker."""
+    """A function from a block of texts to their numbers of tokens, and one to call at the end of a task."""
     if file.endswith(".model"):
         import sentencepiece
 
         tool = sentencepiece.SentencePieceProcessor(model_file=file)
         return lambda batch, texts: [
             len(ids) for ids in tool.encode(["" if t is None else t for t in batch["text"].to_pylist()], num_threads=1)
-        ]
+        ], lambda: None
     try:
         words = word_tokenizer(file)
-        return lambda batch, texts: np.diff(words.encode(texts)[1])
+        return lambda batch, texts: np.diff(words.encode(texts)[1]), words.forget
     except ValueError:
         from tokenizers import Tokenizer
 
@@ -41,7 +41,7 @@ def _counter(file: str):
         return lambda batch, texts: [
             len(x.ids)
             for x in tool.encode_batch(["" if t is None else t for t in batch["text"].to_pylist()], add_special_tokens=False)
-        ]
+        ], lambda: None
 
 
 def tokenizer_version(file: str) -> str:
@@ -85,10 +85,11 @@ def count_tokens(
     )
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(file)
+        count, finish = _counter(file)
         for batch, texts in blocks(batches, "text", 1_000_000):
             n = pa.array(np.asarray(count(batch, texts), np.int64))
             yield pa.record_batch({"digest": batch["digest"], "n_tokens": n})
+        finish()
 
     counted = first.select("text", "digest").mapInArrow(encode, "digest binary, n_tokens long")
     counted.dropDuplicates(["digest"]).select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode(

@@ -94,7 +94,7 @@ def pieces(
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = word_tokenizer(file)
         end = np.array([end_id], "<u4").tobytes()
-        for batch, texts in blocks(batches, "text", 2_000_000):
+        for batch, texts in blocks(batches, "text", 1_000_000):
             ids, begins = tool.encode(texts)
             raw, at = ids.astype("<u4").tobytes(), begins.tolist()
             out: dict = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
@@ -111,6 +111,7 @@ def pieces(
             types = {"doc_id": pa.int64(), "piece": pa.int32(), "ids": pa.binary()}
             names = list(out) if with_ids else list(out)[:-1]
             yield pa.record_batch({k: pa.array(out[k], types.get(k, pa.int64())) for k in names})
+        tool.forget()
 
     return docs.select("doc_id", "text").mapInArrow(cut, kind)
 

@@ -25,19 +25,19 @@ from pyspark.sql import types as T
 
 from tillstream.llm.bwt import repeated_places
 from tillstream.llm.store import ship_code, shuffle_parts, written
-from tillstream.llm.textblock import Texts, blocks, mix
+from tillstream.llm.textblock import Texts, blocks, give_back, mix
 
 LENGTH = 200
 K = 40
-PIECE = 4_000_000  # longer texts are cut into pieces of so many windows
+PIECE = 500_000  # longer texts are cut into pieces of so many windows; blocks of texts have about so many bytes
 LONGEST = 4096  # windows of a chunk
 FLUSH = 300_000  # chunks a task holds before it sends them
-TOGETHER = 2_000_000  # bytes of one transform
-CROWD = 4096  # different contents of one key that go into a transform; beyond, windows are counted
+TOGETHER = 500_000  # bytes of several keys that share a transform
+CROWD = 500_000  # bytes of one key that go into a transform; beyond, its windows are counted by digest
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 CHUNK = np.dtype(
-    [("key", "<u8"), ("c1", "<u8"), ("c2", "<u4"), ("row", "<i8"), ("start", "<i8"), ("n", "<u2"), ("state", "u1"), ("loops", "u1")]
+    [("key", "<u8"), ("c1", "<u8"), ("c2", "<u4"), ("row", "<i8"), ("check", "<u4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1"), ("loops", "u1")]
 )
 NEW, TWICE, DONE = 0, 1, 2  # state: seen once by its task, seen again there, only to be passed on
 
@@ -118,8 +118,10 @@ def chunks(texts: Texts, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
 
 def _pieces(batches) -> Iterator[tuple[np.ndarray, int, Texts]]:
     """Rows, place in the text, and texts; a very long text in pieces that overlap by a window."""
-    for batch, texts in blocks(batches, "text"):
-        rows = np.asarray(batch["row"])
+    for batch, texts in blocks(batches, "text", PIECE):
+        rows = np.zeros(batch.num_rows, [("row", "<i8"), ("check", "<u4")])
+        rows["row"] = batch["row"]
+        rows["check"] = np.asarray(batch["check"]).view(np.uint32)
         if len(rows) > 1 or len(texts.data) <= PIECE + LENGTH:
             yield rows, 0, texts
             continue
@@ -163,8 +165,9 @@ def _send(parts: int):
         held, n = [], 0
         for rows, place, texts in _pieces(batches):
             c = chunks(texts)
-            c["row"] = rows[c["row"]]
-            c["start"] += place
+            of = rows[c["row"]]
+            c["row"], c["check"] = of["row"], of["check"]
+            c["start"] += np.uint32(place)
             held.append(c)
             n += len(c)
             if n > FLUSH:
@@ -176,7 +179,7 @@ def _send(parts: int):
     return send
 
 
-_FOUND = "key long, row long, start long, n int, settled boolean, left boolean"
+_FOUND = "key long, row long, check int, start long, n int, settled boolean, left boolean"
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,8 +196,8 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = c[a : a + 100_000]
             yield pa.record_batch(
                 {
-                    "key": pa.array(part["key"].view(np.int64)), "row": pa.array(part["row"]), "start": pa.array(part["start"]),
-                    "n": pa.array(part["n"].astype(np.int32)), "settled": pa.array(settled[a : a + 100_000]),
+                    "key": pa.array(part["key"].view(np.int64)), "row": pa.array(part["row"]),
+                    "check": pa.array(part["check"].view(np.int32)), "start": pa.array(part["start"].astype(np.int64)), "n": pa.array(part["n"].astype(np.int32)), "settled": pa.array(settled[a : a + 100_000]),
                     "left": pa.array(left[a : a + 100_000]),
                 }
             )
@@ -217,7 +220,7 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows(np.ascontiguousarray(c[keep]), settled[keep], left[keep])
 
 
-_SPANS = "row long, `from` long, `to` long"
+_SPANS = "row long, check int, `from` long, `to` long"
 
 
 def _window_spans(flags: np.ndarray, start: int) -> list[tuple[int, int]]:
@@ -230,34 +233,44 @@ def _expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of repeated windows in the chunks of this partition, which come by key."""
 
     def solve(held: list) -> Iterator[pa.RecordBatch]:
-        text = np.full(sum(len(x[3]) + 1 for x in held), 0, np.int16)
+        text = np.full(sum(len(x["content"]) + 1 for x in held), 0, np.int16)
         places, at = [], 0
         for x in held:
-            text[at : at + len(x[3])] = np.frombuffer(x[3], np.uint8).astype(np.int16) + 1
+            size = len(x["content"])
+            text[at : at + size] = np.frombuffer(x["content"], np.uint8).astype(np.int16) + 1
             places.append(at)
-            at += len(x[3]) + 1
+            at += size + 1
         flags = repeated_places(text, LENGTH)
         spans = [
-            (x[0], a, b)
+            (x["row"], x["check"], a, b)
             for x, at in zip(held, places, strict=True)
-            if not x[2]
-            for a, b in _window_spans(flags[at : at + len(x[3]) - LENGTH + 1], x[1])
+            if not x["settled"]
+            for a, b in _window_spans(flags[at : at + len(x["content"]) - LENGTH + 1], x["start"])
         ]
-        columns = list(zip(*spans, strict=True)) or [[], [], []]
-        yield pa.record_batch({n: pa.array(v, pa.int64()) for n, v in zip(("row", "from", "to"), columns, strict=True)})
+        columns = list(zip(*spans, strict=True)) or [[], [], [], []]
+        yield _span_batch(*columns)
 
     held, size, last = [], 0, None
     for batch in batches:
-        names = ("row", "start", "settled", "content", "key")
-        for x in zip(*[batch[n].to_pylist() for n in names], strict=True):
-            if size > TOGETHER and x[4] != last:
+        for x in batch.to_pylist():
+            if size > TOGETHER and x["key"] != last:
                 yield from solve(held)
                 held, size = [], 0
             held.append(x)
-            size += len(x[3])
-            last = x[4]
+            size += len(x["content"])
+            last = x["key"]
     if held:
         yield from solve(held)
+    give_back()
+
+
+def _span_batch(row, check, begin, end) -> pa.RecordBatch:
+    return pa.record_batch(
+        {
+            "row": pa.array(row, pa.int64()), "check": pa.array(check, pa.int32()),
+            "from": pa.array(begin, pa.int64()), "to": pa.array(end, pa.int64()),
+        }
+    )
 
 
 def _crowded(chunks_: DataFrame) -> DataFrame:
@@ -265,76 +278,94 @@ def _crowded(chunks_: DataFrame) -> DataFrame:
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, start, content in zip(*[batch[n].to_pylist() for n in ("row", "start", "content")], strict=True):
+            for row, check, start, content in zip(*[batch[n].to_pylist() for n in ("row", "check", "start", "content")], strict=True):
                 digests = [hashlib.blake2b(content[i : i + LENGTH], digest_size=16).digest() for i in range(len(content) - LENGTH + 1)]
                 yield pa.record_batch(
                     {
                         "digest": pa.array(digests, pa.binary()),
                         "row": pa.array([row] * len(digests), pa.int64()),
+                        "check": pa.array([check] * len(digests), pa.int32()),
                         "from": pa.array(range(start, start + len(digests)), pa.int64()),
                     }
                 )
 
-    each = chunks_.mapInArrow(windows, "digest binary, row long, `from` long")
+    each = chunks_.mapInArrow(windows, "digest binary, row long, check int, `from` long")
     again = each.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    return each.join(again, "digest").select("row", "from", (F.col("from") + LENGTH).alias("to"))
+    return each.join(again, "digest").select("row", "check", "from", (F.col("from") + LENGTH).alias("to"))
 
 
 def repeat_spans(rows: DataFrame) -> DataFrame:
-    """(row, from, to): byte spans to remove in rows (row, text); row names a text."""
+    """(row, check, from, to): byte spans to remove in rows (row, check, text); row and check name a text."""
     spark = rows.sparkSession
     parts = shuffle_parts(spark)
     sent = rows.mapInArrow(_send(parts), "bucket int, chunks binary").repartitionById(parts, F.col("bucket"))
     found = written(sent.mapInArrow(_meet, _FOUND), "chunks")
     settled = found.where("settled").select(
-        "row", F.col("start").alias("from"), (F.col("start") + F.col("n") - 1 + LENGTH).alias("to")
+        "row", "check", F.col("start").alias("from"), (F.col("start") + F.col("n") - 1 + LENGTH).alias("to")
     )
-    per_key = found.where("left").groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
-    left = found.where("left").join(per_key, "key").groupBy("row").agg(
-        F.collect_list(F.struct("start", "n", "key", "settled", "contents")).alias("wanted")
+    per_key = found.where("left").groupBy("key").agg(F.sum(F.col("n") + LENGTH).alias("bytes"))
+    left = found.where("left").join(per_key, "key").groupBy("row", "check").agg(
+        F.collect_list(F.struct("start", "n", "key", "settled", "bytes")).alias("wanted")
     )
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "text"):
             data = texts.data
-            out: dict = {n: [] for n in ("key", "row", "start", "settled", "contents", "content")}
-            for i, (row, wanted) in enumerate(zip(batch["row"].to_pylist(), batch["wanted"].to_pylist(), strict=True)):
+            out: dict = {n: [] for n in ("key", "row", "check", "start", "settled", "bytes", "content")}
+            named = zip(*[batch[n].to_pylist() for n in ("row", "check", "wanted")], strict=True)
+            for i, (row, check, wanted) in enumerate(named):
                 base = int(texts.begins[i])
                 for w in wanted:
                     out["row"].append(row)
-                    for n in ("key", "start", "settled", "contents"):
+                    out["check"].append(check)
+                    for n in ("key", "start", "settled", "bytes"):
                         out[n].append(w[n])
                     a = base + w["start"]
                     out["content"].append(data[a : a + w["n"] - 1 + LENGTH].tobytes())
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
             yield pa.record_batch({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds, strict=True)})
 
-    kind = "key long, row long, start long, settled boolean, contents long, content binary"
-    one_each = rows.join(left, "row").dropDuplicates(["row"])
+    kind = "key long, row long, check int, start long, settled boolean, bytes long, content binary"
+    one_each = rows.join(left, ["row", "check"]).dropDuplicates(["row", "check"])
     contents = written(one_each.mapInArrow(fetch, kind), "contents")
-    small = contents.where(f"contents <= {CROWD}").repartition(parts, "key").sortWithinPartitions("key")
+    small = contents.where(f"bytes <= {CROWD}").repartition(parts, "key").sortWithinPartitions("key")
     expanded = small.mapInArrow(_expand, _SPANS)
-    return settled.unionByName(expanded).unionByName(_crowded(contents.where(f"contents > {CROWD}")))
+    return settled.unionByName(expanded).unionByName(_crowded(contents.where(f"bytes > {CROWD}")))
+
 
+def _free(name: str, taken: list[str]) -> str:
+    """A column name like name that no column has."""
+    taken = [t.lower() for t in taken]
+    while name in taken:
+        name = f"_{name}"
+    return name
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
+
+def cut_repeats(docs: DataFrame, *, whole_characters: bool = False) -> DataFrame:
     """docs and columns cut_bytes, cut_removed, cut_spans, cut_text (binary), whose names must be free.
 
+    With whole_characters, a character of which a byte goes is removed as a whole, so that
+    what is left is UTF-8 and holds no character that the text did not have.
+
     Strings are judged on the input.  A null text is empty; a text shorter than LENGTH
     keeps all; repeated rows are copies of each other and lose all.  Other columns, null
     ids too, are kept as they are.  An empty table gives an empty one.
     """
     spark = docs.sparkSession
     ship_code(spark)
-    key = F.xxhash64("doc_id", "text").alias("row") if "doc_id" in docs.columns else F.xxhash64("text").alias("row")
+    named = ["doc_id", "text"] if "doc_id" in docs.columns else ["text"]
+    row = F.xxhash64(*named)
+    check = F.hash(*[F.reverse(F.col(n).cast("string")) for n in reversed(named)])
     text = F.coalesce("text", F.lit(""))
-    spans = repeat_spans(docs.select(key, text.alias("text")))
-    listed = spans.groupBy("row").agg(F.collect_list(F.struct("from", "to")).alias("_spans"))
-    joined = docs.select("*", key.alias("_row")).join(listed.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
+    spans = repeat_spans(docs.select(row.alias("row"), check.alias("check"), text.alias("text")))
+    # Names that docs does not have.
+    at, of, by = (_free(n, docs.columns) for n in ("spans", "row", "check"))
+    listed = spans.groupBy(F.col("row").alias(of), F.col("check").alias(by)).agg(F.collect_list(F.struct("from", "to")).alias(at))
+    joined = docs.select("*", row.alias(of), check.alias(by)).join(listed, [of, by], "left").select(*[F.col(f"`{c}`") for c in docs.columns], at)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "text"):
-            spans = batch["_spans"].to_pylist()
+            spans = batch[at].to_pylist()
             size, removed, runs, kept = [], [], [], []
             for i, found in enumerate(spans):
                 data = texts.data[texts.begins[i] : texts.begins[i + 1]]
@@ -343,11 +374,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
                     gone[s["from"]] += 1
                     gone[s["to"]] -= 1
                 gone = np.cumsum(gone[:-1]) > 0
+                if whole_characters and gone.any():
+                    first = np.flatnonzero((data & 0xC0) != 0x80)
+                    gone = np.repeat(np.logical_or.reduceat(gone, first), np.diff(np.append(first, len(data))))
                 size.append(len(data))
                 removed.append(int(gone.sum()))
                 runs.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
                 kept.append(data[~gone].tobytes())
-            out = batch.drop_columns("_spans")
+            out = batch.drop_columns(at)
             for name, values in (("cut_bytes", size), ("cut_removed", removed), ("cut_spans", runs)):
                 out = out.append_column(name, pa.array(values, pa.int64()))
             yield out.append_column("cut_text", pa.array(kept, pa.binary()))

@@ -149,9 +149,11 @@ def blocks(batches, column: str, most_bytes: int = 1_000_000) -> Iterator[tuple[
                 Texts(texts.data[begins[i] : begins[j]], begins[i : j + 1] - begins[i]),
             )
             i = j
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
+    """Free memory goes back to the system at the end of a task."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)

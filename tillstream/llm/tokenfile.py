@@ -158,7 +158,7 @@ def write_tokens(
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = word_tokenizer(file)
-        for batch, texts in blocks(batches, "text", 2_000_000):
+        for batch, texts in blocks(batches, "text", 1_000_000):
             ids, begins = tool.encode(texts)
             raw, at = ids.astype(f"<u{width}").tobytes(), (begins * width).tolist()
             key = batch.column("doc_id").cast(pa.int64())
@@ -170,6 +170,7 @@ def write_tokens(
                     "ids": pa.array([raw[a:b] + end for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
                 }
             )
+        tool.forget()
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: dict = {}
