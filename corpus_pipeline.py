@@ -43,7 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated byte strings are cut out; documents with nothing left go.
 
-    A character of which a byte was cut goes as a whole; n_chars counts anew.  A null text
+    A character of which a byte repeats goes as a whole; n_chars counts anew.  A null text
     stays null.
     """
     narrow = _narrow(docs)
@@ -51,10 +51,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known, kept = batch["text"].is_valid().to_pylist(), batch["cut_text"].to_pylist()
-            whole = [x.decode("utf-8", errors="ignore") if k else None for x, k in zip(kept, known, strict=True)]
+            whole = [x.decode() if k else None for x, k in zip(kept, known, strict=True)]
             yield pa.record_batch({"doc_id": batch["doc_id"], "text": pa.array(whole, pa.string()), "rest": batch["rest"]})
 
-    done = repeats.cut_repeats(narrow)
+    done = repeats.cut_repeats(narrow, whole_characters=True)
     left = done.where((F.length("cut_text") > 0) | (F.col("cut_bytes") == 0))
     out = _wide(left.mapInArrow(text, narrow.schema), docs)
     if "n_chars" in docs.columns:
