@@ -32,7 +32,7 @@ from tillstream.sources.shaped import (  # noqa: E402
 from tillstream.sources.tables import Lake  # noqa: E402
 from tillstream.streaming import enrich as stream_enrich  # noqa: E402
 from tillstream.streaming import hourly, ingest as stream_ingest  # noqa: E402
-from tillstream.streaming.jobs import run_to_end  # noqa: E402
+from tillstream.streaming.jobs import EachBatch, run_to_end  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out
     import corpus_pipeline  # noqa: E402
@@ -253,9 +253,10 @@ def _lake(spark: SparkSession, name: str) -> tuple[Lake, str]:
     return Lake(spark, f"{area}/tables"), f"{area}/checkpoint"
 
 
-def _in_files(shop: Shop) -> DataFrame:
+def _in_parts(shop: Shop, each_batch: EachBatch, checkpoint: str, shape: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """The messages as four micro-batches; an event that is sent twice comes in two of them."""
-    return shop.deliver_messages(work_area(shop.spark, "topic"))
+    for stream in shop.deliver_messages(work_area(shop.spark, "topic")):
+        run_to_end(shape(stream) if shape else stream, each_batch, checkpoint)
 
 
 def _stream_ingest(shop: Shop) -> DataFrame:
@@ -272,7 +273,7 @@ def _stream_ingest(shop: Shop) -> DataFrame:
 
 def _stream_enriched(shop: Shop) -> DataFrame:
     lake, checkpoint = _lake(shop.spark, "enriched")
-    run_to_end(_in_files(shop), stream_ingest.ingest_messages(lake), checkpoint)
+    _in_parts(shop, stream_ingest.ingest_messages(lake), checkpoint)
     orders = lake.read("orders").select(
         "order_id", "customer_id", "order_status", "order_purchase_ts", "weather_condition", "temperature_c"
     )
@@ -284,7 +285,7 @@ def _stream_enriched(shop: Shop) -> DataFrame:
 
 def _stream_dedup(shop: Shop) -> DataFrame:
     lake, checkpoint = _lake(shop.spark, "dedup")
-    run_to_end(_in_files(shop), stream_ingest.append_new_orders(lake), checkpoint)
+    _in_parts(shop, stream_ingest.append_new_orders(lake), checkpoint, stream_ingest.orders_once)
     return lake.read("orders").select(
         "order_id", "customer_id", "order_status", "order_purchase_ts", "weather_condition",
         "weather_desc", "temperature_c", "humidity", "wind_speed",
@@ -293,7 +294,7 @@ def _stream_dedup(shop: Shop) -> DataFrame:
 
 def _stream_hourly(shop: Shop) -> DataFrame:
     lake, checkpoint = _lake(shop.spark, "hourly")
-    run_to_end(_in_files(shop), hourly.count_hours(lake), checkpoint)
+    _in_parts(shop, hourly.count_hours(lake), checkpoint, hourly.orders_by_hour)
     return hourly.hourly_counts(lake)
 
 

@@ -12,9 +12,9 @@ from tillstream.plans.reports import hourly_order_metrics
 from tillstream.sources.order_topic import MESSAGE, accepted, decode, encode, folder_stream, rejected
 from tillstream.schemas import INT, LONG, STRING, TIME, columns
 from tillstream.streaming.enrich import TABLE, enrich_orders
-from tillstream.streaming.hourly import count_hours, hourly_counts, hourly_windows
-from tillstream.streaming.ingest import append_new_orders, ingest_messages
-from tillstream.streaming.jobs import run_to_end
+from tillstream.streaming.hourly import count_hours, hourly_counts, hourly_windows, orders_by_hour
+from tillstream.streaming.ingest import append_new_orders, ingest_messages, orders_once
+from tillstream.streaming.jobs import run_to_end, start
 
 START = datetime(2024, 1, 1)
 
@@ -165,7 +165,7 @@ def test_enrichment_sees_readings_that_arrive_later(spark, lake, tmp_path):
 
 def test_dedup_keeps_the_first_status(spark, lake, delivered, tmp_path):
     stream = messages_of(spark, delivered, max_files_per_trigger=1)
-    run_to_end(stream, append_new_orders(lake), str(tmp_path / "checkpoint"))
+    run_to_end(orders_once(stream), append_new_orders(lake), str(tmp_path / "checkpoint"))
     assert [r[0] for r in table(lake, "orders", "order_id")] == ["o0", "o1", "o2", "o3", "o4"]
     assert dict(table(lake, "orders", "order_id", "customer_id"))["o2"] == "c2"
 
@@ -178,7 +178,7 @@ def test_hourly_counts_equal_the_batch_report(spark, lake, topic, tmp_path, rows
     deliver(spark, topic, "2", first)
     stream = messages_of(spark, topic, max_files_per_trigger=files_at_once)
     run_to_end(stream, ingest_messages(lake), str(tmp_path / "c1"))
-    run_to_end(stream, count_hours(lake), str(tmp_path / "c2"))
+    run_to_end(orders_by_hour(stream), count_hours(lake), str(tmp_path / "c2"))
     batch = hourly_order_metrics(lake.read("orders"), lake.read("order_items"), lookback=None)
     assert rows(hourly_counts(lake)) == rows(batch)
 
@@ -264,3 +264,30 @@ def test_stream_enrichment_equals_batch_enrichment(spark, lake, tmp_path, rows,
     facts = {r.order_id: (r.country_name, r.currency, r.population) for r in batch.collect()}
     assert facts["a"] == ("Norway", "NOK", 5)
     assert facts["b"] == ("IT", "USD", 0)
+
+
+def test_what_a_micro_batch_reads_does_not_grow(spark, lake, topic, tmp_path, monkeypatch):
+    """The state knows the keys: no micro-batch opens a file of an earlier one."""
+    opened = []
+    monkeypatch.setattr(type(lake), "batches", lambda self, name, *a: opened.append(name))
+    checkpoint = str(tmp_path / "checkpoint")
+    inputs, states = [], []
+    for n in range(4):
+        deliver(spark, topic, str(n), [event(20 * n + k, buyer=f"c{n}") for k in range(20)] + [event(0, buyer="again", ts="2024-02-01T00:00:00")])
+        query = start(orders_once(messages_of(spark, topic)), append_new_orders(lake), checkpoint)
+        query.awaitTermination()
+        progress = [p for p in query.recentProgress if p["numInputRows"]]
+        inputs.append(sum(p["numInputRows"] for p in progress))
+        states.append(progress[-1]["stateOperators"][0]["numRowsTotal"])
+    monkeypatch.undo()
+    assert not opened
+    assert len(set(inputs)) == 1  # the stream's own new files, the same number each time
+    assert states == [20, 40, 60, 80]
+    assert lake.read("orders").count() == 80
+    assert not lake.read("orders").where("customer_id = 'again'").count()
+
+
+def test_of_copies_in_one_micro_batch_the_first_sent_is_new(spark, lake, topic, tmp_path):
+    deliver(spark, topic, "1", [event(1, buyer="late", ts="2024-01-03T00:00:00"), event(1, buyer="first"), event(2, ts="soon")])
+    run_to_end(orders_once(messages_of(spark, topic)), append_new_orders(lake), str(tmp_path / "checkpoint"))
+    assert table(lake, "orders", "order_id", "customer_id") == [("o1", "first"), ("o2", "c1")]

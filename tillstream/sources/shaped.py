@@ -6,6 +6,7 @@ purpose, so that quality rules have something to find.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -299,19 +300,20 @@ class Shop:
         events = order_events_from(self.event_stream())
         return wire_messages_from(wire_events_from(events, self.cities(), self.countries()))
 
-    def deliver_messages(self, area: str, files: int = 4) -> DataFrame:
-        """The messages as a stream of `files` files, one per trigger, in the order sent.
+    def deliver_messages(self, area: str, parts: int = 4) -> Iterator[DataFrame]:
+        """The messages in `parts` folders in the order sent, and for each a stream over the
+        folders up to it, to be run on one checkpoint: so each adds a part.
 
-        An event that is sent twice comes again in the file after its own.
+        An event that is sent twice comes again in the part after its own.  All parts are
+        written by one job, each by as many tasks as have rows of it.
         """
         numbered = numbered_messages_from(self.wire_events())
         day = F.dayofmonth(F.col("sent").cast("timestamp_ntz"))
-        part = F.least(F.floor((day - 1) * files / 31), F.lit(files - 1)) + F.col("copy") - 1
-        held = numbered.withColumn("part", F.least(part, F.lit(files - 1)).cast("int"))
-        for k in range(files):
-            rows = held.where(F.col("part") == k).select("key", "value")
-            rows.coalesce(1).write.parquet(f"{area}/{k}")
-        return folder_stream(self.spark, f"{area}/*", max_files_per_trigger=1)
+        part = F.least(F.floor((day - 1) * parts / 31), F.lit(parts - 1)) + F.col("copy") - 1
+        held = numbered.withColumn("part", F.least(part, F.lit(parts - 1)).cast("int"))
+        held.select("part", "key", "value").write.partitionBy("part").parquet(area)
+        for k in range(parts):
+            yield folder_stream(self.spark, f"{area}/part={{{','.join(map(str, range(k + 1)))}}}")
 
     def dirty_orders(self) -> DataFrame:
         n = F.col("order_id").cast("bigint")

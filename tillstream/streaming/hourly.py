@@ -9,15 +9,14 @@ from pyspark.sql import types as T
 
 from tillstream.functions.clock import hour_start
 from tillstream.functions.money import line_revenue
-from tillstream.operators.keyed import insert_if_absent
 from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake, side_by_side
+from tillstream.streaming.fresh import new_rows, with_new_keys
 from tillstream.streaming.jobs import EachBatch
 
-SEEN = columns(order_id=STRING)
 TOTALS = columns(hour=TIME, total_orders=LONG, gross_revenue=T.DecimalType(38, 2))
-VISITS = columns(visit=STRING, hour=TIME)
+VISITS = columns(hour=TIME, customer_id=STRING)
 
 
 def hourly_windows(events: DataFrame, delay: str | None = None) -> DataFrame:
@@ -52,41 +51,41 @@ def keep_latest_result(lake: Lake, name: str) -> EachBatch:
     return each_batch
 
 
+def orders_by_hour(messages: DataFrame) -> DataFrame:
+    """A stream of messages as orders with their hour, and markers of the order_ids that it
+    has not carried before."""
+    orders = accepted(decode(messages)).select(
+        "order_id",
+        "customer_id",
+        hour_start(F.col("purchased_at")).alias("hour"),
+        line_revenue(F.col("product.price"), F.col("quantity")).alias("revenue"),
+        F.col("ts").alias("sent"),
+    )
+    return with_new_keys(orders, {"order": F.col("order_id")})
+
+
 def count_hours(lake: Lake) -> EachBatch:
-    """Exact hourly metrics for any lateness and redelivery, without stream state.
+    """Exact hourly metrics of orders_by_hour for any lateness and redelivery.
 
-    Each micro-batch adds its new orders' totals per hour, which sum up, and the
-    (hour, customer) pairs not yet known, which count up.
+    Which orders are new the stream's state says, so no earlier micro-batch is read.  Each
+    micro-batch writes its new orders' totals per hour, which sum up, and their distinct
+    customers per hour, which hourly_counts merges.
     """
 
-    def each_batch(messages: DataFrame, batch: str) -> None:
-        orders = accepted(decode(messages)).select(
-            "order_id",
-            "customer_id",
-            hour_start(F.col("purchased_at")).alias("hour"),
-            line_revenue(F.col("product.price"), F.col("quantity")).alias("revenue"),
-            F.col("ts").alias("_sent"),
-        )
+    def each_batch(orders: DataFrame, batch: str) -> None:
         orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = orders.count()
-        seen = lake.other_batches("hourly_seen", batch, SEEN, "staging")
-        fresh = insert_if_absent(seen, orders, "order_id", ["_sent"], rows)
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = new_rows(orders, "order", "order_id", ["sent"]).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             totals = fresh.groupBy("hour").agg(
                 F.count("order_id").alias("total_orders"),
                 F.sum("revenue").cast("decimal(38,2)").alias("gross_revenue"),
             )
-            visit = F.concat_ws("|", F.col("hour").cast("string"), "customer_id")
-            visits = fresh.select(visit.alias("visit"), "hour").distinct()
-            known = lake.other_batches("hourly_visits", batch, VISITS, "staging")
-            new_visits = insert_if_absent(known, visits, "visit", incoming_rows=rows)
+            visits = fresh.select("hour", "customer_id").distinct()
             side_by_side(
                 lake.spark,
                 [
                     lambda: lake.write_batch(totals, "hourly_totals", batch, TOTALS, "staging"),
-                    lambda: lake.write_batch(new_visits, "hourly_visits", batch, VISITS, "staging"),
-                    lambda: lake.write_batch(fresh, "hourly_seen", batch, SEEN, "staging"),
+                    lambda: lake.write_batch(visits, "hourly_visits", batch, VISITS, "staging"),
                 ],
             )
         finally:
@@ -106,8 +105,6 @@ def hourly_counts(lake: Lake) -> DataFrame:
     customers = (
         lake.read("hourly_visits", VISITS, "staging")
         .groupBy("hour")
-        .agg(F.count(F.lit(1)).alias("unique_customers"))
-    )
-    return totals.join(customers, "hour").select(
-        "hour", "total_orders", "gross_revenue", "unique_customers"
+        .agg(F.countDistinct("customer_id").alias("unique_customers"))
     )
+    return totals.join(customers, "hour").select("hour", "total_orders", "gross_revenue", "unique_customers")

@@ -17,6 +17,7 @@ from tillstream.plans.ingest import (
 )
 from tillstream.sources.order_topic import accepted, decode, rejected
 from tillstream.sources.tables import Lake, side_by_side
+from tillstream.streaming.fresh import new_rows, with_new_keys
 from tillstream.streaming.jobs import EachBatch
 
 
@@ -60,19 +61,26 @@ def ingest_messages(lake: Lake, enriched: bool = True) -> EachBatch:
     return each_batch
 
 
-def append_new_orders(lake: Lake, enriched: bool = True) -> EachBatch:
-    """Store the orders of messages alone, each order_id once."""
+def orders_once(messages: DataFrame, enriched: bool = True) -> DataFrame:
+    """A stream of messages as orders, and markers of the order_ids it has not carried before."""
+    events = accepted(decode(messages, enriched))
+    orders = events.select(*order_columns(enriched), F.col("ts").alias("sent"))
+    return with_new_keys(orders, {"order": F.col("order_id")})
 
-    def each_batch(messages: DataFrame, batch: str) -> None:
-        events = accepted(decode(messages, enriched))
-        incoming = events.select(*order_columns(enriched), F.col("ts").alias("_sent"))
-        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+
+def append_new_orders(lake: Lake) -> EachBatch:
+    """Store the orders of orders_once alone, each order_id once.
+
+    The stream's state says which are new, so the table is not read, whatever its size.
+    For a table that this stream alone writes; ingest_messages shares tables.
+    """
+
+    def each_batch(orders: DataFrame, batch: str) -> None:
+        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            held = lake.other_batches("orders", batch)
-            fresh = insert_if_absent(held, incoming, "order_id", ["_sent"], incoming.count())
-            lake.write_batch(fresh.drop("_sent"), "orders", batch)
+            lake.write_batch(new_rows(orders, "order", "order_id", ["sent"]).drop("sent"), "orders", batch)
         finally:
-            incoming.unpersist()
+            orders.unpersist()
 
     return each_batch
 
