@@ -15,13 +15,15 @@ import oracles  # noqa: E402
 from tillstream.functions.clock import as_of_column  # noqa: E402
 from tillstream.functions.money import freight, line_revenue  # noqa: E402
 from tillstream.operators.evolve import ensure_columns  # noqa: E402
+from tillstream.operators.key_index import KeyIndex  # noqa: E402
 from tillstream.operators.keyed import insert_if_absent, missing_parent  # noqa: E402
 from tillstream.operators.revenue import order_item_totals  # noqa: E402
 from tillstream.operators.sampling import sample_ids  # noqa: E402
-from tillstream.plans import enrich, ingest, marts, pipeline, quality, reports  # noqa: E402
+from tillstream.plans import checked, enrich, incremental, ingest, marts, pipeline, quality, reports  # noqa: E402
 from tillstream.plans.staging import stg_orders  # noqa: E402
 from tillstream.schemas import CUSTOMER_COUNTRY_COLUMNS, ORDER_WEATHER_COLUMNS  # noqa: E402
 from tillstream.session import work_area  # noqa: E402
+from tillstream.sources.commits import CommittedLake  # noqa: E402
 from tillstream.sources.order_topic import accepted, decode, encode, rejected  # noqa: E402
 from tillstream.sources.shaped import (  # noqa: E402
     EVENTS_NOW,
@@ -31,7 +33,7 @@ from tillstream.sources.shaped import (  # noqa: E402
 )
 from tillstream.sources.tables import Lake  # noqa: E402
 from tillstream.streaming import enrich as stream_enrich  # noqa: E402
-from tillstream.streaming import hourly, ingest as stream_ingest  # noqa: E402
+from tillstream.streaming import feed, hourly, ingest as stream_ingest  # noqa: E402
 from tillstream.streaming.jobs import EachBatch, run_to_end  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out
@@ -262,6 +264,10 @@ def _in_parts(shop: Shop, each_batch: EachBatch, checkpoint: str, shape: Callabl
 def _stream_ingest(shop: Shop) -> DataFrame:
     lake, checkpoint = _lake(shop.spark, "ingest")
     run_to_end(shop.message_stream(), stream_ingest.ingest_messages(lake, enriched=False), checkpoint)
+    return _four_tables(lake)
+
+
+def _four_tables(lake: Lake) -> DataFrame:
     orders = lake.read("orders").select("order_id", "customer_id", "order_status", "order_purchase_ts")
     items = lake.read("order_items").drop("created_at")
     customers = lake.read("customers").select("customer_id", "customer_city", "customer_zip")
@@ -346,6 +352,69 @@ def _pipeline(shop: Shop) -> DataFrame:
     return pipeline.run_pipeline(lake, incoming, "daily", EVENTS_NOW, require_tests=False)
 
 
+def _atomic(shop: Shop) -> DataFrame:
+    """As _stream_ingest over four micro-batches that become visible as a whole; one that
+    was cut off between its tables leaves rows that no reader sees."""
+    area = work_area(shop.spark, "atomic")
+    lake = CommittedLake(shop.spark, f"{area}/tables")
+    indexes = {n: KeyIndex(shop.spark, f"{area}/keys/{n}", buckets=8) for n in pipeline.RAW}
+    cut_off = accepted(decode(shop.wire_messages())).select(*ingest.customer_columns(False))
+    lake.write_batch(cut_off.withColumn("customer_city", F.lit("nowhere")), "customers", "cut-off")
+    _in_parts(shop, stream_ingest.ingest_atomically(lake, indexes, enriched=False), f"{area}/checkpoint")
+    return _four_tables(lake)
+
+
+def _by_index(shop: Shop) -> DataFrame:
+    """Orders that are new to a table whose keys an index holds."""
+    columns = ["order_id", "customer_id", "order_status", "order_purchase_ts"]
+    index = KeyIndex(shop.spark, f"{work_area(shop.spark, 'index')}/orders", buckets=16)
+    index.add(shop.dirty_orders(), "order_id", "history")
+    new = ingest.flatten_orders(_events(shop)).select(*columns)
+    incoming = shop.orders().select(*columns).unionByName(new)
+    return index.new_rows(incoming, "order_id", rows=incoming.count()).select(*columns)
+
+
+def _mart_incremental(shop: Shop) -> DataFrame:
+    """The mart of the shop's history, refreshed after a batch of events, after items that
+    came late for old orders, and after a batch that was written again."""
+    lake = Lake(shop.spark, f"{work_area(shop.spark, 'incremental')}/tables", order_period="month")
+    raw = shop.raw()
+    late = F.xxhash64("order_id") % 97 == 0
+    pipeline.ingest_batch(lake, {"orders": raw["orders"], "order_items": raw["order_items"].where(~late)}, "history")
+    incremental.refresh_mart(lake)
+    events = shop.wire_events().withColumn("purchased_at", F.col("purchased_at").cast("timestamp_ntz"))
+    orders, items = ingest.flatten_orders(events), ingest.flatten_order_items(events)
+    pipeline.ingest_batch(lake, {"orders": orders, "order_items": items.where("quantity > 3")}, "events")
+    incremental.refresh_mart(lake, ["events"])
+    pipeline.ingest_batch(lake, {"order_items": raw["order_items"].where(late)}, "late")
+    pipeline.ingest_batch(lake, {"orders": orders, "order_items": items}, "events")
+    incremental.refresh_mart(lake, ["late", "events"])
+    return incremental.mart_by_period(lake)
+
+
+def _customers_bitmap(shop: Shop) -> DataFrame:
+    """Customers per hour and per day, merged from the bitmaps of four micro-batches."""
+    lake, checkpoint = _lake(shop.spark, "bitmaps")
+    _in_parts(shop, hourly.count_customers(lake), checkpoint, hourly.orders_by_hour)
+    return hourly.customers_by_hour(lake).unionByName(hourly.customers_by_day(lake))
+
+
+def _stream_feed(shop: Shop) -> DataFrame:
+    lake, checkpoint = _lake(shop.spark, "feed")
+    _in_parts(shop, feed.keep_feed(lake), checkpoint, feed.feed_events)
+    return feed.live_feed(lake, EVENTS_NOW, "1 day")
+
+
+def _dq_on_write(shop: Shop) -> DataFrame:
+    """The dirty tables in three batches each, checked as they are written."""
+    lake = Lake(shop.spark, f"{work_area(shop.spark, 'checked')}/tables", order_period="month")
+    for name, df in shop.dirty().items():
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(3))
+        for k in range(3):
+            checked.write_checked(lake, df.where(part == k), name, f"part-{k}", RETAIL_NOW)
+    return checked.counted_checks(lake)
+
+
 def _spark_metrics(shop: Shop) -> DataFrame:
     """The second mart as its job writes it."""
     lake = Lake(shop.spark, f"{work_area(shop.spark, 'metrics')}/tables", order_period="month")
@@ -418,6 +487,12 @@ def queries() -> dict[str, Query]:
         "stream_enrich_orders": _stream_enrich,
         "reject_malformed_events": _stream_reject,
         "reject_batch_rows": _reject_rows,
+        "stream_ingest_atomic": _atomic,
+        "insert_orders_by_index": _by_index,
+        "mart_incremental": _mart_incremental,
+        "hourly_customers_bitmap": _customers_bitmap,
+        "stream_live_feed": _stream_feed,
+        "dq_on_write": _dq_on_write,
         "write_spark_metrics": _spark_metrics,
         "pipeline_daily": _pipeline,
     }

@@ -523,6 +523,23 @@ def with_views(sql: str) -> str:
     return f"with {ctes} select * from ({sql})"
 
 
+ORACLES["hourly_customers_bitmap"] = """
+    select 'hour' as period, date_trunc('hour', purchased_at)::timestamp as start, count(distinct customer_id) as unique_customers
+    from wire_events where not cut group by 2
+    union all select 'day', date_trunc('day', purchased_at)::timestamp, count(distinct customer_id) from wire_events where not cut group by 2"""
+ORACLES["stream_live_feed"] = """
+    with first_customer as (select * from messages qualify row_number() over (partition by customer_id order by ts) = 1)
+    select e.order_id, case when c.bare then '' else c.city end as city, case when c.bare then '' else c.country_code end as country_code,
+      e.order_status, case when e.bare then '' else e.weather_condition end as weather_condition,
+      cast(case when e.bare then 0 else e.temperature_c end as double) as temperature_c, cast(e.price as double) as price, e.purchased_at
+    from (select distinct * from messages) e join first_customer c on c.customer_id = e.customer_id
+    where e.purchased_at >= timestamp '2024-01-31 00:00:00' - interval 1 day
+    order by e.purchased_at desc, e.order_id limit 20"""
+# Other ways to the same result.
+ORACLES["stream_ingest_atomic"] = ORACLES["stream_ingest_orders"]
+ORACLES["insert_orders_by_index"] = ORACLES["insert_new_orders"]
+ORACLES["mart_incremental"] = ORACLES["pipeline_daily"]
+ORACLES["dq_on_write"] = ORACLES["dq_results"]
 # The job that writes the second mart returns what the plan states.
 ORACLES["write_spark_metrics"] = ORACLES["spark_order_metrics"]
 

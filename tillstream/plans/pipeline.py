@@ -29,6 +29,7 @@ log = logging.getLogger(__name__)
 TEST_RESULTS = columns(dataset=STRING, column_name=STRING, test=STRING, failures=LONG)
 
 
+RAW = ("orders", "customers", "products", "order_items")
 KEYS = {"customers": "customer_id", "products": "product_id", "orders": "order_id"}
 
 
@@ -96,7 +97,7 @@ def run_pipeline(
     """
     ingest_batch(lake, incoming, batch_id, arrival)
 
-    raw = {name: lake.read(name) for name in ("orders", "customers", "products", "order_items")}
+    raw = {name: lake.read(name) for name in RAW}
     # One clock for the whole run; a Spark literal, so the log and the gate agree.
     now = as_of if as_of is not None else _now(lake)
     results = logged(run_checks(raw, now), now, batch_id)

@@ -145,16 +145,16 @@ class Lake:
         a line of the table's version list says that it is.  A run that dies while it
         writes leaves the table as it was.
         """
-        version = self._version(layer, name) + 1
+        version = self.version(layer, name) + 1
         df.write.mode("overwrite").parquet(f"{self.path(layer, name)}/slot{version % 2}")
         line = self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
         line.write.mode("append").parquet(f"{self.path(layer, name)}/versions")
 
     def rebuilt(self, layer: str, name: str) -> DataFrame:
         """The table as last rebuilt."""
-        return self.spark.read.parquet(f"{self.path(layer, name)}/slot{self._version(layer, name) % 2}")
+        return self.spark.read.parquet(f"{self.path(layer, name)}/slot{self.version(layer, name) % 2}")
 
-    def _version(self, layer: str, name: str) -> int:
+    def version(self, layer: str, name: str) -> int:
         try:
             found = self.spark.read.schema("version long").parquet(f"{self.path(layer, name)}/versions")
         except AnalysisException as error:

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.functions.clock import hour_start
+from tillstream.functions.clock import day_start, hour_start
 from tillstream.functions.money import line_revenue
+from tillstream.operators.distinct import NumberedKeys, bitmaps, distinct_counts
 from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake, side_by_side
@@ -108,3 +109,38 @@ def hourly_counts(lake: Lake) -> DataFrame:
         .agg(F.countDistinct("customer_id").alias("unique_customers"))
     )
     return totals.join(customers, "hour").select("hour", "total_orders", "gross_revenue", "unique_customers")
+
+
+BITMAPS = columns(hour=TIME, bucket=LONG, bitmap=T.BinaryType())
+
+
+def count_customers(lake: Lake) -> EachBatch:
+    """Customers per hour of orders_by_hour as bitmaps, which merge over micro-batches and
+    over hours.  Customers are numbered as they come, so that bitmaps are dense."""
+
+    def each_batch(orders: DataFrame, batch: str) -> None:
+        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = new_rows(orders, "order", "order_id", ["sent"]).select("hour", "customer_id").distinct()
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            numbers = NumberedKeys(lake, "customer_numbers").take_in(fresh, "customer_id", batch)
+            seen = fresh.join(numbers, F.col("customer_id") == F.col("key"))
+            lake.write_batch(bitmaps(seen, ["hour"]), "hourly_bitmaps", batch, BITMAPS, "staging")
+        finally:
+            fresh.unpersist()
+            orders.unpersist()
+
+    return each_batch
+
+
+def customers_by_hour(lake: Lake) -> DataFrame:
+    """period ('hour'), start and unique_customers of all micro-batches so far."""
+    found = distinct_counts(lake.read("hourly_bitmaps", BITMAPS, "staging"), ["hour"], "unique_customers")
+    return found.select(F.lit("hour").alias("period"), F.col("hour").alias("start"), "unique_customers")
+
+
+def customers_by_day(lake: Lake) -> DataFrame:
+    """As customers_by_hour, by day: the union of the day's hours, not their sum."""
+    daily = lake.read("hourly_bitmaps", BITMAPS, "staging").withColumn("start", day_start(F.col("hour")))
+    found = distinct_counts(daily, ["start"], "unique_customers")
+    return found.select(F.lit("day").alias("period"), "start", "unique_customers")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.operators.key_index import KeyIndex
 from tillstream.operators.keyed import insert_if_absent
 from tillstream.plans.ingest import (
     customer_columns,
@@ -15,6 +17,7 @@ from tillstream.plans.ingest import (
     order_item_columns,
     product_columns,
 )
+from tillstream.sources.commits import CommittedLake
 from tillstream.sources.order_topic import accepted, decode, rejected
 from tillstream.sources.tables import Lake, side_by_side
 from tillstream.streaming.fresh import new_rows, with_new_keys
@@ -61,6 +64,47 @@ def ingest_messages(lake: Lake, enriched: bool = True) -> EachBatch:
     return each_batch
 
 
+def ingest_atomically(lake: CommittedLake, indexes: Mapping[str, KeyIndex], enriched: bool = True) -> EachBatch:
+    """As ingest_messages, with a micro-batch visible in all tables or in none.
+
+    Which keys are new the indexes say, so no table is scanned; there is one of the keys of
+    each table (of order_items, order_id).  A key counts as known once its micro-batch
+    has been committed, as an index may hold keys of a batch that died.
+    """
+    targets = {
+        "customers": ("customer_id", customer_columns(enriched)),
+        "products": ("product_id", product_columns()),
+        "orders": ("order_id", order_columns(enriched)),
+        "order_items": ("order_id", order_item_columns(enriched)),
+    }
+
+    def each_batch(messages: DataFrame, batch: str) -> None:
+        decoded = decode(messages, enriched).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            events = accepted(decoded)
+            rows = events.count()
+            done = lake.commits()
+
+            def store(table: str) -> None:
+                key, columns = targets[table]
+                incoming = events.select(*columns, F.col("ts").alias("_sent"))
+                fresh = indexes[table].new_rows(incoming, key, ["_sent"], batch, rows, done).drop("_sent")
+                fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    indexes[table].add(fresh, key, batch)
+                    lake.write_batch(fresh, table, batch)
+                finally:
+                    fresh.unpersist()
+
+            writes = [partial(store, table) for table in targets]
+            writes.append(lambda: lake.write_batch(rejected(decoded), "quarantine", batch))
+            lake.all_or_nothing(batch, writes)
+        finally:
+            decoded.unpersist()
+
+    return each_batch
+
+
 def orders_once(messages: DataFrame, enriched: bool = True) -> DataFrame:
     """A stream of messages as orders, and markers of the order_ids it has not carried before."""
     events = accepted(decode(messages, enriched))
