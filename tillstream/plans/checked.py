@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstream.functions.clock import AsOf, as_of_column
+from tillstream.operators.evolve import conform
 from tillstream.plans.quality import RULES, DuplicateRule, ParentRule, RowRule, classify
-from tillstream.schemas import LONG, STRING, columns
+from tillstream.schemas import LONG, RAW_TABLES, STRING, columns
 from tillstream.sources.tables import Lake
 
 COUNTS = columns(check_name=STRING, fail_count=LONG, row_count=LONG)
@@ -37,7 +38,8 @@ def write_checked(lake: Lake, df: DataFrame, table: str, batch_id: str, as_of: A
     now = as_of_column(as_of)
     seen = Observation(f"{table}-{batch_id}")
     counts = [F.count(F.when(r.condition(now), 1)).alias(r.check) for r in rules]
-    lake.write_batch(df.observe(seen, F.count(F.lit(1)).alias("row_count"), *counts), table, batch_id)
+    stored = conform(df, RAW_TABLES[table])
+    lake.write_batch(stored.observe(seen, F.count(F.lit(1)).alias("row_count"), *counts), table, batch_id)
     found = seen.get
     rows = [(r.check, found[r.check], found["row_count"]) for r in rules]
     lake.write_batch(lake.spark.createDataFrame(rows, COUNTS), f"{table}_rule_counts", batch_id, COUNTS, "staging")
