@@ -21,17 +21,30 @@ from tillstream.operators.revenue import order_item_totals  # noqa: E402
 from tillstream.operators.sampling import sample_ids  # noqa: E402
 from tillstream.plans import checked, enrich, incremental, ingest, marts, pipeline, quality, reports  # noqa: E402
 from tillstream.plans.staging import stg_orders  # noqa: E402
-from tillstream.schemas import CUSTOMER_COUNTRY_COLUMNS, ORDER_WEATHER_COLUMNS  # noqa: E402
+from tillstream.schemas import (  # noqa: E402
+    CUSTOMER_COUNTRY_COLUMNS,
+    INT,
+    LONG,
+    ORDER_WEATHER_COLUMNS,
+    READING,
+    STRING,
+    TIME,
+    columns,
+)
 from tillstream.session import work_area  # noqa: E402
+from tillstream.sources import folder_log  # noqa: E402
 from tillstream.sources.commits import CommittedLake  # noqa: E402
 from tillstream.sources.order_topic import accepted, decode, encode, rejected  # noqa: E402
 from tillstream.sources.shaped import (  # noqa: E402
     EVENTS_NOW,
     RETAIL_NOW,
     Shop,
+    numbered_messages_from,
     order_events_from,
+    weather_readings_from,
 )
 from tillstream.sources.tables import Lake  # noqa: E402
+from tillstream.streaming import asof as stream_asof  # noqa: E402
 from tillstream.streaming import enrich as stream_enrich  # noqa: E402
 from tillstream.streaming import feed, hourly, ingest as stream_ingest  # noqa: E402
 from tillstream.streaming.jobs import EachBatch, run_to_end  # noqa: E402
@@ -44,6 +57,7 @@ except ImportError:
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEED = "42"
+RECEIVED = columns(key=STRING, value=STRING, partition=INT, offset=LONG)
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -405,6 +419,42 @@ def _stream_feed(shop: Shop) -> DataFrame:
     return feed.live_feed(lake, EVENTS_NOW, "1 day")
 
 
+def _stream_asof(shop: Shop) -> DataFrame:
+    """Order events and readings as two streams; the batch join of all gives the same."""
+    lake, checkpoint = _lake(shop.spark, "asof")
+    schema = columns(
+        order_id=STRING, city_id=INT, purchased_at=TIME, weather_condition=STRING, weather_desc=STRING,
+        temperature_c=READING, feels_like_c=READING, humidity=INT, wind_speed=READING,
+    )
+    for rows in shop.deliver_events(work_area(shop.spark, "events")):
+        placed = order_events_from(rows)
+        joined = stream_asof.enrich_from_stream(placed, weather_readings_from(rows), ["order_id"], salts=4)
+        run_to_end(joined, lambda df, batch: lake.write_batch(df, "asof", batch, schema, "staging"), checkpoint)
+    return lake.read("asof", schema, "staging").where("order_id <> 'E-1'")
+
+
+def _stream_latest(shop: Shop) -> DataFrame:
+    """A stream that starts at the end of a log, stops, and goes on: what came before it
+    began is not read, what came while it was stopped is."""
+    lake, checkpoint = _lake(shop.spark, "latest")
+    log = f"{work_area(shop.spark, 'log')}/topic"
+    numbered = numbered_messages_from(shop.wire_events())
+
+    def run() -> None:
+        messages = folder_log.log_stream(shop.spark, log, "latest", f"{checkpoint}/start")
+        run_to_end(messages, lambda df, batch: lake.write_batch(df, "received", batch, RECEIVED, "staging"), checkpoint)
+
+    edges = ["2024-01-16", "2024-01-24", "9999"]
+    for k, edge in enumerate(edges):
+        part = numbered.where((F.col("sent") < edge) & (F.col("sent") >= (edges[k - 1] if k else "")))
+        folder_log.append(part, log, partitions=4, order="sent")
+        run()
+    received = lake.read("received", RECEIVED, "staging")
+    # Each message once, at an offset of its own.
+    whole = received.groupBy("partition", "offset").agg(F.any_value("value").alias("value"), F.any_value("key").alias("key"))
+    return accepted(decode(whole)).select("order_id", "customer_id", "order_status", "purchased_at")
+
+
 def _dq_on_write(shop: Shop) -> DataFrame:
     """The dirty tables in three batches each, checked as they are written."""
     lake = Lake(shop.spark, f"{work_area(shop.spark, 'checked')}/tables", order_period="month")
@@ -493,6 +543,8 @@ def queries() -> dict[str, Query]:
         "hourly_customers_bitmap": _customers_bitmap,
         "stream_live_feed": _stream_feed,
         "dq_on_write": _dq_on_write,
+        "stream_asof_weather": _stream_asof,
+        "stream_from_latest": _stream_latest,
         "write_spark_metrics": _spark_metrics,
         "pipeline_daily": _pipeline,
     }

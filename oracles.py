@@ -535,7 +535,10 @@ ORACLES["stream_live_feed"] = """
     from (select distinct * from messages) e join first_customer c on c.customer_id = e.customer_id
     where e.purchased_at >= timestamp '2024-01-31 00:00:00' - interval 1 day
     order by e.purchased_at desc, e.order_id limit 20"""
+ORACLES["stream_from_latest"] = """
+    select order_id, customer_id, order_status, purchased_at from messages where ts >= timestamp '2024-01-16'"""
 # Other ways to the same result.
+ORACLES["stream_asof_weather"] = ORACLES["enrich_weather_asof"]
 ORACLES["stream_ingest_atomic"] = ORACLES["stream_ingest_orders"]
 ORACLES["insert_orders_by_index"] = ORACLES["insert_new_orders"]
 ORACLES["mart_incremental"] = ORACLES["pipeline_daily"]

@@ -98,6 +98,26 @@ def order_events_from(events: DataFrame) -> DataFrame:
     )
 
 
+def weather_readings_from(events: DataFrame) -> DataFrame:
+    """Readings per city out of raw event rows, temperatures rounded to a tenth."""
+    value = F.col("value").cast("decimal(18,2)")
+    k = F.get_json_object("props", "$.k").cast("int")
+    word = F.element_at(F.array(*[F.lit(w) for w in WEATHER_WORDS]), k % 5 + 1)
+    return (
+        events.where(F.col("event_type") == "view")
+        .select(
+            (F.col("user_id") % 12).cast("int").alias("city_id"),
+            F.col("ts").alias("fetched_at"),
+            word.alias("weather_condition"),
+            F.lower(word).alias("weather_desc"),
+            F.round(value, 1).alias("temperature_c"),
+            F.round(value - 2, 1).alias("feels_like_c"),
+            k.alias("humidity"),
+            (k.cast("decimal(9,1)") / 10).cast("decimal(9,1)").alias("wind_speed"),
+        )
+    )
+
+
 def _iso(ts: Column) -> Column:
     return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
 
@@ -264,24 +284,7 @@ class Shop:
         return order_events_from(self.table("events"))
 
     def weather_readings(self) -> DataFrame:
-        """Readings per city, temperatures rounded to a tenth."""
-        value = F.col("value").cast("decimal(18,2)")
-        k = F.get_json_object("props", "$.k").cast("int")
-        word = F.element_at(F.array(*[F.lit(w) for w in WEATHER_WORDS]), k % 5 + 1)
-        return (
-            self.table("events")
-            .where(F.col("event_type") == "view")
-            .select(
-                (F.col("user_id") % 12).cast("int").alias("city_id"),
-                F.col("ts").alias("fetched_at"),
-                word.alias("weather_condition"),
-                F.lower(word).alias("weather_desc"),
-                F.round(value, 1).alias("temperature_c"),
-                F.round(value - 2, 1).alias("feels_like_c"),
-                k.alias("humidity"),
-                (k.cast("decimal(9,1)") / 10).cast("decimal(9,1)").alias("wind_speed"),
-            )
-        )
+        return weather_readings_from(self.table("events"))
 
     def wire_events(self) -> DataFrame:
         return wire_events_from(self.order_events(), self.cities(), self.countries())
@@ -315,6 +318,17 @@ class Shop:
         for k in range(parts):
             yield folder_stream(self.spark, f"{area}/part={{{','.join(map(str, range(k + 1)))}}}")
 
+    def deliver_events(self, area: str, parts: int = 4) -> Iterator[DataFrame]:
+        """As deliver_messages, with raw event rows by their time; a last part holds one view
+        of the year 2100, event -1, which tells that nothing older will come."""
+        events = self.table("events").select(*EVENT_ROWS.names)
+        part = F.least(F.floor((F.dayofmonth("ts") - 1) * parts / 31), F.lit(parts - 1)).cast("int")
+        last = _values(self.spark, [(-1, "2100-01-01 00:00:00", 0, "view", 0, '{"k": 1}')], EVENT_ROWS)
+        both = events.withColumn("part", part).unionByName(last.withColumn("part", F.lit(parts)))
+        both.write.partitionBy("part").parquet(area)
+        for k in range(parts + 1):
+            yield folder_stream(self.spark, f"{area}/part={{{','.join(map(str, range(k + 1)))}}}", EVENT_ROWS)
+
     def dirty_orders(self) -> DataFrame:
         n = F.col("order_id").cast("bigint")
         purchase = F.col("order_purchase_ts")
