@@ -19,7 +19,7 @@ from tillstream.operators.key_index import KeyIndex  # noqa: E402
 from tillstream.operators.keyed import insert_if_absent, missing_parent  # noqa: E402
 from tillstream.operators.revenue import order_item_totals  # noqa: E402
 from tillstream.operators.sampling import sample_ids  # noqa: E402
-from tillstream.plans import checked, enrich, incremental, ingest, marts, pipeline, quality, reports  # noqa: E402
+from tillstream.plans import checked, enrich, incremental, ingest, marts, pipeline, placed, quality, reports  # noqa: E402
 from tillstream.plans.staging import stg_orders  # noqa: E402
 from tillstream.schemas import (  # noqa: E402
     CUSTOMER_COUNTRY_COLUMNS,
@@ -32,9 +32,9 @@ from tillstream.schemas import (  # noqa: E402
     columns,
 )
 from tillstream.session import work_area  # noqa: E402
-from tillstream.sources import folder_log  # noqa: E402
+from tillstream.sources import evolving, folder_log  # noqa: E402
 from tillstream.sources.commits import CommittedLake  # noqa: E402
-from tillstream.sources.order_topic import accepted, decode, encode, rejected  # noqa: E402
+from tillstream.sources.order_topic import accepted, decode, encode, folder_stream, rejected  # noqa: E402
 from tillstream.sources.shaped import (  # noqa: E402
     EVENTS_NOW,
     RETAIL_NOW,
@@ -455,6 +455,46 @@ def _stream_latest(shop: Shop) -> DataFrame:
     return accepted(decode(whole)).select("order_id", "customer_id", "order_status", "purchased_at")
 
 
+def _placed(shop: Shop) -> Lake:
+    """The shop's orders and items, both laid out by the order's month."""
+    lake = Lake(shop.spark, f"{work_area(shop.spark, 'placed')}/tables", order_period="month")
+    # The batch as it comes, without a search for known keys: what is tested is the layout.
+    lake.write_batch(shop.orders(), "orders", "history")
+    placed.place_items(lake, shop.order_items(), "history")
+    return lake
+
+
+def _hourly_placed(shop: Shop) -> DataFrame:
+    lake = _placed(shop)
+    return reports.hourly_order_metrics(lake.read("orders"), lake.read("placed_items"), RETAIL_NOW)
+
+
+def _city_placed(shop: Shop) -> DataFrame:
+    lake = _placed(shop)
+    return reports.city_order_metrics(shop.customers(), lake.read("orders"), lake.read("placed_items"), RETAIL_NOW)
+
+
+def _evolve_stored(shop: Shop) -> DataFrame:
+    """Events that gain fields, and fields that gain digits, between micro-batches."""
+    area = work_area(shop.spark, "evolving")
+    events = shop.wire_events()
+    day = F.dayofmonth(F.col("ts").cast("timestamp_ntz"))
+    plain = [F.col("order_id"), F.col("customer_id"), F.col("quantity")]
+    warm = F.col("weather.temperature_c")
+    shapes = {
+        0: plain,
+        1: [*plain, F.col("weather.weather_condition"), F.floor(warm).cast("int").alias("temperature_c")],
+        2: [*plain, F.col("weather.weather_condition"), warm.alias("temperature_c"), F.col("customer.country_code")],
+    }
+    table = evolving.EvolvingTable(shop.spark, f"{area}/table")
+    for k, shape in shapes.items():
+        part = events.where(F.least(F.floor((day - 1) / 11), F.lit(2)) == k)
+        messages = part.select(F.col("order_id").alias("key"), F.to_json(F.struct(*shape)).alias("value"))
+        messages.write.parquet(f"{area}/topic/{k}")
+        run_to_end(folder_stream(shop.spark, f"{area}/topic/*"), evolving.store_as_they_come(table), f"{area}/checkpoint")
+    return table.read()
+
+
 def _dq_on_write(shop: Shop) -> DataFrame:
     """The dirty tables in three batches each, checked as they are written."""
     lake = Lake(shop.spark, f"{work_area(shop.spark, 'checked')}/tables", order_period="month")
@@ -545,6 +585,9 @@ def queries() -> dict[str, Query]:
         "dq_on_write": _dq_on_write,
         "stream_asof_weather": _stream_asof,
         "stream_from_latest": _stream_latest,
+        "hourly_order_metrics_placed": _hourly_placed,
+        "city_order_metrics_placed": _city_placed,
+        "evolve_stored_tables": _evolve_stored,
         "write_spark_metrics": _spark_metrics,
         "pipeline_daily": _pipeline,
     }

@@ -537,7 +537,15 @@ ORACLES["stream_live_feed"] = """
     order by e.purchased_at desc, e.order_id limit 20"""
 ORACLES["stream_from_latest"] = """
     select order_id, customer_id, order_status, purchased_at from messages where ts >= timestamp '2024-01-16'"""
+ORACLES["evolve_stored_tables"] = """
+    select order_id, customer_id, quantity::bigint as quantity,
+      case when part > 0 and not bare then weather_condition end as weather_condition,
+      case when bare then null when part = 1 then floor(temperature_c) when part = 2 then temperature_c end as temperature_c,
+      case when part = 2 and not bare then country_code end as country_code
+    from (select *, least((day(ts) - 1) // 11, 2) as part from wire_events)"""
 # Other ways to the same result.
+ORACLES["hourly_order_metrics_placed"] = ORACLES["hourly_order_metrics"]
+ORACLES["city_order_metrics_placed"] = ORACLES["city_order_metrics"]
 ORACLES["stream_asof_weather"] = ORACLES["enrich_weather_asof"]
 ORACLES["stream_ingest_atomic"] = ORACLES["stream_ingest_orders"]
 ORACLES["insert_orders_by_index"] = ORACLES["insert_new_orders"]

@@ -9,6 +9,7 @@ from tillstream.functions.clock import AsOf, hour_start, since
 from tillstream.functions.money import mean_of
 from tillstream.operators.keyed import only_keys_of
 from tillstream.operators.revenue import orders_and_revenue
+from tillstream.plans.placed import items_since
 
 
 def hourly_order_metrics(
@@ -26,7 +27,7 @@ def hourly_order_metrics(
         F.countDistinct("customer_id").alias("unique_customers")
     )
     if lookback:
-        items = only_keys_of(items, timed, "order_id")
+        items = only_keys_of(items_since(items, as_of, lookback), timed, "order_id")
     sales = orders_and_revenue(timed.select("order_id", "hour"), items, ["hour"])
     return (
         sales.join(customers, F.col("hour").eqNullSafe(F.col("_hour")))
@@ -70,7 +71,7 @@ def city_order_metrics(
         F.coalesce("lon", F.lit(0.0)).alias("lon"),
     )
     recent = since(orders, "order_purchase_ts", as_of, lookback).select("order_id", "customer_id")
-    items = only_keys_of(items, recent, "order_id")
+    items = only_keys_of(items_since(items, as_of, lookback), recent, "order_id")
     by = ["city", "country_name", "country_code", "lat", "lon"]
     located = recent.join(placed, "customer_id").select("order_id", *by)
     return (
@@ -104,7 +105,7 @@ def live_order_feed(
     places = customers.select("customer_id", F.col("customer_city").alias("city"), "country_code")
     by_place = [*by_order, "city", "country_code"]
     placed = _top_with_details(_held(newest), places, "customer_id", by_place, n)
-    prices = items.select("order_id", "price")
+    prices = items_since(items, as_of, lookback).select("order_id", "price")
     lines = _top_with_details(_held(placed), prices, "order_id", [*by_place, "price"], n)
     return lines.select(
         "order_id", "city", "country_code", "order_status", "weather_condition",

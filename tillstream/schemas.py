@@ -108,6 +108,7 @@ RAW_TABLES = {
     "customers": T.StructType(CUSTOMERS.fields + CUSTOMER_COUNTRY_COLUMNS.fields),
     "products": PRODUCTS,
     "order_items": ORDER_ITEMS,
+    "placed_items": ORDER_ITEMS,
     "dq_results": DQ_RESULTS,
     "quarantine": QUARANTINE,
 }

@@ -16,6 +16,7 @@ from tillstream.operators.evolve import conform
 from tillstream.schemas import RAW_TABLES
 
 BATCH = "batch_id"
+PLACED_ITEMS = "placed_items"  # items under the period of their order
 PERIOD_COLUMNS = {"day": "order_date", "month": "order_month"}
 
 
@@ -126,7 +127,11 @@ class Lake:
             df = df.withColumn("created_at", F.coalesce(given.cast("timestamp_ntz"), now))
         out = conform(df, schema)
         path = f"{self.path(layer, name)}/{BATCH}={batch_id}"
-        if name == "orders":
+        if name == PLACED_ITEMS:
+            column = PERIOD_COLUMNS[self.order_period]
+            out = conform(df, T.StructType([*schema.fields, T.StructField(column, T.DateType())])).hint("rebalance", column)
+            out.write.mode("overwrite").partitionBy(column).parquet(path)
+        elif name == "orders":
             # Gather each period in few files; a crowded one is split over tasks.
             column = PERIOD_COLUMNS[self.order_period]
             period = F.to_date(F.trunc("order_purchase_ts", "month"))
@@ -183,6 +188,6 @@ class Lake:
 
     def _layout(self, name: str) -> list[T.StructField]:
         batch = T.StructField(BATCH, T.StringType())
-        if name != "orders":
+        if name not in ("orders", PLACED_ITEMS):
             return [batch]
         return [T.StructField(PERIOD_COLUMNS[self.order_period], T.DateType()), batch]
