@@ -451,16 +451,84 @@ def test_several_passes_weigh_the_same(spark, monkeypatch):
 
 def test_fingerprints_in_the_radius_are_found():
     rng = np.random.default_rng(4)
-    prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
-    h = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
-    weight = np.full(400, 3, np.int64)
-    begin = np.arange(0, 380, 7)
-    own = decontam._fingerprints(np.array([decontam._signs(h[b : b + 10], weight[:10]).sum(axis=0) for b in begin]))
-    near = own[5] ^ np.uint64(0b10100000111)
-    prints[17] = near
-    want = {(i, k) for i, x in enumerate(own) for k, y in enumerate(prints) if bin(int(x) ^ int(y)).count("1") <= decontam.RADIUS}
-    assert (5, 17) in want
-    assert set(decontam.Index._near(h, weight, begin, 10, prints)) == want
+    prints = rng.integers(0, 256, (300, 32), dtype=np.uint8)
+    h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    weight = rng.integers(1, 9, 5000)
+    parts = list(decontam._window_prints(h, weight, 30, 4900, 100))
+    assert [a for a, _ in parts] == list(range(30, 4901, decontam.STRETCH))
+    own = np.concatenate([x for _, x in parts])
+    plain = [decontam._fingerprints(decontam._signs(h[b : b + 100], weight[b : b + 100]).sum(axis=0)[None, :])[0] for b in range(30, 4901)]
+    assert np.array_equal(own, np.array(plain))
+    own = own[::17]
+    for k in range(60):  # near ones, up to and beyond the radius
+        prints[k] = own[k]
+        for bit in rng.choice(256, 34 + k, replace=False):
+            prints[k, bit // 8] ^= 1 << bit % 8
+    apart = np.bitwise_count(own[:, None, :] ^ prints[None, :, :]).sum(axis=2)
+    for radius in (decontam.RADIUS, decontam.RADIUS_OF_FEW):
+        want = set(zip(*map(lambda x: x.tolist(), np.nonzero(apart <= radius)), strict=True))
+        assert len(want) >= 30
+        found = list(decontam.Index._near(own, prints, radius))
+        assert set(found) == want and len(found) == len(want)
+
+
+@given(st.lists(st.integers(0, 60), unique=True).map(sorted), st.integers(1, 12), st.integers(1, 60))
+def test_stretches_are_all_windows_with_enough_hits(hits, m, split):
+    """Two texts, cut at `split`."""
+    hits = np.array(hits, np.int64)
+    lows, highs = np.where(hits < split, 0, split), np.where(hits < split, split, 61)
+    need = -(-80 * m // 100)
+    want = [
+        b
+        for low, high in ((0, split), (split, 61))
+        for b in range(low, high - m + 1)
+        if ((hits >= b) & (hits < b + m)).sum() >= need
+    ]
+    first, last = decontam._stretches(hits, need, m, lows, highs)
+    assert [b for x, y in zip(first, last, strict=True) for b in range(x, y + 1)] == want
+
+
+@pytest.mark.parametrize("size", [10, 12, 15, 18, 24, 36, 59, 100, 200, 600, 2000])
+def test_fingerprints_alone_find_similar_windows(size):
+    """Recall at similarities from 0.8 on, without the anchors."""
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(7))
+    n = 60 if size > 500 else 150
+    items = [(i, [word() for _ in range(size + 4)]) for i in range(n)]
+    docs = []
+    for _, own in items:
+        new = list(own)
+        # A changed word costs up to five shingles, at an end one to four.
+        for _ in range(rng.randint(1, max(1, size // 45))):
+            new[rng.randrange(len(new)) if size > 50 else rng.choice([0, -1])] = word()
+        docs.append(" ".join([word() for _ in range(9)] + new + [word() for _ in range(9)]))
+    index = decontam.Index([i for i, _ in items], [" ".join(t) for _, t in items])
+    found = index.leaks(texts_of(docs))
+    rows = [r for x in found for r in x]
+    assert len(rows) >= n / 3 and all(r["similarity"] >= 0.8 for r in rows)
+    assert min(r["similarity"] for r in rows) < 0.95
+    assert sum(r["found_by"] == "fingerprint" for r in rows) >= 0.95 * len(rows)
+
+
+def test_a_long_item_takes_memory_by_its_length():
+    program = """
+import random, resource
+import pyarrow as pa
+from tillstream.llm import decontam
+from tillstream.llm.textblock import Texts
+rng = random.Random(1)
+word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+item = [word() for _ in range(20_000)]
+index = decontam.Index([1], [" ".join(item)])
+text = " ".join([word() for _ in range(500)] + item[:9000] + ["other"] + item[9001:] + [word() for _ in range(500)])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = index.leaks(Texts.of(pa.array([text])))
+assert [r["item_id"] for r in found[0]] == [1] and found[0][0]["found_by"] == "fingerprint", found
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, cwd=root, check=True)
+    assert int(out.stdout) < 150  # MB
 
 
 # Shards, quality, chat.

@@ -3,24 +3,29 @@
 A document leaks an item if a window with as many 5-word shingles as the item is similar
 to it: the weighted Jaccard similarity of their shingle sets is at least SIMILAR.  A text
 with fewer shingles than the item is one window as a whole.  Rare
-shingles weigh more; one that no item has weighs most.  Verbatim and nearly verbatim
-windows are found by fingerprint: a window's SimHash and an item's are at most RADIUS bits
-apart, so in RADIUS + 1 blocks of bits at least one is equal, and looking up each block
-finds all fingerprints in the radius.  Only windows of which at least SIMILAR of the
-shingles are known to some item are fingerprinted.
-
-No radius holds every window that is similar, and a shingle that is repeated in a window
-counts once for the similarity, so the rest is found without fingerprints.  The heaviest
-shingles of an item that make up more than 1 - SIMILAR of its weight are its anchors: a
-window without any of them cannot reach the threshold.  Texts with an anchor are compared
-with the item by weight, and windows that share enough weight are taken.  All that is
-found either way is verified by the exact similarity, so no window is missed.
+shingles weigh more; one that no item has weighs most.
+
+Windows are found by fingerprint.  A SimHash has 256 bits; at similarity 0.8 two of them
+differ in some 36 to 47 bits on average, and 63 are allowed.  For items of few shingles it
+is up to 63, as few signs make a sum, and 95 are allowed.  Of 32 blocks of 8 bits at least
+one then differs in one bit (two bits) at most, so looking up each block and its neighbours
+at that distance finds all fingerprints in the radius.  Only windows of which at least SIMILAR
+of the shingles are known to some item are fingerprinted, by sums that slide.
+
+A shingle that is repeated in a window counts once for the similarity and each time for
+the fingerprint, so an exact supplement follows.  The heaviest shingles of an item that make
+up more than 1 - SIMILAR of its weight are its anchors: a window without any of them cannot
+reach the threshold.  Texts with an anchor are compared with the item by weight, and windows
+that share enough weight are taken.  All that is found either way is verified by the exact
+similarity, so no window is missed; found_by says which way found an item in a text.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.llm.store import ship_code, written
+from tillstream.llm.store import filesystem, ship_code, work_area, write_file, written
 from tillstream.llm.textblock import Texts, blocks, mix, separators, shingles
 
 WIDTH = 5
 SIMILAR = (80, 100)
-RADIUS = 11
+BITS, BLOCK_BITS = 256, 8
+RADIUS, FEW, RADIUS_OF_FEW = 63, 16, 95  # bits that may differ, and those of an item of FEW shingles or less
+STRETCH = 2048  # windows, or shingles, whose signs are held at once
 ITEM_BLOCK, ITEM_BYTES = 20_000, 16_000_000  # items of one pass over the documents, at most
 KNOWN_BLOCK = 2_000_000  # shingles of items whose weights go to the tasks at once, at most
 WEIGHT = 1000  # weights are whole thousandths
 # Words are runs of letters and digits; bytes of other scripts count as letters.
 APART = separators(*(b for b in range(128) if not chr(b).isalnum()))
-LEAKS = "array<struct<item_id: bigint, similarity: double, `from`: bigint, `to`: bigint>>"
+LEAKS = "array<struct<item_id: bigint, similarity: double, `from`: bigint, `to`: bigint, found_by: string>>"
 _U = np.uint64
 
 
@@ -55,13 +62,65 @@ def _places(texts: Texts, width: int):
 
 
 def _signs(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A row of 64 weights for each shingle, with the signs of its hash's bits."""
-    bits = np.unpackbits(mix(h ^ _U(0xA5A5A5A5A5A5A5A5)).view(np.uint8).reshape(-1, 8), axis=1)
+    """A row of BITS weights for each shingle, with the signs of its hash's bits."""
+    wide = np.stack([mix(h ^ _U(0xA5A5A5A5A5A5A5A5 + 0x0101010101010101 * k)) for k in range(BITS // 64)], axis=1)
+    bits = np.unpackbits(wide.view(np.uint8), axis=1)
     return (bits.astype(np.int64) * 2 - 1) * weight[:, None]
 
 
+# What a sum of zero counts as: by bit, half of them each way.
+_TIES = np.arange(BITS) * 37 % 64 < 32
+
+
 def _fingerprints(sums: np.ndarray) -> np.ndarray:
-    return np.packbits(sums > 0, axis=1).view(">u8").ravel().astype(_U)
+    """Rows of BITS / 8 bytes."""
+    return np.packbits((sums > 0) | ((sums == 0) & _TIES), axis=1)
+
+
+def _sum_of(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The sum of the shingles' signs, a stretch at a time."""
+    return sum(
+        (_signs(h[a : a + STRETCH], weight[a : a + STRETCH]).sum(axis=0) for a in range(0, len(h), STRETCH)),
+        np.zeros(BITS, np.int64),
+    )
+
+
+def _window_prints(h: np.ndarray, weight: np.ndarray, first: int, last: int, m: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Fingerprints of the windows of m shingles that begin from first to last, by stretches
+    with their first begin.  Sums slide: what enters is added and what leaves taken away."""
+    held = _sum_of(h[first : first + m], weight[first : first + m])
+    for a in range(first, last + 1, STRETCH):
+        n = min(STRETCH, last + 1 - a)
+        steps = np.zeros((n, BITS), np.int64)
+        steps[0] = held
+        out, into = slice(a, a + n - 1), slice(a + m, a + m + n - 1)
+        steps[1:] = _signs(h[into], weight[into]) - _signs(h[out], weight[out])
+        sums = np.cumsum(steps, axis=0)
+        yield a, _fingerprints(sums)
+        if a + n <= last:
+            held = sums[-1] + _signs(h[a + m + n - 1 :][:1], weight[a + m + n - 1 :][:1])[0]
+            held = held - _signs(h[a + n - 1 :][:1], weight[a + n - 1 :][:1])[0]
+
+
+def _stretches(hits: np.ndarray, need: int, m: int, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last begins of runs of windows of m that hold at least need of the hits.
+
+    A window that holds hits i to i + need - 1 begins from m - 1 before the latter to the
+    former; all such windows together are those runs, so nothing as large as hits times m
+    is formed.  lows and highs bound the text of each hit.
+    """
+    if len(hits) < need:
+        return hits[:0], hits[:0]
+    begin, end, low, high = hits[: len(hits) - need + 1], hits[need - 1 :], lows[: len(hits) - need + 1], highs[need - 1 :]
+    same = low == lows[need - 1 :]
+    first, last = np.maximum(end - m + 1, low)[same], np.minimum(begin, high - m)[same]
+    first, last = first[first <= last], last[first <= last]
+    if not len(first):
+        return first, last
+    # Both ascend, so runs that touch are merged by a look at the neighbour.
+    apart = np.flatnonzero(first[1:] > np.maximum.accumulate(last)[:-1] + 1) + 1
+    cut = np.concatenate([[0], apart, [len(first)]])
+    return first[cut[:-1]], np.maximum.reduceat(last, cut[:-1])
 
 
 def _weigh(items: int, n: np.ndarray) -> np.ndarray:
@@ -116,7 +175,7 @@ class Index:
             for k, (_, x) in enumerate(part["items"]):
                 part["sizes"].setdefault(len(x), []).append((k, x))
             for m, items in part["sizes"].items():
-                sums = np.array([_signs(x, weight[np.searchsorted(known, x)]).sum(axis=0) for _, x in items])
+                sums = np.array([_sum_of(x, weight[np.searchsorted(known, x)]) for _, x in items])
                 part["sizes"][m] = (np.array([k for k, _ in items]), _fingerprints(sums))
             self._anchor(part)
             bits = np.zeros(1 << 20, bool)
@@ -158,26 +217,26 @@ class Index:
             hits, place = maybe[sure], place[sure]
             if not len(hits):
                 continue
-            is_known = np.zeros(len(h) + 1, np.int64)
-            is_known[hits + 1] = 1
-            known_before = np.cumsum(is_known)
             weight = np.full(len(h), part["top"], np.int64)
             if others is not None:
                 weight = np.where(others[width] > 0, others[width], part["top"])
             weight[hits] = part["weight"][place]
             text_of = np.searchsorted(at, hits, side="right") - 1
             lows, highs = at[text_of], at[text_of + 1]
-            pairs = set()
+            near = set()
             for m, (numbers, prints) in part["sizes"].items():
-                # Windows of m shingles that begin up to m before a known one, inside its text.
-                near = (hits[:, None] - np.arange(m)[None, :])
-                fits = (near >= lows[:, None]) & (near + m <= highs[:, None])
-                begin = np.unique(near[fits])
-                begin = begin[100 * (known_before[begin + m] - known_before[begin]) >= SIMILAR[0] * m]
-                if len(begin):
-                    pairs.update((int(begin[which]), int(numbers[k])) for which, k in self._near(h, weight, begin, m, prints))
-            pairs.update(self._sharing(hits, place, text_of, at, part))
-            for a, k in sorted(pairs):
+                need = -(-SIMILAR[0] * m // SIMILAR[1])
+                radius = RADIUS if m > FEW else RADIUS_OF_FEW
+                for first, last in zip(*_stretches(hits, need, m, lows, highs), strict=True):
+                    for a, own in _window_prints(h, weight, int(first), int(last), m):
+                        near.update((a + w, int(numbers[k])) for w, k in self._near(own, prints, radius))
+                # Texts with fewer shingles than the item are one window.
+                known, size = np.bincount(text_of, minlength=len(at) - 1), np.diff(at)
+                for text in np.flatnonzero((size < m) & (SIMILAR[1] * known >= SIMILAR[0] * m)):
+                    whole = slice(at[text], at[text + 1])
+                    own = _fingerprints(_sum_of(h[whole], weight[whole])[None, :])
+                    near.update((int(at[text]), int(numbers[k])) for _, k in self._near(own, prints, radius))
+            for a, k in sorted(near | set(self._sharing(hits, place, text_of, at, part))):
                 item_id, shingle = part["items"][k]
                 text = int(np.searchsorted(at, a, side="right")) - 1
                 m = min(len(shingle), int(at[text + 1] - at[text]))
@@ -188,9 +247,13 @@ class Index:
                 base = int(texts.begins[text])
                 row = {
                     "item_id": item_id, "similarity": value, "from": int(starts[word]) - base,
-                    "to": int(ends[word + m + width - 2]) - base,
+                    "to": int(ends[word + m + width - 2]) - base, "found_by": "anchors",
                 }
                 old = found[text].get(item_id)
+                if (a, k) in near or (old and old["found_by"] == "fingerprint"):
+                    row["found_by"] = "fingerprint"
+                    if old:
+                        old["found_by"] = "fingerprint"
                 if old is None or (-value, row["from"]) < (-old["similarity"], old["from"]):
                     found[text][item_id] = row
         return [sorted(x.values(), key=lambda r: (r["item_id"] is not None, r["item_id"] or 0)) for x in found]
@@ -228,32 +291,33 @@ class Index:
                 yield from ((begin, k) for begin in range(a, b))
 
     @staticmethod
-    def _near(h, weight, begin, m, prints) -> Iterator[tuple[int, int]]:
-        """(window, item) whose fingerprints are at most RADIUS bits apart."""
-        for a in range(0, len(begin), 20_000):
-            part = begin[a : a + 20_000]
-            at, back = np.unique((part[:, None] + np.arange(m)[None, :]).ravel(), return_inverse=True)
-            rows = _signs(h[at], weight[at])
-            sums = np.zeros((len(part), 64), np.int64)
-            back = back.reshape(len(part), m)
-            for j in range(m):
-                sums += rows[back[:, j]]
-            own = _fingerprints(sums)
+    def _near(own: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[int, int]]:
+        """(window, item) whose fingerprints are at most radius bits apart, each once.
+
+        Some block differs in radius * BLOCK_BITS / BITS bits at most.
+        """
+        every = np.arange(1 << BLOCK_BITS, dtype=np.uint8)
+        flips = every[np.bitwise_count(every) <= radius * BLOCK_BITS // BITS]
+        step = max(1, 2_000_000 // max(len(prints), 1))  # pairs compared at once
+        for a in range(0, len(own), step):
+            part = own[a : a + step]
             pairs = []
-            for b in range(RADIUS + 1):
-                lo, hi = b * 64 // (RADIUS + 1), (b + 1) * 64 // (RADIUS + 1)
-                cut = lambda x, lo=lo, hi=hi: (x >> _U(lo)) & _U((1 << (hi - lo)) - 1)
-                value = cut(prints)
+            for block in range(BITS // BLOCK_BITS):
+                value = prints[:, block]
                 order = np.argsort(value, kind="stable")
-                left = np.searchsorted(value[order], cut(own), side="left")
-                many = np.searchsorted(value[order], cut(own), side="right") - left
-                who = np.repeat(np.arange(len(own)), many)
-                step = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
-                pairs.append(who * len(prints) + order[left[who] + step])
+                ordered = value[order]
+                probe = (part[:, block, None] ^ flips[None, :]).ravel()
+                left = np.searchsorted(ordered, probe, side="left")
+                many = np.searchsorted(ordered, probe, side="right") - left
+                who = np.repeat(np.arange(len(probe)) // len(flips), many)
+                inside = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
+                pairs.append(who * len(prints) + order[np.repeat(left, many) + inside])
             pair = np.unique(np.concatenate(pairs))
             who, k = pair // len(prints), pair % len(prints)
-            close = np.bitwise_count(own[who] ^ prints[k]) <= RADIUS
-            yield from zip((who[close] + a).tolist(), k[close].tolist(), strict=True)
+            for b in range(0, len(who), 200_000):
+                x, y = who[b : b + 200_000], k[b : b + 200_000]
+                close = np.bitwise_count(part[x] ^ prints[y]).sum(axis=1) <= radius
+                yield from zip((x[close] + a).tolist(), y[close].tolist(), strict=True)
 
     @staticmethod
     def _similarity(window, weight, item, part) -> float | None:
@@ -270,20 +334,25 @@ class Index:
 def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFrame:
     """docs and an array column `name` (must be free) of the items (item_id, text) each leaks.
 
-    An entry has item_id, similarity, and the byte span of the most similar window, the
-    earliest of equals.  No shuffle: items go to the tasks, ITEM_BLOCK at most in one pass
+    An entry has item_id, similarity, the byte span of the most similar window, the
+    earliest of equals, and found_by ('fingerprint' or 'anchors').  No shuffle: items go to the tasks, ITEM_BLOCK at most in one pass
     over the documents.  Items that share an id are one; items without words leak nowhere,
     an item of fewer than WIDTH words is one shingle of its own.  A null text leaks
-    nothing; repeated rows each get their entries; other columns are kept.  The number of
-    passes changes nothing: weights are those of all items.
+    nothing; repeated rows each get their entries; other columns are kept; without items
+    or without docs nothing leaks.  The number of passes changes nothing: weights are
+    those of all items.  Memory grows with a text's and an item's length, not their product.
     """
     ship_code(docs.sparkSession)
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     passes = max(1, math.ceil(size["n"] / ITEM_BLOCK), math.ceil((size["bytes"] or 0) / ITEM_BYTES))
     kind = T.StructType([*docs.schema.fields, T.StructField(name, T.DataType.fromDDL(LEAKS))])
     type_ = pa.list_(
-        pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("from", pa.int64()), ("to", pa.int64())])
+        pa.struct(
+            [("item_id", pa.int64()), ("similarity", pa.float64()), ("from", pa.int64()), ("to", pa.int64()), ("found_by", pa.string())]
+        )
     )
+    # What a pass needs lies in a file that its tasks open, so the driver holds one at a time.
+    area = work_area(docs.sparkSession, "items")
     out = docs.withColumn(name, F.array().cast(LEAKS))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
@@ -300,8 +369,12 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
         slices = max(1, math.ceil(counted.count() / KNOWN_BLOCK))
         for k in range(slices):
             weights = _weights(counted.where("h is not null").where(F.pmod(F.xxhash64("h"), F.lit(slices)) == k), many)
+            path = f"{area}/weights-{k}"
+            write_file(path, pickle.dumps(weights))
+            del weights
 
-            def weigh(batches: Iterable[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
+            def weigh(batches: Iterable[pa.RecordBatch], path=path) -> Iterator[pa.RecordBatch]:
+                weights = _opened(path)
                 for batch, texts in blocks(batches, "text"):
                     yield _replaced(batch, weighed, pa.array(_add_weights(batch.column(weighed), texts, weights), pa.list_(pa.binary())))
 
@@ -312,9 +385,12 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
         if passes > 1:
             mine = _document_frequencies(items.where(part == k)).select("width", "h").where("h is not null")
             own = _weights(counted.join(mine, ["width", "h"], "left_semi"), many)
-        index = Index([r[0] for r in rows], [r[1] for r in rows], own)
+        path = f"{area}/items-{k}"
+        write_file(path, pickle.dumps(Index([r[0] for r in rows], [r[1] for r in rows], own)))
+        del rows, own
 
-        def flag(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def flag(batches: Iterable[pa.RecordBatch], path=path) -> Iterator[pa.RecordBatch]:
+            index = _opened(path)
             for batch, texts in blocks(batches, "text"):
                 others = _joined(batch.column(weighed), many) if weighed else None
                 found = [a + b for a, b in zip(batch.column(name).to_pylist(), index.leaks(texts, others), strict=True)]
@@ -324,6 +400,14 @@ def flag_leaks(docs: DataFrame, items: DataFrame, name: str = "leaks") -> DataFr
     return out.drop(weighed) if weighed else out
 
 
+@lru_cache(maxsize=1)
+def _opened(path: str):
+    """What a pass needs; a worker keeps the last one."""
+    store, inside = filesystem(path)
+    with store.open_input_stream(inside) as found:
+        return pickle.loads(found.read())
+
+
 def _unused(columns: list[str], name: str) -> str:
     taken = {c.lower() for c in [*columns, name]}
     return next(c for c in (f"weights_{k}" for k in range(len(taken) + 1)) if c not in taken)

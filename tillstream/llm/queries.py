@@ -34,7 +34,7 @@ def op2_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     leaks = decontam.flag_leaks(docs, table(spark, folder, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
     return leaks.select(
-        "doc_id", "leak.item_id", "leak.similarity", F.col("leak.from").alias("from_byte"), F.col("leak.to").alias("to_byte")
+        "doc_id", "leak.item_id", "leak.similarity", F.col("leak.from").alias("from_byte"), F.col("leak.to").alias("to_byte"), "leak.found_by"
     )
 
 
