@@ -414,14 +414,30 @@ def _near_in_blocks(apart: DataFrame, drawn: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, meta: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """Links (a, b) among the pairs: those of a task join what all its pairs that link join.
+
+    A pair whose ends the task has joined already adds nothing and is not compared, so many
+    pairs of one group leave a task as links of a tree.
+    """
     pairs = written(pairs, "near")
     sets = _fetch_sets(docs, meta, pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct())
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while (up := root.setdefault(i, i)) != i:
+                root[i] = root[up]
+                i = up
+            return i
+
         for batch in batches:
-            x, y = batch["x"].to_pylist(), batch["y"].to_pylist()
-            good = [linked(np.frombuffer(p, _U), np.frombuffer(q, _U)) for p, q in zip(x, y, strict=True)]
+            good = []
+            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "x", "y")), strict=True):
+                p, q = find(a), find(b)
+                good.append(p != q and bool(linked(np.frombuffer(x, _U), np.frombuffer(y, _U))))
+                if good[-1]:
+                    root[p] = q
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("name").alias("a"), F.col("hashes").alias("x"))
@@ -470,10 +486,12 @@ def _placed(docs: DataFrame) -> DataFrame:
     links = written(_verify(_near(tried, drawn), docs, meta), "verified")
 
     # Groups whose members are still apart.
-    apart = written(_apart(flat, components(links)), "apart")
-    links = written(links.unionByName(_verify(_near_in_blocks(apart, drawn), docs, meta)), "verified")
-
-    roots = components(links).withColumnRenamed("node", "name")
+    linked = components(links)
+    apart = written(_apart(flat, linked), "apart")
+    more = _verify(_near_in_blocks(apart, drawn), docs, meta)
+    # What was linked so far goes on as stars, which are fewer links than made them.
+    known = linked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(known.unionByName(more)).withColumnRenamed("node", "name")
     root = F.when(F.col("n") > 0, F.coalesce("root", "name")).alias("root")
     return meta.join(roots, "name", "left").select("row", "doc_id", "n", root)
 
