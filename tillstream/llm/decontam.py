@@ -10,7 +10,7 @@ differ in some 36 to 47 bits on average, and 63 are allowed.  For items of few s
 is up to 63, as few signs make a sum, and 95 are allowed.  Of 32 blocks of 8 bits at least
 one then differs in one bit (two bits) at most, so looking up each block and its neighbours
 at that distance finds all fingerprints in the radius.  Only windows of which at least SIMILAR
-of the shingles are known to some item are fingerprinted, by sums that slide.
+of the shingles are known to items of their size are fingerprinted, by sums that slide.
 
 A shingle that is repeated in a window counts once for the similarity and each time for
 the fingerprint, so an exact supplement follows.  The heaviest shingles of an item that make
@@ -174,6 +174,12 @@ class Index:
             part["items"] = [(ids[i], x) for i, x in sets.items()]
             for k, (_, x) in enumerate(part["items"]):
                 part["sizes"].setdefault(len(x), []).append((k, x))
+            # Which sizes of items have each known shingle.
+            sizes = sorted(part["sizes"])
+            places = [np.searchsorted(known, np.unique(np.concatenate([x for _, x in part["sizes"][m]]))) for m in sizes]
+            place, size = np.concatenate(places), np.repeat(np.arange(len(sizes)), [len(x) for x in places])
+            order = np.argsort(place, kind="stable")
+            part["of_size"] = (sizes, np.searchsorted(place[order], np.arange(len(known) + 1)), size[order])
             for m, items in part["sizes"].items():
                 sums = np.array([_sum_of(x, weight[np.searchsorted(known, x)]) for _, x in items])
                 part["sizes"][m] = (np.array([k for k, _ in items]), _fingerprints(sums))
@@ -224,15 +230,18 @@ class Index:
             text_of = np.searchsorted(at, hits, side="right") - 1
             lows, highs = at[text_of], at[text_of + 1]
             near = set()
-            for m, (numbers, prints) in part["sizes"].items():
+            for m, mine in self._hits_by_size(hits, place, part):
+                numbers, prints = part["sizes"][m]
+                known, low, high = hits[mine], lows[mine], highs[mine]
                 need = -(-SIMILAR[0] * m // SIMILAR[1])
                 radius = RADIUS if m > FEW else RADIUS_OF_FEW
-                for first, last in zip(*_stretches(hits, need, m, lows, highs), strict=True):
+                for first, last in zip(*_stretches(known, need, m, low, high), strict=True):
                     for a, own in _window_prints(h, weight, int(first), int(last), m):
                         near.update((a + w, int(numbers[k])) for w, k in self._near(own, prints, radius))
                 # Texts with fewer shingles than the item are one window.
-                known, size = np.bincount(text_of, minlength=len(at) - 1), np.diff(at)
-                for text in np.flatnonzero((size < m) & (SIMILAR[1] * known >= SIMILAR[0] * m)):
+                texts_of, many = np.unique(text_of[mine], return_counts=True)
+                size = at[texts_of + 1] - at[texts_of]
+                for text in texts_of[(size < m) & (many >= need)]:
                     whole = slice(at[text], at[text + 1])
                     own = _fingerprints(_sum_of(h[whole], weight[whole])[None, :])
                     near.update((int(at[text]), int(numbers[k])) for _, k in self._near(own, prints, radius))
@@ -258,6 +267,19 @@ class Index:
                     found[text][item_id] = row
         return [sorted(x.values(), key=lambda r: (r["item_id"] is not None, r["item_id"] or 0)) for x in found]
 
+    @staticmethod
+    def _hits_by_size(hits, place, part) -> Iterator[tuple[int, np.ndarray]]:
+        """For each size of items those hits, in order, that an item of the size has."""
+        sizes, begin, of = part["of_size"]
+        many = begin[place + 1] - begin[place]
+        hit = np.repeat(np.arange(len(hits)), many)
+        size = of[np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[place], many)]
+        order = np.argsort(size, kind="stable")
+        cut = np.searchsorted(size[order], np.arange(len(sizes) + 1))
+        for k, m in enumerate(sizes):
+            if SIMILAR[1] * (cut[k + 1] - cut[k]) >= SIMILAR[0] * m:
+                yield m, hit[order[cut[k] : cut[k + 1]]]
+
     @staticmethod
     def _sharing(hits, place, text_of, at, part) -> Iterator[tuple[int, int]]:
         """(window, item) that may share SIMILAR of the item's weight: all that can reach the threshold."""
