@@ -7,6 +7,7 @@ import random
 import struct
 import subprocess
 import sys
+import time
 import uuid
 import zlib
 from collections import Counter
@@ -142,7 +143,7 @@ def test_counts_come_from_the_cache(spark, tmp_path, name):
     assert got[1] == got[2] > 0 and got[3] == 0
     assert spark.read.parquet(cache).count() == 2
     second = spark.createDataFrame([(4, "one two", None), (5, "three", None)], ddl)
-    assert {r.doc_id for r in counts.count_tokens(second, name, cache, limit=1).collect()} == {4, 5}
+    assert {r.doc_id: r.from_cache for r in counts.count_tokens(second, name, cache, limit=1).collect()} == {4: True, 5: False}
     assert spark.read.parquet(cache).count() == 3
     # A stored count is used, not computed anew.
     spark.read.parquet(cache).withColumn("n_tokens", F.lit(77).cast("long")).write.parquet(cache + "2")
@@ -232,6 +233,40 @@ def test_magic_inside_payloads_is_rejected(spark, tmp_path, zipped, split):
         assert any(c["page_id"] == 99 for c in found)  # it was seen, and is not reachable
 
 
+@pytest.mark.parametrize("plain", [None, "page_id % 2 = 0"])
+def test_a_whole_table_with_records_in_its_payloads(spark, plain):
+    """Every page holds records that look whole; the chain rejects each, in plain archives."""
+    sha = lambda b: __import__("hashlib").sha1(b).hexdigest()
+    pages = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()]
+    told = []
+    for i, (p, u, h) in enumerate(pages):
+        inner = b"".join(warc.record(10**6 + k, "http://evil", b"x" * k, None, sha(b"x" * k)) for k in range(i % 4))
+        told.append((p, u, (h or "") + inner.decode() + "tail"))
+    table = spark.createDataFrame(told, "page_id long, url string, html string").repartition(3)
+    manifest = warc.write_archives(table, zipped=plain is not None, plain=F.expr(plain) if plain else None, file_bytes=1 << 18)
+    rows = {r.page_id: r for r in warc.read_archives(manifest, split_bytes=40_000, count_rejected=True).collect()}
+    assert len(rows) == len(told)
+    bare = lambda p: plain is None or p % 2 == 0
+    want = {p: (i % 4 if bare(p) and rows[p].record_type == "response" else 0) for i, (p, _, _) in enumerate(told)}
+    assert {p: r.n_rejected for p, r in rows.items()} == want and sum(want.values()) >= 50
+    assert all(rows[p].payload_digest == sha(h.encode()) for p, _, h in told)
+    if plain:
+        assert {f.path.endswith(".gz") for f in manifest.collect()} == {True, False}
+
+
+def test_many_records_are_parsed_in_proportion(tmp_path):
+    """A split full of small records: no candidate copies what follows it."""
+    one = warc.record(1, "u", b"abc", None, __import__("hashlib").sha1(b"abc").hexdigest())
+    path = tmp_path / "many.warc"
+    seconds = []
+    for n in (2_000, 8_000):
+        path.write_bytes(one * n)
+        began = time.process_time()
+        assert sum(1 for _ in warc.candidates(str(path), n * len(one), 0, n * len(one))) == n
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 9 * seconds[0] + 0.2
+
+
 def test_broken_chain_is_refused(spark, tmp_path):
     path = str(tmp_path / f"{uuid.uuid4().hex}.warc")
     good = warc.record(1, "u", b"abc", None, __import__("hashlib").sha1(b"abc").hexdigest())

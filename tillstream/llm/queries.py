@@ -50,12 +50,18 @@ def op4_seekable_token_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_digest_cache_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Through a cache that knows about half of the texts already, by an earlier count."""
     cache = work_area(spark, "counts")
-    return counts.count_tokens(table(spark, folder, "documents"), "piece_bpe_32k.model", cache)
+    docs = table(spark, folder, "documents")
+    counts.fill_cache(docs.where(F.pmod(F.xxhash64("text"), F.lit(2)) == 0), "piece_bpe_32k.model", cache)
+    return counts.count_tokens(docs, "piece_bpe_32k.model", cache)
 
 
 def op6_chain_verified_warc(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+    """Archives of both kinds: a quarter of the pages in plain ones, where payloads stand as
+    they are and the chain has to tell records from what looks like them."""
+    pages = table(spark, folder, "pages")
+    return warc.read_archives(warc.write_archives(pages, plain=F.pmod(F.xxhash64("page_id"), F.lit(4)) == 0))
 
 
 def op7_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:

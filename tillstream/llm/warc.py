@@ -15,12 +15,13 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.store import filesystem, ship_code, shuffle_parts, work_area, written
 
 LEAST = 1000  # payloads of fewer bytes are never revisits
+HEAD = 1 << 20  # a record's fields are shorter
 VERSION = b"WARC/1.1"
 GZIP = b"\x1f\x8b\x08"
 DATE = "2000-01-01T00:00:00Z"
@@ -58,15 +59,18 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes, int] | None:
-    """Fields, block and length of the record at the start of data, or None if none stands there."""
-    if not data.startswith(VERSION + b"\r\n"):
+def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int] | None:
+    """Fields, block and end of the record that begins at `at`, or None if none stands there.
+
+    Only the record's own bytes are copied, whatever follows it in data.
+    """
+    if not data.startswith(VERSION + b"\r\n", at):
         return None
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", at, at + HEAD)
     if end < 0:
         return None
     try:
-        lines = data[len(VERSION) + 2 : end].decode().split("\r\n")
+        lines = data[at + len(VERSION) + 2 : end].decode().split("\r\n")
         fields = dict(line.split(": ", 1) for line in lines)
         size = int(fields["Content-Length"])
     except (ValueError, KeyError):
@@ -142,9 +146,11 @@ def candidates(path: str, size: int, begin: int, end: int) -> Iterator[dict]:
                 except zlib.error:
                     found = None
             else:
-                found = parse(window.data[at:])
-                while found is None and _short(window.data[at:]) and window.more():
-                    found = parse(window.data[at:])
+                found = parse(window.data, at)
+                while found is None and _short(window.data, at) and window.more():
+                    found = parse(window.data, at)
+                if found:
+                    found = (found[0], found[1], found[2] - at)
             if found:
                 row = _row(path, begin + at, begin + at + found[2], found[0], found[1])
                 if row:
@@ -152,20 +158,26 @@ def candidates(path: str, size: int, begin: int, end: int) -> Iterator[dict]:
             at = window.data.find(magic, at + 1)
 
 
-def _short(data: bytes) -> bool:
-    """Whether a record may stand here that data does not hold to its end."""
-    end = data.find(b"\r\n\r\n")
+def _short(data: bytes, at: int) -> bool:
+    """Whether a record may stand at `at` that data does not hold to its end."""
+    end = data.find(b"\r\n\r\n", at, at + HEAD)
     if end < 0:
-        return len(data) < 1 << 20
-    for line in data[:end].split(b"\r\n"):
+        return len(data) - at < HEAD
+    for line in data[at:end].split(b"\r\n"):
         if line.startswith(b"Content-Length: ") and line[16:].isdigit():
             return len(data) < end + 8 + int(line[16:])
     return False
 
 
-def write_archives(pages: DataFrame, *, zipped: bool = True, file_bytes: int = 8 << 20) -> DataFrame:
+def write_archives(
+    pages: DataFrame, *, zipped: bool = True, plain: Column | None = None, file_bytes: int = 8 << 20
+) -> DataFrame:
     """Write pages (page_id, url, html) and return the manifest: path, size, n_records.
 
+    Records go to gzip archives, or to plain ones if not zipped, or for pages for which the
+    condition `plain` over page_id is true.  Other columns are ignored; an empty table
+    gives an empty manifest.
+
     Of pages with equal html of at least LEAST bytes, that with the largest page_id is a
     response and the others are revisits of it; smaller ones are all responses.  A null
     html is empty; rows that repeat the largest page_id are responses, too; where all ids
@@ -180,42 +192,48 @@ def write_archives(pages: DataFrame, *, zipped: bool = True, file_bytes: int = 8
         .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "keeper")
     )
     refers = F.when((F.col("page_id") != F.col("keeper")) | (F.col("page_id").isNull() & F.col("keeper").isNotNull()), F.col("keeper"))
-    rows = told.join(shared, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    bare = F.lit(not zipped) if plain is None else F.coalesce(plain, F.lit(False))
+    rows = told.join(shared, "digest", "left").select(
+        "page_id", "url", "html", "digest", refers.alias("refers_to"), bare.alias("bare")
+    )
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, path, size, n = None, "", 0, 0
+        open_: dict[bool, list] = {}  # by kind: out, path, size, records
 
-        def closed() -> pa.RecordBatch:
+        def closed(bare: bool) -> pa.RecordBatch:
+            out, path, size, n = open_.pop(bare)
             out.close()
             return pa.record_batch({"path": [path], "size": pa.array([size], pa.int64()), "n_records": pa.array([n], pa.int64())})
 
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to", "digest")]
-            for page, url, body, refers, digest in zip(*columns, strict=True):
+            columns = [batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to", "digest", "bare")]
+            for page, url, body, refers, digest, bare in zip(*columns, strict=True):
                 data = record(page, url, body, refers, digest)
-                if zipped:
+                if not bare:
                     tool = zlib.compressobj(4, zlib.DEFLATED, 31)
                     data = tool.compress(data) + tool.flush()
-                if out is None:
-                    path, size, n = f"{folder}/{uuid.uuid4().hex}.warc{'.gz' if zipped else ''}", 0, 0
+                if bare not in open_:
+                    path = f"{folder}/{uuid.uuid4().hex}.warc{'' if bare else '.gz'}"
                     store, inside = filesystem(path)
                     store.create_dir(inside.rpartition("/")[0], recursive=True)
-                    out = store.open_output_stream(inside, compression=None)
-                out.write(data)
-                size, n = size + len(data), n + 1
-                if size >= file_bytes:
-                    yield closed()
-                    out = None
-        if out is not None:
-            yield closed()
+                    open_[bare] = [store.open_output_stream(inside, compression=None), path, 0, 0]
+                held = open_[bare]
+                held[0].write(data)
+                held[2:] = [held[2] + len(data), held[3] + 1]
+                if held[2] >= file_bytes:
+                    yield closed(bare)
+        for bare in list(open_):
+            yield closed(bare)
 
     return written(rows.mapInArrow(write, "path string, size long, n_records long"), "archives")
 
 
-def read_archives(manifest: DataFrame, *, split_bytes: int = 4 << 20) -> DataFrame:
+def read_archives(manifest: DataFrame, *, split_bytes: int = 4 << 20, count_rejected: bool = False) -> DataFrame:
     """Records of the files of a manifest (path, size), as RECORDS without position and next.
 
-    A file whose chain of records does not end where the file ends is refused.
+    A file whose chain of records does not end where the file ends is refused.  With
+    count_rejected, n_rejected says how many candidates stand inside a record's payload:
+    whole records by their looks, which the chain does not reach.
     """
     spark = manifest.sparkSession
     ship_code(spark)
@@ -239,6 +257,14 @@ def read_archives(manifest: DataFrame, *, split_bytes: int = 4 << 20) -> DataFra
     broken = manifest.where("size > 0").join(ends, "path", "left_anti").count()
     if broken:
         raise ValueError(f"{broken} archives have a chain of records that does not reach their end")
+    if count_rejected:
+        inside = found.join(reached.hint("merge"), ["path", "position"], "left_anti").select("path", "position")
+        # A file's records; a candidate belongs to the last record that begins before it.
+        marks = kept.select("path", "position", F.col("position").alias("record")).unionByName(inside, allowMissingColumns=True)
+        order = Window.partitionBy("path").orderBy("position")
+        owned = marks.withColumn("owner", F.last("record", ignorenulls=True).over(order)).where("record is null")
+        many = owned.groupBy("path", F.col("owner").alias("position")).agg(F.count(F.lit(1)).alias("n_rejected"))
+        kept = kept.join(many, ["path", "position"], "left").fillna(0, ["n_rejected"])
     return kept.drop("path", "position", "next")
 
 
