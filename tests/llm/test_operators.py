@@ -569,6 +569,49 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
 # Shards, quality, chat.
 
 
+@pytest.mark.parametrize("shards_", [2, 5, 16])
+def test_each_cut_is_the_weighted_median_of_the_widest_dimension(spark, shards_):
+    """Nodes are rebuilt from the shards and held against plain sums over their rows."""
+    rng = random.Random(shards_)
+    rows = []
+    for i in range(900):
+        site = f"s{min(rng.randrange(30), rng.randrange(30)):02}" if i % 50 else None
+        rows.append((i, "x" * rng.choice([1, 5, 40, 400]), rng.choice(["de", "en", "fr"]), site, rng.randrange(10_000)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = {r.doc_id: r.shard for r in shards.kd_shards(docs, shards=shards_).collect()}
+
+    def coordinates(values):
+        known = sorted({v for v in values if v is not None})
+        if isinstance(known[0], str):
+            place = {v: k / max(len(known) - 1, 1) for k, v in enumerate(known)}
+            return [-1e-9 if v is None else place[v] for v in values]
+        lo, hi = known[0], known[-1]
+        return [-1e-9 if v is None else (v - lo) / (hi - lo) for v in values]
+
+    names = {"n_chars": 4, "lang": 2, "source": 3}
+    dims = [coordinates([r[names[d]] for r in rows]) for d in shards.DIMENSIONS]
+
+    def check(own, first, n):
+        if n == 1:
+            assert {placed[i] for i in own} == {first}
+            return
+        low = [i for i in own if placed[i] < first + n // 2]
+        high = [i for i in own if placed[i] >= first + n // 2]
+        widest = max(dims, key=lambda d: max(d[i] for i in own) - min(d[i] for i in own))
+        assert max(widest[i] for i in low) <= min(widest[i] for i in high)
+        size = lambda some: sum(len(rows[i][1]) + 1 for i in some)
+        assert abs(size(low) - size(own) * (n // 2) / n) <= 401 / 2 + shards.CLOSE * size(own) + 1
+        check(low, first, n // 2)
+        check(high, first + n // 2, n - n // 2)
+
+    check(list(range(900)), 0, shards_)
+
+
+def test_no_documents_give_no_shards(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert shards.kd_shards(docs, shards=4).count() == 0
+
+
 @pytest.mark.parametrize("hot", [1000, 3])
 def test_shards_split_on_whole_texts(spark, monkeypatch, hot):
     monkeypatch.setattr(shards, "HOT", hot)

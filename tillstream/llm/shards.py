@@ -72,7 +72,9 @@ def kd_shards(docs: DataFrame, *, shards: int | None = None, target_bytes: int |
     share; rows with equal coordinates are parted by a random tie-break that is stored
     with them, so ties and repeated rows spread and one hot value can be cut.  A null
     coordinate comes first, texts count by the rank of their value; dimensions that docs lacks or that are constant are not used.
-    Every row gets a shard; slots number a shard from 0 without a gap.
+    Every row gets a shard; slots number a shard from 0 without a gap.  A null doc_id
+    stays null, repeated rows are rows of their own, other columns are ignored, and an
+    empty table gives no row.  The driver sees one row a node at a time.
     """
     spark = docs.sparkSession
     names = [d for d in dimensions if d in docs.columns]
@@ -127,25 +129,28 @@ def kd_shards(docs: DataFrame, *, shards: int | None = None, target_bytes: int |
         step = max(8, 17 - max(1, len(state)).bit_length())
         active = dict(state)
         while active:
-            rows = [(node, s["dim"], s["lo"], max(0, s["bits"] - step), s["bits"]) for node, s in active.items()]
-            table = spark.createDataFrame(rows, "node int, dim int, lo long, shift int, bits int")
+            rows = [
+                (node, s["dim"], s["lo"], max(0, s["bits"] - step), s["bits"], float(s["want"] - s["below"]))
+                for node, s in active.items()
+            ]
+            table = spark.createDataFrame(rows, "node int, dim int, lo long, shift int, bits int, wanted double")
             key = _key(dims, F.col("dim")) - F.col("lo")
             inside = points.join(F.broadcast(table), "node").withColumn("key", key)
             inside = inside.where((F.col("key") >= 0) & (F.expr("shiftright(key, bits) = 0")))
-            counted = inside.groupBy("node", F.expr("shiftright(key, shift)").alias("bin")).agg(F.sum("size").alias("size"))
-            found: dict = {}
-            for r in counted.collect():  # at most 2 ** step rows a node
-                found.setdefault(r["node"], []).append((r["bin"], r["size"]))
+            counted = inside.groupBy("node", "wanted", F.expr("shiftright(key, shift)").alias("bin")).agg(F.sum("size").alias("size"))
+            # Of a node's bins, 2 ** step at most, the first up to which there is enough.
+            running = counted.withColumn("upto", F.sum("size").over(Window.partitionBy("node").orderBy("bin")))
+            enough = F.when(F.col("upto") >= F.col("wanted"), F.struct("bin", "upto", "size"))
+            chosen = running.groupBy("node").agg(F.min(enough).alias("hit"), F.max(F.struct("bin", "upto")).alias("last"))
+            found = {r["node"]: r for r in chosen.collect()}  # one row a node
             for node, s in list(active.items()):
                 shift = max(0, s["bits"] - step)
-                below, at = s["below"], s["lo"]
-                for bin_, size in sorted(found.get(node, [])):
-                    at = s["lo"] + (bin_ << shift)
-                    if below + size >= s["want"]:
-                        break
-                    below += size
-                else:
-                    size = 0
+                below, at, size = s["below"], s["lo"], 0
+                if node in found:
+                    hit, last = found[node]["hit"], found[node]["last"]
+                    at += (hit or last)["bin"] << shift
+                    size = hit["size"] if hit else 0
+                    below += (hit or last)["upto"] - size
                 s.update(below=below, lo=at, bits=shift)
                 if shift == 0 or size <= CLOSE * s["size"]:
                     # The cut is before or behind this bin, whichever is nearer.
