@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -11,9 +12,10 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from given import DOCS, SMALL
+import xxhash
 from tokenizers import Tokenizer
 
-from tillstream.llm import queries
+from tillstream.llm import quality, queries
 
 ALL = queries.queries()
 NASTY = [None, "", " \n\t ", "one", "two words", "A b C d E", "x" * 5000, "aé" * 700, "ab " * 400]
@@ -134,6 +136,60 @@ def test_op8(spark, folder):
     assert not any(r["kept"] and r["base_failed"] for r in rows)
 
 
+def plain_scores(docs, labels):
+    """{(doc_id, text): (score, kept)} of op8 by plain Python: bucket counts, ratios, threshold."""
+    mask = (1 << 64) - 1
+    h = lambda data, seed: xxhash.xxh64_intdigest(data, seed)
+
+    def grams(text):
+        own = [h(w, 42) for w in brute.words(text)]
+        pairs = [h(b.to_bytes(8, "little"), h(a.to_bytes(8, "little"), 42)) for a, b in zip(own, own[1:], strict=False)]
+        return [x & mask & (quality.BUCKETS - 1) for x in own + pairs]
+
+    quality_, toxic = defaultdict(list), defaultdict(list)
+    for d, q, t in labels:
+        quality_[d].append(q)
+        toxic[d].append(t)
+    trusted = {d for d in quality_ if d is not None and min(quality_[d]) == 1 and max(toxic[d]) == 0}
+    raw, good = Counter(), Counter()
+    for d, t in docs:
+        raw.update(grams(t))
+        if d in trusted:
+            good.update(grams(t))
+    n, m, prior = sum(raw.values()), sum(good.values()), quality.PRIOR
+    share = {b: raw[b] / n for b in raw}
+    ratio = {b: round(1e6 * (math.log((good[b] + prior * share[b]) / (m + prior)) - math.log(share[b]))) if m else 0 for b in raw}
+    score = lambda t: (lambda g: sum(ratio[b] for b in g) / len(g) if g else None)(grams(t))
+    known = sorted(s for s in (score(t) for d, t in docs if d in trusted) if s is not None)
+    threshold = None
+    if known:
+        at = (len(known) - 1) * (1 - quality.KEEP_TRUSTED)
+        low = math.floor(at)
+        threshold = known[low] + (at - low) * (known[min(low + 1, len(known) - 1)] - known[low])
+    out = {}
+    for d, t in docs:
+        s = score(t)
+        fits = threshold is None or (s is not None and s >= threshold)
+        out[d, t] = s, fits and not brute.quality_base(t)[-1], threshold is not None and s is not None and abs(s - threshold) < 2
+    return out
+
+
+def test_op8_scores_and_verdicts(spark, folder):
+    place, docs = folder
+    told = spark.read.parquet(f"{place}/labels.parquet")
+    want = plain_scores(docs, [tuple(r) for r in told.select("doc_id", "quality", "toxic").collect()])
+    table = spark.read.parquet(f"{place}/documents.parquet").select("doc_id", "text")
+    rows = quality.rate(table, told).select("doc_id", "text", "rated.score", "rated.kept").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        score, kept, edge = want[r["doc_id"], r["text"]]
+        assert (r["score"] is None) == (score is None)
+        assert score is None or abs(r["score"] - score) < 1e-3 * max(1, abs(score)) + 1
+        assert edge or r["kept"] == kept
+    if len(docs) > 100:
+        assert {k for _, k, _ in want.values()} == {True, False}
+
+
 def test_op9(spark, folder):
     place, docs = folder
     rows = got(spark, "op9", place)
