@@ -52,7 +52,9 @@ from tillstream.streaming.jobs import EachBatch, run_to_end  # noqa: E402
 try:  # the training-data operators and their pipeline can be left out
     import corpus_pipeline  # noqa: E402
     from tillstream.llm import queries as llm_queries  # noqa: E402
-except ImportError:
+except ImportError as error:  # another missing module is a fault
+    if not (error.name or "").startswith(("corpus_pipeline", "tillstream.llm")):
+        raise
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]

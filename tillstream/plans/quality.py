@@ -123,20 +123,51 @@ def _parent_count(df: DataFrame, rule: ParentRule, parent: DataFrame) -> DataFra
     )
 
 
-def _table_counts(name: str, tables: Tables, as_of: Column) -> DataFrame:
-    df, rules = tables[name], RULES[name]
+def _place(table: str, check: str) -> int:
+    """Where a rule stands among the results."""
+    return list(RULES).index(table) * 100 + [r.check for r in RULES[table]].index(check) + 1
+
+
+def _shared_keys(tables: Tables, child: str, orphans: ParentRule, duplicates: DuplicateRule) -> DataFrame:
+    """Both rules over one grouping of both tables' key, as _table_counts gives them.
+
+    Rows per key are counted for the two tables side by side and combined on the map side,
+    so the parent's key is scanned once and nothing is joined.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    parent = orphans.parent
+    rows = tables[parent].select(F.col(duplicates.key).alias("key"), one.alias("parents"), none.alias("children")).unionByName(
+        tables[child].select(F.col(orphans.key).alias("key"), none.alias("parents"), one.alias("children"))
+    )
+    keys = rows.groupBy("key").agg(F.sum("parents").alias("parents"), F.sum("children").alias("children"))
+    missing = F.col("key").isNull() | (F.col("parents") == 0)
+    totals = keys.agg(
+        F.count(F.when(F.col("parents") > 1, 1)).alias("copied"),
+        F.coalesce(F.sum("parents"), F.lit(0)).alias("parents"),
+        F.coalesce(F.sum(F.when(missing, F.col("children"))), F.lit(0)).alias("orphaned"),
+        F.coalesce(F.sum("children"), F.lit(0)).alias("children"),
+    )
+    pairs = [
+        F.struct(
+            F.lit(rule.check).alias("check_name"), F.col(fails).alias("fail_count"), F.col(n).alias("row_count"),
+            F.lit(table).alias("table_name"), F.lit(_place(table, rule.check)).alias("_rule"),
+        )
+        for table, rule, fails, n in ((parent, duplicates, "copied", "parents"), (child, orphans, "orphaned", "children"))
+    ]
+    return totals.select(F.inline(F.array(*pairs)))
+
+
+def _table_counts(name: str, tables: Tables, as_of: Column, done: Iterable[str] = ()) -> DataFrame:
+    """The counts of a table's rules, but of those that are done."""
+    df, rules = tables[name], [r for r in RULES[name] if r.check not in done]
     parts = [_row_counts(df, [r for r in rules if isinstance(r, RowRule)], as_of)]
     parts += [_duplicate_count(df, r) for r in rules if isinstance(r, DuplicateRule)]
     parts += [
         _parent_count(df, r, tables[r.parent]) for r in rules if isinstance(r, ParentRule)
     ]
-    order = F.array(*[F.lit(r.check) for r in rules])
-    table_no = list(RULES).index(name)
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .withColumn("table_name", F.lit(name))
-        .withColumn("_rule", F.lit(table_no * 100) + F.array_position(order, F.col("check_name")))
-    )
+    order = F.array(*[F.lit(r.check) for r in RULES[name]])
+    place = F.lit(list(RULES).index(name) * 100) + F.array_position(order, F.col("check_name"))
+    return reduce(DataFrame.unionByName, parts).withColumns({"table_name": F.lit(name), "_rule": place.cast("int")})
 
 
 def classify(counts: DataFrame) -> DataFrame:
@@ -157,7 +188,8 @@ def run_checks(tables: Tables, as_of: AsOf = None, only: Iterable[str] | None =
     """One row per rule of the chosen tables, in table and rule order.
 
     Each table is scanned once for its row count and all row rules; duplicates and
-    orphans need a grouping by key and read the key column alone.  A name without rules
+    orphans need a grouping by key and read the key column alone.  Where a table's parent
+    is chosen, too, one grouping serves the orphans and the parent's duplicates.  A name without rules
     is reported and adds no row.
     """
     chosen = []
@@ -168,7 +200,15 @@ def run_checks(tables: Tables, as_of: AsOf = None, only: Iterable[str] | None =
             log.warning("no checks defined for table %r", name)
     now = as_of_column(as_of)
     # Without a known table among those chosen: the shape of the results, and no row.
-    parts = [_table_counts(n, tables, now) for n in chosen or [next(iter(tables))]]
+    pairs = []
+    for name in chosen:
+        for rule in RULES[name]:
+            if isinstance(rule, ParentRule) and rule.parent in chosen:
+                same = [r for r in RULES[rule.parent] if isinstance(r, DuplicateRule) and r.key == rule.key]
+                pairs += [(name, rule, r) for r in same]
+    done = {r.check for _, *two in pairs for r in two}
+    parts = [_table_counts(n, tables, now, done) for n in chosen or [next(iter(tables))]]
+    parts += [_shared_keys(tables, *pair) for pair in pairs]
     counts = reduce(DataFrame.unionByName, parts if chosen else [parts[0].limit(0)])
     return (
         classify(counts)
