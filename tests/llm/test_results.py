@@ -113,13 +113,13 @@ def test_op5(spark, folder):
         want[d, len(brute.raw(t)), n, n > 4096] += 1
     rows = got(spark, "op5", place)
     assert want == Counter((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in rows)
-    # About half of the texts had been counted before; equal texts agree.
+    # About an eighth of the texts had been counted before; equal texts agree.
     cached = {}
     texts = dict(docs)
     for r in rows:
         assert cached.setdefault(texts[r["doc_id"]], r["from_cache"]) == r["from_cache"]
     if len(docs) > 100:
-        assert 0.25 < sum(r["from_cache"] for r in rows) / len(rows) < 0.75
+        assert 0.02 < sum(r["from_cache"] for r in rows) / len(rows) < 0.4
 
 
 def test_op7(spark, folder):
