@@ -13,6 +13,7 @@ import pytest
 import sentencepiece
 from given import DOCS, SMALL
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillstream.llm import quality, queries
@@ -191,6 +192,29 @@ def test_op8_scores_and_verdicts(spark, folder):
         assert {k for _, k, _ in want.values()} == {True, False}
 
 
+@pytest.mark.parametrize("sent", [quality.SENT, 100])
+def test_op8_trusts_all_good_labels(spark, sent):
+    """More trusted documents than were once taken, by either way that marks them."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choices([f"w{k}" for k in range(60)], k=rng.randrange(1, 5)))) for i in range(20_600)]
+    labels = [(i, int(i % 50 > 0), 0) for i in range(20_600)]
+    want = plain_scores(docs, labels)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert quality.trusted_ids(told).count() == 20_188
+    rows = quality.rate(table, told, sent=sent).select("doc_id", "text", "rated.score").collect()
+    assert len(rows) == len(docs)
+    assert all(abs(r["score"] - want[r["doc_id"], r["text"]][0]) < 1e-3 * abs(r["score"]) + 1 for r in rows)
+
+
+def test_op8_low_quantile(spark):
+    values = [3.0, -1.5, 2.25, 2.25, 9.0, 4.5, 0.0]
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    for share in (0.0, 0.002, 0.3, 0.5, 0.77, 1.0):
+        assert quality.low_quantile(table, share) == pytest.approx(table.agg(F.percentile("v", F.lit(share))).first()[0])
+    assert quality.low_quantile(table.limit(0), 0.5) is None
+
+
 def test_op9(spark, folder):
     place, docs = folder
     rows = got(spark, "op9", place)

@@ -8,6 +8,7 @@ Trusted shares are smoothed towards the raw ones and ratios are whole millionths
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tillstream.llm.store import written
 
 BUCKETS = 1 << 16
-TRUSTED = 20_000  # labelled documents that are taken as trusted, at most
+SENT = 1_000_000  # trusted ids that are sent to every task, at most; more meet their documents in a shuffle
 KEEP_TRUSTED = 0.998  # share of the trusted documents that the threshold keeps
 PRIOR = 1000  # n-grams of the raw corpus that the trusted counts are smoothed with
 GAP = r"[\x20\x09-\x0D]+"
@@ -43,21 +44,22 @@ def _features(h: Column) -> Column:
     return F.concat(F.transform(h, bucket), F.slice(pairs, 1, F.greatest(F.size(h) - 1, F.lit(0))))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """doc_id of good and not toxic documents: those first by hash, at most `most`."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of all good and not toxic documents."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
-    good = good.where("doc_id is not null and q = 1 and t = 0").select("doc_id")
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return good.where("doc_id is not null and q = 1 and t = 0").select("doc_id")
 
 
-def bucket_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row a bucket: bucket, ratio (millionths of log(trusted share / raw share)).
+def flagged(docs: DataFrame, trusted: DataFrame, sent: int = SENT) -> DataFrame:
+    """docs with a column _t, 1 for trusted documents and else null."""
+    marks = trusted.withColumn("_t", F.lit(1))
+    return docs.join(F.broadcast(marks) if trusted.count() <= sent else marks.hint("merge"), "doc_id", "left")
 
-    trusted has at most TRUSTED rows and is broadcast.  Counts cover all documents.
-    """
+
+def bucket_ratios(marked: DataFrame) -> DataFrame:
+    """One row a bucket of flagged documents: bucket, ratio (millionths of log(trusted share / raw share))."""
     text = F.coalesce("text", F.lit(""))
-    flagged = docs.join(F.broadcast(trusted.withColumn("_t", F.lit(1))), "doc_id", "left")
-    grams = flagged.select(F.explode(_let(_hashes(_words(text)), _features)).alias("bucket"), "_t")
+    grams = marked.select(F.explode(_let(_hashes(_words(text)), _features)).alias("bucket"), "_t")
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_t").alias("good"))
     counts = written(counts, "buckets")  # at most BUCKETS rows
     totals = counts.agg(F.sum("raw").alias("raw_all"), F.sum("good").alias("good_all"))
@@ -109,26 +111,42 @@ def _score(h: Column, ratios: Column) -> Column:
     return _let(_features(h), mean)
 
 
-def rate(docs: DataFrame, labels: DataFrame, name: str = "rated") -> DataFrame:
+def low_quantile(values: DataFrame, share: float) -> float | None:
+    """The quantile of a table of one column without nulls, interpolated; None without rows.
+
+    Only the rows below it are gathered, so share should be small.
+    """
+    n = values.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    low = math.floor(at)
+    near = [r[0] for r in values.orderBy(*values.columns).offset(low).limit(2).collect()]
+    if len(near) == 1 or near[0] == near[1] or low == at:
+        return near[0]
+    return (low + 1 - at) * near[0] + (at - low) * near[1]
+
+
+def rate(docs: DataFrame, labels: DataFrame, name: str = "rated", sent: int = SENT) -> DataFrame:
     """docs with a struct column `name` put last (it must be free):
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept.
 
-    The threshold is the score that KEEP_TRUSTED of the trusted documents reach; every
+    All good and not toxic documents are trusted; their ids are sent to every task if there
+    are at most `sent`.  The threshold is the score that KEEP_TRUSTED of them reach; every
     document is held against it.  A text without words fails the base.  Without trusted
     documents the base alone decides.  A null text has no words.  Repeated rows get equal
     values; a null doc_id is never trusted; other columns are kept as they are.
     """
-    trusted = trusted_ids(labels)
-    plain = docs.select("doc_id", "text")
-    ratios = bucket_ratios(plain, trusted)
+    marked = flagged(docs.select("doc_id", "text"), written(trusted_ids(labels), "trusted"), sent)
+    ratios = bucket_ratios(marked)
     table = [0] * BUCKETS
     for bucket, ratio in ratios.collect():  # at most BUCKETS rows
         table[bucket] = ratio
     lookup = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")  # folded to one constant
     text = F.coalesce("text", F.lit(""))
-    sample = plain.join(F.broadcast(trusted), "doc_id", "left_semi").select(_let(_hashes(_words(text)), lambda h: _score(h, lookup)).alias("score"))
-    threshold = sample.agg(F.percentile("score", F.lit(1 - KEEP_TRUSTED)).alias("t")).first()["t"]
+    known = marked.where("_t = 1").select(_let(_hashes(_words(text)), lambda h: _score(h, lookup)).alias("score"))
+    threshold = low_quantile(written(known.where("score is not null"), "scores"), 1 - KEEP_TRUSTED)
 
     lines = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     symbols = F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))
