@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
+
 from frames import frame
 
 from tillstream.plans.enrich import enrich_weather
@@ -66,6 +68,22 @@ def test_offsets_are_gapless_and_keys_keep_their_partition(spark, lake, tmp_path
     assert len({(r.key, r.partition) for r in rows}) == 7
 
 
+def test_a_partition_is_written_as_it_comes(spark, tmp_path, monkeypatch):
+    """No task holds a partition: its messages lie in many segments, in order, at gapless offsets."""
+    monkeypatch.setattr(folder_log, "SEGMENT_ROWS", 5_000)
+    log = str(tmp_path / "log")
+    rows = spark.range(60_000).selectExpr("'k' AS key", "printf('%06d', (id * 7919) % 60000) AS value")
+    folder_log.append(rows, log, partitions=3)
+    found = folder_log.segments(log)
+    assert len({number for number, *_ in found}) == 1 and len(found) > 4
+    at = 0
+    for _, first, behind, file in found:
+        values = pq.read_table(file)["value"].to_pylist()
+        assert first == at and values == [f"{v:06d}" for v in range(first, behind)]
+        at = behind
+    assert at == 60_000 and not list((tmp_path / "log").glob("writing-*"))
+
+
 def test_a_micro_batch_reads_a_part_of_a_segment(spark, tmp_path):
     log = str(tmp_path / "log")
     folder_log.append(messages(spark, 0, 50), log, partitions=1)

@@ -11,6 +11,8 @@ from tillstream.plans.ingest import first_currency, flatten_order_items, flatten
 from tillstream.plans.reports import hourly_order_metrics
 from tillstream.sources.order_topic import MESSAGE, accepted, decode, encode, folder_stream, rejected
 from tillstream.schemas import INT, LONG, STRING, TIME, columns
+from tillstream.sources.shaped import EVENT_ROWS, Shop
+from tillstream.streaming.feed import feed_events
 from tillstream.streaming.enrich import TABLE, enrich_orders
 from tillstream.streaming.hourly import count_hours, hourly_counts, hourly_windows, orders_by_hour
 from tillstream.streaming.ingest import append_new_orders, ingest_messages, orders_once
@@ -291,3 +293,20 @@ def test_of_copies_in_one_micro_batch_the_first_sent_is_new(spark, lake, topic,
     deliver(spark, topic, "1", [event(1, buyer="late", ts="2024-01-03T00:00:00"), event(1, buyer="first"), event(2, ts="soon")])
     run_to_end(orders_once(messages_of(spark, topic)), append_new_orders(lake), str(tmp_path / "checkpoint"))
     assert table(lake, "orders", "order_id", "customer_id") == [("o1", "first"), ("o2", "c1")]
+
+
+@pytest.mark.parametrize("shape", [orders_once, orders_by_hour, feed_events])
+def test_a_micro_batch_is_parsed_once(spark, tmp_path, shape):
+    """Rows and markers come from one shuffle."""
+    deliver(spark, tmp_path / "topic", "a", [event(1), event(2), event(2)])
+    query = start(shape(folder_stream(spark, f"{tmp_path}/topic/*")), lambda df, _: df.count(), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert "ReusedExchange" in query._jsq.explainInternal(False)
+
+
+def test_events_are_dealt_out_before_messages_are_made(spark, tmp_path, plan):
+    events = [(n, START + timedelta(minutes=n), n, "view", 1.5, '{"k": 3}') for n in range(50)]
+    spark.createDataFrame(events, EVENT_ROWS).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    shop = Shop(spark, str(tmp_path))
+    assert "REBALANCE_PARTITIONS" in plan(shop.wire_messages()) and shop.wire_messages().count() == 51  # one is sent twice
+    assert "Repartition" in shop.message_stream()._jdf.queryExecution().analyzed().toString()

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -25,6 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 # The classes go to Python workers by value, so these need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+SEGMENT_ROWS = 200_000  # a segment ends with the batch that reaches so many
 SCHEMA = "key string, value string, partition int, offset long"
 
 
@@ -58,44 +60,52 @@ def ends(path: str) -> dict[str, int]:
 def append(messages: DataFrame, path: str, partitions: int = 8, order: str | None = None) -> None:
     """Add messages (key, value) to a log; a key always goes to the same partition.
 
-    Each partition's new messages are one sorted run of a task, written as one segment
-    under a name that its offsets give, so a task that is run again writes the same file.
-    One writer at a time.
+    Messages are sorted by partition and rank over many tasks.  A task writes its runs as
+    they come, cut into segments, beside the log; when all are whole, their row counts in
+    order give the offsets, and each moves to the name these make.  So no task holds a
+    partition, and a writer that dies leaves a log without gaps.  One writer at a time.
     """
-    known = ends(path)
+    behind = ends(path)
+    store, inside = _store(path)
+    beside = f"{inside}/writing-{uuid.uuid4().hex}"
     place = F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int")
     rank = [F.col(order)] if order else []
-    dealt = messages.withColumn("partition", place).repartition(partitions, "partition")
-    dealt = dealt.sortWithinPartitions("partition", *rank, "key", "value").select("partition", "key", "value")
+    by = ["partition", *rank, "key", "value"]
+    dealt = messages.withColumn("partition", place).repartitionByRange(*by).sortWithinPartitions(*by).select("partition", "key", "value")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                number = held[0]["partition"][0].as_py()
-                first = known.get(str(number), 0)
-                rows = sum(b.num_rows for b in held)
-                store, inside = _store(path)
-                folder = f"{inside}/partition={number}"
-                store.create_dir(folder, recursive=True)
-                table = pa.Table.from_batches([b.select(["key", "value"]) for b in held])
-                name = f"{folder}/{first:020d}-{first + rows:020d}.parquet"
-                # Under its name only when it is whole.
-                pq.write_table(table, f"{name}.part", filesystem=store)
-                store.move(f"{name}.part", name)
-                yield pa.record_batch({"partition": pa.array([number], pa.int32()), "rows": pa.array([rows])})
-                held.clear()
+        store, _ = _store(path)
+        store.create_dir(beside, recursive=True)
+        told, open_one = [], None
+
+        def close() -> None:
+            nonlocal open_one
+            if open_one:
+                open_one.close()
+            open_one = None
 
         for batch in batches:
             for number in pc.unique(batch["partition"]).to_pylist():
-                part = batch.filter(pc.equal(batch["partition"], number))
-                if held and held[0]["partition"][0].as_py() != number:
-                    yield from flush()
-                held.append(part)
-        yield from flush()
-
-    dealt.mapInArrow(write, "partition int, rows long").collect()  # one row a partition
+                run = batch.filter(pc.equal(batch["partition"], number)).select(["key", "value"])
+                if not open_one or told[-1]["partition"] != number or told[-1]["rows"] >= SEGMENT_ROWS:
+                    close()
+                    told.append({"partition": number, "task": TaskContext.get().partitionId(), "nth": len(told), "rows": 0, "file": f"{beside}/{uuid.uuid4().hex}.parquet"})
+                    open_one = pq.ParquetWriter(told[-1]["file"], run.schema, filesystem=store)
+                open_one.write_batch(run)
+                told[-1]["rows"] += run.num_rows
+        close()
+        if told:
+            yield pa.RecordBatch.from_pylist(told, pa.schema([("partition", pa.int32()), ("task", pa.int32()), ("nth", pa.int32()), ("rows", pa.int64()), ("file", pa.string())]))
+
+    # One row a segment.
+    for run in sorted(dealt.mapInArrow(write, "partition int, task int, nth int, rows long, file string").collect()):
+        first = behind.get(str(run.partition), 0)
+        behind[str(run.partition)] = first + run.rows
+        folder = f"{inside}/partition={run.partition}"
+        store.create_dir(folder, recursive=True)
+        store.move(run.file, f"{folder}/{first:020d}-{first + run.rows:020d}.parquet")
+    if store.get_file_info(beside).type == pafs.FileType.Directory:
+        store.delete_dir(beside)
 
 
 class Segment(InputPartition):
