@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,16 +43,24 @@ class NumberedKeys:
     def take_in(self, keys: DataFrame, key: str, batch: str) -> DataFrame:
         """Number the new ones of keys and return key and number of all of them.
 
-        keys is read several times: persist it.  Of the dictionary only the batch's keys
-        are kept where it is scanned, if they are few enough to be broadcast.
+        The batch's distinct keys are found once and kept while they are numbered.  Of the
+        dictionary only they are kept where it is scanned, if they are few enough to be
+        broadcast.
         """
         wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key")).distinct()
         held = self.lake.other_batches(self.name, batch, NUMBERS, "staging").select("key", "number")
         last = held.agg(F.max("number")).first()[0] or 0
-        sent = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEY_LIMIT else wanted
-        known = held.join(sent, "key", "left_semi")
-        fresh = numbered(wanted.join(known, "key", "left_anti"), "key", last, self.parts)
-        self.lake.write_batch(fresh, self.name, batch, NUMBERS, "staging")
+        wanted = wanted.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            few = wanted.count() <= BROADCAST_KEY_LIMIT
+            known = held.join(F.broadcast(wanted) if few else wanted, "key", "left_semi")
+            unknown = wanted.join(known, "key", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self.lake.write_batch(numbered(unknown, "key", last, self.parts), self.name, batch, NUMBERS, "staging")
+            finally:
+                unknown.unpersist()
+        finally:
+            wanted.unpersist()
         stored = self.lake.batches(self.name, NUMBERS, "staging").where(F.col("batch_id") == batch)
         return known.unionByName(stored.select("key", "number"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +9,7 @@ from tillstream.functions.clock import AsOf, since
 from tillstream.schemas import MONEY, READING, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake
-from tillstream.streaming.fresh import new_rows, with_new_keys
+from tillstream.streaming.fresh import held, new_rows, with_new_keys
 from tillstream.streaming.jobs import EachBatch
 
 FEED = "live_feed"
@@ -53,19 +52,16 @@ def keep_feed(lake: Lake, n: int = 20) -> EachBatch:
         return lines.orderBy(F.desc("purchased_at"), "order_id").limit(n)
 
     def each_batch(events: DataFrame, batch: str) -> None:
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            places = new_rows(events, "customer", "customer_id", ["sent"]).select(*PLACES.names)
+        with held(events) as kept:
+            places = new_rows(kept, "customer", "customer_id", ["sent"]).select(*PLACES.names)
             lake.write_batch(places, "feed_places", batch, PLACES, "staging")
-            fresh = newest(new_rows(events, "order", "order_id", ["sent"])).drop("city", "country_code", "sent")
+            fresh = newest(new_rows(kept, "order", "order_id", ["sent"])).drop("city", "country_code", "sent")
             # At most n rows, and their customers.
             top = lake.spark.createDataFrame(fresh.toArrow(), fresh.schema)
             known = lake.read("feed_places", PLACES, "staging").join(F.broadcast(top.select("customer_id").distinct()), "customer_id", "left_semi")
             lines = top.join(known, "customer_id", "left").select(*SHOWN, F.lit(batch).alias("batch_id"))
-            held = kept_feed(lake).where(F.col("batch_id") != batch)
-            lake.rebuild(newest(held.unionByName(lines)), "marts", FEED)
-        finally:
-            events.unpersist()
+            shown = kept_feed(lake).where(F.col("batch_id") != batch)
+            lake.rebuild(newest(shown.unionByName(lines)), "marts", FEED)
 
     return each_batch
 

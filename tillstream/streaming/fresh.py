@@ -7,8 +7,10 @@ watermark: a key is remembered for good, however late it comes again.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +33,33 @@ def with_new_keys(rows: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
     keys names the kinds of keys; NULL is no key.  One state serves all kinds.  A
     micro-batch that is run again sees the state of its first run, so it gets the same
     markers.  new_rows takes a micro-batch apart.
+
+    The rows are dealt out by all their columns before they part.  So both sides read one
+    and the same shuffle: what makes the rows (parsing, say) runs once.
     """
     keep_state_on_disk(rows.sparkSession)
+    rows = rows.repartition(*rows.columns)
     told = F.array(*[F.struct(F.lit(kind).alias(KIND), column.cast("string").alias(KEY)) for kind, column in keys.items()])
     markers = rows.select(F.inline(told)).where(F.col(KEY).isNotNull()).dropDuplicates([KIND, KEY])
     marked = rows.withColumns({KIND: F.lit(None).cast("string"), KEY: F.lit(None).cast("string")})
     return marked.unionByName(markers, allowMissingColumns=True)
 
 
+@contextmanager
+def held(micro_batch: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch of with_new_keys, kept while it is taken apart.
+
+    It is computed by one job before others read it: jobs that met it unfinished would
+    wait for each other's tasks, or run its parsing and its state twice.
+    """
+    kept = micro_batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept.count()
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def rows_of(micro_batch: DataFrame) -> DataFrame:
     """The rows of a micro-batch of with_new_keys."""
     return micro_batch.where(F.col(KIND).isNull()).drop(KIND, KEY)

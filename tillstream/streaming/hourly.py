@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +12,7 @@ from tillstream.operators.distinct import NumberedKeys, bitmaps, distinct_counts
 from tillstream.schemas import LONG, STRING, TIME, columns
 from tillstream.sources.order_topic import accepted, decode
 from tillstream.sources.tables import Lake, side_by_side
-from tillstream.streaming.fresh import new_rows, with_new_keys
+from tillstream.streaming.fresh import held, new_rows, with_new_keys
 from tillstream.streaming.jobs import EachBatch
 
 TOTALS = columns(hour=TIME, total_orders=LONG, gross_revenue=T.DecimalType(38, 2))
@@ -74,9 +73,7 @@ def count_hours(lake: Lake) -> EachBatch:
     """
 
     def each_batch(orders: DataFrame, batch: str) -> None:
-        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = new_rows(orders, "order", "order_id", ["sent"]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with held(orders) as kept, held(new_rows(kept, "order", "order_id", ["sent"])) as fresh:
             totals = fresh.groupBy("hour").agg(
                 F.count("order_id").alias("total_orders"),
                 F.sum("revenue").cast("decimal(38,2)").alias("gross_revenue"),
@@ -89,9 +86,6 @@ def count_hours(lake: Lake) -> EachBatch:
                     lambda: lake.write_batch(visits, "hourly_visits", batch, VISITS, "staging"),
                 ],
             )
-        finally:
-            fresh.unpersist()
-            orders.unpersist()
 
     return each_batch
 
@@ -119,16 +113,10 @@ def count_customers(lake: Lake) -> EachBatch:
     over hours.  Customers are numbered as they come, so that bitmaps are dense."""
 
     def each_batch(orders: DataFrame, batch: str) -> None:
-        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = new_rows(orders, "order", "order_id", ["sent"]).select("hour", "customer_id").distinct()
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with held(orders) as kept, held(new_rows(kept, "order", "order_id", ["sent"]).select("hour", "customer_id").distinct()) as fresh:
             numbers = NumberedKeys(lake, "customer_numbers").take_in(fresh, "customer_id", batch)
             seen = fresh.join(numbers, F.col("customer_id") == F.col("key"))
             lake.write_batch(bitmaps(seen, ["hour"]), "hourly_bitmaps", batch, BITMAPS, "staging")
-        finally:
-            fresh.unpersist()
-            orders.unpersist()
 
     return each_batch
 

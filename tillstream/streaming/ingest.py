@@ -20,7 +20,7 @@ from tillstream.plans.ingest import (
 from tillstream.sources.commits import CommittedLake
 from tillstream.sources.order_topic import accepted, decode, rejected
 from tillstream.sources.tables import Lake, side_by_side
-from tillstream.streaming.fresh import new_rows, with_new_keys
+from tillstream.streaming.fresh import held, new_rows, with_new_keys
 from tillstream.streaming.jobs import EachBatch
 
 
@@ -51,8 +51,8 @@ def ingest_messages(lake: Lake, enriched: bool = True) -> EachBatch:
 
             def store(table: str, key: str, columns: list[Column]) -> None:
                 incoming = events.select(*columns, F.col("ts").alias("_sent"))
-                held = lake.other_batches(table, batch)
-                fresh = insert_if_absent(held, incoming, key, ["_sent"], rows)
+                known = lake.other_batches(table, batch)
+                fresh = insert_if_absent(known, incoming, key, ["_sent"], rows)
                 lake.write_batch(fresh.drop("_sent"), table, batch)
 
             writes = [partial(store, *target) for target in targets]
@@ -120,11 +120,8 @@ def append_new_orders(lake: Lake) -> EachBatch:
     """
 
     def each_batch(orders: DataFrame, batch: str) -> None:
-        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            lake.write_batch(new_rows(orders, "order", "order_id", ["sent"]).drop("sent"), "orders", batch)
-        finally:
-            orders.unpersist()
+        with held(orders) as kept:
+            lake.write_batch(new_rows(kept, "order", "order_id", ["sent"]).drop("sent"), "orders", batch)
 
     return each_batch
 
