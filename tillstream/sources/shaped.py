@@ -289,8 +289,14 @@ class Shop:
     def wire_events(self) -> DataFrame:
         return wire_events_from(self.order_events(), self.cities(), self.countries())
 
+    def spread_events(self) -> DataFrame:
+        """wire_events, dealt evenly to tasks while rows are narrow: a file of events is read by
+        as few tasks as it has row groups, and a message costs far more than its event."""
+        events = order_events_from(self.table("events").hint("rebalance"))
+        return wire_events_from(events, self.cities(), self.countries())
+
     def wire_messages(self) -> DataFrame:
-        return wire_messages_from(self.wire_events())
+        return wire_messages_from(self.spread_events())
 
     def event_stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
         """Raw event rows as a stream; the glob covers one file and a folder of files."""
@@ -300,7 +306,8 @@ class Shop:
         return reader.parquet(f"{self.folder}/event[s].parquet")
 
     def message_stream(self) -> DataFrame:
-        events = order_events_from(self.event_stream())
+        dealt = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        events = order_events_from(self.event_stream().repartition(dealt))
         return wire_messages_from(wire_events_from(events, self.cities(), self.countries()))
 
     def deliver_messages(self, area: str, parts: int = 4) -> Iterator[DataFrame]:
@@ -310,7 +317,7 @@ class Shop:
         An event that is sent twice comes again in the part after its own.  All parts are
         written by one job, each by as many tasks as have rows of it.
         """
-        numbered = numbered_messages_from(self.wire_events())
+        numbered = numbered_messages_from(self.spread_events())
         day = F.dayofmonth(F.col("sent").cast("timestamp_ntz"))
         part = F.least(F.floor((day - 1) * parts / 31), F.lit(parts - 1)) + F.col("copy") - 1
         held = numbered.withColumn("part", F.least(part, F.lit(parts - 1)).cast("int"))
