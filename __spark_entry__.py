@@ -440,7 +440,7 @@ def _stream_latest(shop: Shop) -> DataFrame:
     began is not read, what came while it was stopped is."""
     lake, checkpoint = _lake(shop.spark, "latest")
     log = f"{work_area(shop.spark, 'log')}/topic"
-    numbered = numbered_messages_from(shop.wire_events())
+    numbered = numbered_messages_from(shop.spread_events())
 
     def run() -> None:
         messages = folder_log.log_stream(shop.spark, log, "latest", f"{checkpoint}/start")
