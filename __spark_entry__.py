@@ -383,10 +383,13 @@ def _atomic(shop: Shop) -> DataFrame:
 def _by_index(shop: Shop) -> DataFrame:
     """Orders that are new to a table whose keys an index holds."""
     columns = ["order_id", "customer_id", "order_status", "order_purchase_ts"]
-    index = KeyIndex(shop.spark, f"{work_area(shop.spark, 'index')}/orders", buckets=16)
+    area = work_area(shop.spark, "index")
+    index = KeyIndex(shop.spark, f"{area}/orders", buckets=16)
     index.add(shop.dirty_orders(), "order_id", "history")
     new = ingest.flatten_orders(_events(shop)).select(*columns)
-    incoming = shop.orders().select(*columns).unionByName(new)
+    # The batch lies in files, as it is read several times; messages are parsed once.
+    shop.orders().select(*columns).unionByName(new).write.parquet(f"{area}/incoming")
+    incoming = shop.spark.read.parquet(f"{area}/incoming")
     return index.new_rows(incoming, "order_id", rows=incoming.count()).select(*columns)
 
 
