@@ -354,7 +354,7 @@ def _pipeline(shop: Shop) -> DataFrame:
     # Months, as the history goes back years and arrives as one batch.
     lake = Lake(shop.spark, f"{work_area(shop.spark, 'pipeline')}/tables", order_period="month")
     pipeline.ingest_batch(lake, shop.raw(), "history")
-    events = shop.wire_events().withColumn(
+    events = shop.spread_events().withColumn(
         "purchased_at", F.col("purchased_at").cast("timestamp_ntz")
     )
     incoming = {

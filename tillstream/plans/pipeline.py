@@ -57,12 +57,19 @@ def ingest_batch(
     replaced.
     """
     held = {n: incoming[n].persist(StorageLevel.MEMORY_AND_DISK) for n in KEYS if n in incoming}
+    rows = {}
+
+    def count(name: str) -> None:
+        rows[name] = held[name].count()
+
     try:
+        # Kept before it is read: writes that met it unfinished would build it again or wait.
+        if held:
+            side_by_side(lake.spark, [partial(count, name) for name in held])
 
         def store(name: str) -> None:
-            rows = held[name].count()
             known = lake.other_batches(name, batch_id)
-            fresh = insert_if_absent(known, held[name], KEYS[name], (arrival or {}).get(name, ()), rows)
+            fresh = insert_if_absent(known, held[name], KEYS[name], (arrival or {}).get(name, ()), rows[name])
             lake.write_batch(fresh, name, batch_id)
 
         writes = [partial(store, name) for name in held]
