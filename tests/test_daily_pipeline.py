@@ -5,9 +5,10 @@ from decimal import Decimal
 
 import pytest
 
+import __spark_entry__ as entry_points
 from frames import frame
 from tillstream.plans.pipeline import TEST_RESULTS, ingest_batch, run_pipeline, run_spark_metrics
-from tillstream.plans.quality import QualityError, SchemaTestError
+from tillstream.plans.quality import QualityError, SchemaTestError, require_schema_tests
 from tillstream.sources.tables import Lake
 
 NOW = "2024-02-01 00:00:00"
@@ -107,3 +108,65 @@ def test_second_mart_is_written(spark, lake):
 def test_created_at_is_filled(spark, lake):
     lake.write_batch(batch(spark, 2)["orders"], "orders", "b", created_at="2024-01-01 00:00:00")
     assert {r.created_at for r in lake.read("orders").collect()} == {datetime(2024, 1, 1)}
+
+
+def given_shop(spark, folder, customer=lambda key: 1, items=lambda key: True):
+    """Tables of 200 orders, one per day, and as many events, for the registered query."""
+    day = lambda k: datetime(2000, 1 + k // 28, 1 + k % 28)
+    kinds = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    tables = {
+        "orders": (
+            [(k, customer(k), day(k), kinds[k % 5], 10.0) for k in range(200)],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double",
+        ),
+        "lineitem": (
+            [(k, 1, 1, 2.0, 3.0) for k in range(200) if items(k)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double",
+        ),
+        "customer": ([(1,)], "c_custkey long"),
+        "part": ([(1, "toys", 2, 3.0)], "p_partkey long, p_type string, p_size int, p_retailprice double"),
+        "events": (
+            [(k, datetime(2024, 1, 15, 8), k % 7, "view", 3.0, '{"k": 4}') for k in range(200)],
+            "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+        ),
+    }
+    for name, (given, ddl) in tables.items():
+        frame(spark, given, ddl).write.parquet(f"{folder}/{name}.parquet")
+    return entry_points.queries()["pipeline_daily"](spark, str(folder))
+
+
+def test_daily_query_stops_at_a_failed_schema_test(spark, tmp_path):
+    # One order of 400 has no customer: the gate lets a warning pass, a declared test does not.
+    with pytest.raises(SchemaTestError, match=r"failed: orders.customer_id not_null \(1\)$"):
+        given_shop(spark, tmp_path, customer=lambda key: None if key == 7 else 1)
+
+
+def test_daily_query_keeps_days_without_items(spark, tmp_path):
+    got = given_shop(spark, tmp_path, items=lambda key: key not in (3, 50)).collect()
+    assert len(got) == 201
+    assert sorted(r.order_date for r in got if r.gross_revenue is None) == [datetime(2000, 1, 4), datetime(2000, 2, 23)]
+
+
+def test_only_days_without_items_are_excused(spark, lake):
+    def run(name, orders):
+        """orders: order_id, day of January, prices of its items."""
+        tables = batch(spark, 0)
+        tables["orders"] = frame(spark, [(o, "c1", "shipped", datetime(2024, 1, d)) for o, d, _ in orders], tables["orders"].schema)
+        tables["order_items"] = frame(spark, [(o, "p1", 1, p) for o, _, prices in orders for p in prices], tables["order_items"].schema)
+        return run_pipeline(lake, tables, name, NOW, itemless_days=True)
+
+    two = Decimal(2)
+    first = run("day-1", [("a", 1, [two]), ("b", 2, []), ("c", 3, []), ("d", 3, [two, None])]).collect()
+    assert [r.gross_revenue for r in first] == [two, None, two]
+    # Items without a price: this day has no revenue for another reason.
+    with pytest.raises(SchemaTestError, match=r"failed: mart_order_metrics.gross_revenue not_null \(2\)$"):
+        run("day-2", [("e", 4, [None, None]), ("f", 4, [])])
+
+
+def test_more_failures_than_excused_rows_raise(spark):
+    key = ("orders", "order_id", "unique")
+    found = frame(spark, [(*key, 2), ("orders", "customer_id", "not_null", 0)], TEST_RESULTS)
+    require_schema_tests(found, {key: spark.range(2)})
+    for excused in ({key: spark.range(1)}, {("orders", "order_id", "not_null"): spark.range(9)}, None):
+        with pytest.raises(SchemaTestError, match=r"unique \(2\)"):
+            require_schema_tests(found, excused)

@@ -69,6 +69,16 @@ def mart_order_metrics(stg: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def days_without_items(mart: DataFrame, stg: DataFrame, items: DataFrame) -> DataFrame:
+    """The days of mart_order_metrics that have no revenue because none of their orders has
+    an item; a day whose items lack a price or a quantity is not among them."""
+    bare = mart.where(F.col("gross_revenue").isNull()).select("order_date")
+    dated = stg.select("order_id", day_start(F.col("purchased_at")).alias("_day"))
+    orders = dated.join(bare, F.col("_day").eqNullSafe(F.col("order_date")), "left_semi")
+    sold = orders.join(items.select("order_id").distinct(), "order_id", "left_semi").select("_day").distinct()
+    return bare.join(sold, F.col("order_date").eqNullSafe(F.col("_day")), "left_anti")
+
+
 def spark_order_metrics(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Daily KPIs over raw orders, newest day first, NULL day last."""
     dated = orders.withColumn("_order_day", F.to_date("order_purchase_ts")).drop("order_date")
